@@ -674,3 +674,54 @@ WHERE valid_from <= CAST('2024-01-15 00:00:00' AS TIMESTAMP)
   AND (valid_to > CAST('2024-01-15 00:00:00' AS TIMESTAMP) OR valid_to IS NULL)""")
 def history_as_of(spark, sf):
     return H.as_of(events_history(spark, sf, ["event_type"]), B.AS_OF_DATE).select("id", "event_type", "valid_from", "valid_to")
+
+
+# --- streams (C9, Q49) ------------------------------------------------------------------
+
+@query("history_stream", _HIST_ALL)
+def history_stream(spark, sf):
+    """Q43 computed by a file stream: the change log arrives in three time
+    slices out of order (middle, first, last) and the stream is restarted
+    from its checkpoint after each."""
+    from rowgate.session import run_dir
+    from rowgate.streaming.history_stream import HistoryFold, current_history, run_available
+
+    root = run_dir(spark, "history_stream")
+    ch = B.changes(spark, sf)
+    lo, hi = ch.agg(F.min("seq"), F.max("seq")).first()
+    if lo is None:
+        lo = hi = ts("1970-01-01 00:00:00")
+    third = (hi - lo) / 3 if hi != lo else None
+    cuts = [lo + third, lo + 2 * third] if third else [hi, hi]
+    c1, c2 = ts(cuts[0]), ts(cuts[1])
+    slices = [(F.col("seq") >= c1) & (F.col("seq") < c2), F.col("seq") < c1, F.col("seq") >= c2]
+    tracked = ["event_type", "value"]
+    hist_schema = T.StructType([ch.schema["id"], ch.schema["event_type"], ch.schema["value"],
+                                T.StructField("valid_from", T.TimestampNTZType()),
+                                T.StructField("valid_to", T.TimestampNTZType()),
+                                T.StructField("is_current", T.BooleanType())])
+    fold = HistoryFold(f"{root}/state", ["id"], "seq", tracked, "change_type", ["tiebreak"], ch.schema, hist_schema)
+    src = f"{root}/source"
+    for cond in slices:
+        ch.filter(cond).write.mode("append").parquet(src)
+        run_available(spark, src, fold, f"{root}/checkpoint")
+    return current_history(spark, fold).select("id", "event_type", "value", "valid_from", "valid_to", "is_current")
+
+
+@query("landing_stream", "SELECT * FROM quarantine_1")
+def landing_stream_q(spark, sf):
+    """Q21 computed by a file stream over landing folders: the full batch
+    lands first, then the partial one; each run resumes from the checkpoint."""
+    from rowgate.session import run_dir
+    from rowgate.streaming.landing_stream import LandingRouter, run_available
+
+    root = run_dir(spark, "landing_stream")
+    land = f"{root}/landing"
+    router = LandingRouter(f"{root}/state", CONTRACT, P)
+    for df, src in ((B.landing_full(spark, sf), B.SOURCE_F), (B.landing_partial(spark, sf), B.SOURCE_P)):
+        df.select([F.col(f.name).cast(f.dataType) for f in CONTRACT.fields]).write.parquet(f"{land}/{src}")
+        run_available(spark, land, router, f"{root}/checkpoint")
+    from rowgate.contracts import quarantine_schema
+    from rowgate.sources import tables
+
+    return rendered(tables.read(spark, f"{root}/state", "quarantine", quarantine_schema(CONTRACT)))

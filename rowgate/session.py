@@ -51,3 +51,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one run's state under the shared checkpoint root."""
+    import uuid
+
+    return f"{checkpoint_root(spark).rstrip('/')}/rowgate/{name}/{uuid.uuid4().hex}"

@@ -61,28 +61,48 @@ def versions(spark: SparkSession, root: str, name: str) -> list[int]:
     return sorted(out)
 
 
-def read(spark: SparkSession, root: str, name: str, schema: T.StructType, version: int | None = None) -> DataFrame:
-    """Newest (or a given) version; an empty contract frame if none."""
-    vs = versions(spark, root, name)
+def read(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    schema: T.StructType,
+    version: int | None = None,
+    max_version: int | None = None,
+) -> DataFrame:
+    """Newest (or a given, or the newest ``<= max_version``) version; an
+    empty contract frame if there is none (S6, R-4)."""
     if version is None:
+        vs = [v for v in versions(spark, root, name) if max_version is None or v <= max_version]
         if not vs:
             return empty(spark, schema)
         version = vs[-1]
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")
 
 
-def write(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None) -> int:
-    """Write ``df`` as the next version and return its number.
-
-    Never overwrites what is being read.  ``cluster_by`` range-partitions
-    and sorts on the key before writing (the z-order layout hint, C10), so
-    key lookups and joins prune row groups.
+def write(
+    df: DataFrame,
+    root: str,
+    name: str,
+    cluster_by: list[str] | None = None,
+    version: int | None = None,
+) -> int:
+    """Write ``df`` as a version and return its number.
+
+    Without ``version`` the next free number is taken and an existing folder
+    is an error.  With ``version`` (streaming: derived from the batch id) the
+    folder is replaced, so a retried micro-batch rewrites the same result
+    instead of appending twice.  Never overwrites what is being read.
+    ``cluster_by`` range-partitions and sorts on the key before writing (the
+    z-order layout hint, C10), so key lookups and joins prune row groups.
     """
     spark = df.sparkSession
-    vs = versions(spark, root, name)
-    nxt = (vs[-1] + 1) if vs else 1
+    mode = "overwrite"
+    if version is None:
+        vs = versions(spark, root, name)
+        version = (vs[-1] + 1) if vs else 1
+        mode = "errorifexists"
     out = df
     if cluster_by:
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    out.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}/v={nxt:06d}")
-    return nxt
+    out.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")
+    return version
