@@ -79,16 +79,22 @@ def latest_valid_per_key(quarantine: DataFrame, params: Params = Params()) -> Da
     return latest_per_key(rows.select(*cols, *ROW_ORDER), params.keys, ROW_ORDER)
 
 
-def release_fixed(clean: DataFrame, quarantine: DataFrame, params: Params = Params()):
+def release_fixed(clean: DataFrame, quarantine: DataFrame, params: Params = Params(), released: DataFrame | None = None):
     """``detect_and_release_fixed_records``.
 
     Returns ``(clean', quarantine', released)``: the newest valid row per
     fixed key is merged into the clean table (R-6: upsert, not append) and
     every live row of those keys ends RELEASED with one more fix attempt.
+    A job may pass ``released`` already written to storage; its keys are
+    exactly the fixed keys, so they drive the status update too.
     """
     cols = data_columns(quarantine, params)
-    released = latest_valid_per_key(quarantine, params).select(*cols)
-    marked = mark_fixed(quarantine, params)
+    if released is None:
+        released = latest_valid_per_key(quarantine, params).select(*cols)
+        marked = mark_fixed(quarantine, params)
+    else:
+        q = flag_membership(quarantine, released.select(*params.keys), params.keys, _FLAG)
+        marked = _set_status(q, F.col(_FLAG) & is_live(params), FIXED, bump_attempts=True).drop(_FLAG)
     q2 = _set_status(marked, F.col(STATUS) == FIXED, RELEASED)
     c2 = upsert(clean, released, params.keys, dedupe_order=None)
     return c2, q2, released
@@ -136,16 +142,23 @@ def promotable_rows(quarantine: DataFrame, params: Params = Params()) -> DataFra
     return anti(quarantine.filter(F.col(STATUS) == BLOCKED), q_keys, params.keys)
 
 
-def promote_blocked(clean: DataFrame, quarantine: DataFrame, params: Params = Params()):
+def promoted_rows(quarantine: DataFrame, params: Params = Params()) -> DataFrame:
+    """Newest BLOCKED row of every promotable key."""
+    cols = data_columns(quarantine, params)
+    rows = promotable_rows(quarantine, params)
+    return latest_per_key(rows.select(*cols, *ROW_ORDER), params.keys, ROW_ORDER).select(*cols)
+
+
+def promote_blocked(clean: DataFrame, quarantine: DataFrame, params: Params = Params(), promoted: DataFrame | None = None):
     """``promote_blocked_records`` -> ``(clean', quarantine', promoted)``.
 
     Newest BLOCKED row per promotable key is merged into the clean table and
-    every BLOCKED row of those keys becomes RELEASED.
+    every BLOCKED row of those keys becomes RELEASED.  ``promoted`` may be
+    passed in already written (its keys are the promotable keys).
     """
-    cols = data_columns(quarantine, params)
-    rows = promotable_rows(quarantine, params)
-    promoted = latest_per_key(rows.select(*cols, *ROW_ORDER), params.keys, ROW_ORDER).select(*cols)
-    q = flag_membership(quarantine, key_set(rows, params.keys), params.keys, _FLAG)
+    if promoted is None:
+        promoted = promoted_rows(quarantine, params)
+    q = flag_membership(quarantine, promoted.select(*params.keys), params.keys, _FLAG)
     q2 = _set_status(q, F.col(_FLAG) & (F.col(STATUS) == BLOCKED), RELEASED).drop(_FLAG)
     c2 = upsert(clean, promoted, params.keys, dedupe_order=None)
     return c2, q2, promoted

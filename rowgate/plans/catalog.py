@@ -455,18 +455,24 @@ def maintenance(spark, sf) -> dict:
     return L.maintenance_pass(B.clean_1(spark, sf), B.quarantine_1(spark, sf), None, B.T2, P)
 
 
+def maintenance_state(spark, sf):
+    """Run the maintenance job on the stored state after F and P; return
+    the state handle (new versions written under a fresh run folder)."""
+    from rowgate.plans.jobs import State, maintenance_job
+    from rowgate.session import run_dir
+
+    st = State(spark, run_dir(spark, "maintenance"), CONTRACT, P)
+    st.write("clean", B.clean_1(spark, sf))
+    st.write("quarantine", B.quarantine_1(spark, sf))
+    maintenance_job(st, B.T2)
+    return st
+
+
 @query("maintenance_summary", _MAINT_SQL)
 def maintenance_summary(spark, sf):
-    s = maintenance(spark, sf)
-    q = s["quarantine"]
-    return R.one_row(
-        e=s["expired"].agg(F.count(F.lit(1)).alias("expired_rows")),
-        r=s["released"].agg(F.count(F.lit(1)).alias("released_keys")),
-        p=s["promoted"].agg(F.count(F.lit(1)).alias("promoted_keys")),
-        c=s["clean"].agg(F.count(F.lit(1)).alias("clean_rows")),
-        q=q.agg(F.count_if(F.col("quarantine_status").isin(*P.live)).alias("live_rows"),
-                F.count_if(F.col("quarantine_status") == RELEASED).alias("released_rows")),
-    )
+    from rowgate.plans.jobs import summary_frame
+
+    return summary_frame(maintenance_state(spark, sf), B.T2)
 
 
 # --- reports (H1-H14) ------------------------------------------------------------------
@@ -571,7 +577,7 @@ SELECT CAST(quarantine_timestamp AS DATE) AS quarantine_date, count(*) AS quaran
        count_if(quarantine_status IN {LIVE}) AS live_count
 FROM final_quarantine GROUP BY 1""")
 def daily_trend(spark, sf):
-    return R.daily_trend(maintenance(spark, sf)["quarantine"], P)
+    return R.daily_trend(maintenance_state(spark, sf).read("quarantine"), P)
 
 
 @query("key_trail", """
