@@ -112,6 +112,8 @@ def scd2(
     tiebreak: Sequence[str] = (),
     delete_when: Column | None = None,
     ignore_when: Column | None = None,
+    split_rows: int | None = 1_000_000,
+    split_buckets: int = 64,
 ) -> DataFrame:
     """Type-2 history (C3-C5, W2): ``keys``, tracked columns, ``valid_from``,
     ``valid_to`` (NULL while open) and ``is_current``.
@@ -119,6 +121,16 @@ def scd2(
     A new version starts only when a tracked column changes (C5, R-21); a
     delete closes the open version and a later upsert reopens the key.
     ``ignore_when`` drops rows before folding (default: update pre-images).
+
+    Skew: keys with more than ``split_rows`` rows are cut into up to
+    ``split_buckets`` sequence ranges (approximate quantiles, an aggregate),
+    windows run per (key, range), and the ranges are stitched back by
+    carrying each range's last image and first start to its neighbour.
+    Results are identical; no key is processed whole in one task unless all
+    its rows share one sequence value.  Whether any key is that hot is
+    decided by one small aggregate; without hot keys the plain per-key
+    window plan runs.  ``split_rows=None`` forces the plain plan, ``0``
+    forces the split plan.
     """
     keys = list(keys)
     ct = F.col(change_type)
@@ -128,18 +140,25 @@ def scd2(
         "_rg_del", F.coalesce(delete_when, F.lit(False))
     )
     # At one sequence a delete sorts before an upsert, so the upsert wins (R-9).
-    order = [F.col(sequence_by), F.when(F.col("_rg_del"), 0).otherwise(1)]
-    order += [F.col(t) for t in tiebreak]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    rank = F.when(F.col("_rg_del"), 0).otherwise(1)
     image = F.struct(
         F.col("_rg_del").alias("_d"),
         *[F.when(F.col("_rg_del"), F.lit(None)).otherwise(F.col(c)).alias(c) for c in tracked],
     )
-    marked = rows.select(*keys, *tracked, sequence_by, *tiebreak, "_rg_del", image.alias("_img")).withColumn(
-        "_prev", F.lag("_img").over(w)
-    )
-    starts = marked.filter(~F.col("_img").eqNullSafe(F.col("_prev")))
-    bounded = starts.withColumn("_next", F.lead(sequence_by).over(w))
+    rows = rows.select(*keys, *tracked, sequence_by, *tiebreak, "_rg_del", rank.alias("_rk"), image.alias("_img"))
+    order = [F.col(sequence_by), F.col("_rk")] + [F.col(t) for t in tiebreak]
+    hot = None
+    if split_rows is not None:
+        hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > split_rows).select(*keys)
+        n_hot = hot.count()
+        if n_hot == 0 and split_rows > 0:
+            hot = None
+    if hot is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        starts = rows.withColumn("_prev", F.lag("_img").over(w)).filter(~F.col("_img").eqNullSafe(F.col("_prev")))
+        bounded = starts.withColumn("_next", F.lead(sequence_by).over(w))
+    else:
+        bounded = _split_fold(rows, keys, sequence_by, tiebreak, order, hot, n_hot, split_buckets)
     return bounded.filter(~F.col("_rg_del")).select(
         *keys,
         *tracked,
@@ -149,6 +168,49 @@ def scd2(
     )
 
 
+# Largest cut-point table (hot keys x ranges) shipped to every executor.
+BROADCAST_CUT_ENTRIES = 2_000_000
+
+
+def _split_fold(rows, keys, seq, tiebreak, order, hot, n_hot, n_buckets):
+    """Skew-safe lag/lead per key: (key, range) windows plus boundary carry."""
+    # 1. range cut points for hot keys only (aggregates: reduced map-side)
+    fracs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = (
+        rows.join(hot, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.array_distinct(F.percentile_approx(seq, fracs, 10000)).alias("_cuts"))
+    )
+    # Broadcast only under a checked size; beyond it AQE splits the skewed
+    # partitions of the (left) row side of this join.
+    if n_hot * n_buckets <= BROADCAST_CUT_ENTRIES:
+        cuts = F.broadcast(cuts)
+    # bucket = number of cut points <= seq: monotone in seq, equal seqs together
+    b = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col(seq))), F.lit(0))
+    rows = rows.join(cuts, keys, "left").withColumn("_b", b).drop("_cuts")
+    part = [*keys, "_b"]
+    w_in = Window.partitionBy(*part).orderBy(*order)
+    w_b = Window.partitionBy(*keys).orderBy("_b")
+    sort_key = F.struct(F.col(seq).alias("s"), F.col("_rk").alias("r"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(tiebreak)])
+
+    # 2. previous image: inside the range by lag, at a range start from the
+    #    previous range's last image
+    tails = rows.groupBy(*part).agg(F.max(F.struct(sort_key.alias("k"), F.col("_img").alias("img"))).alias("_t"))
+    carry_in = tails.select(*part, F.lag(F.col("_t.img")).over(w_b).alias("_carry"))
+    marked = rows.withColumn("_prev", F.lag("_img").over(w_in))
+    marked = marked.join(carry_in, part, "left").withColumn("_prev", F.coalesce(F.col("_prev"), F.col("_carry")))
+    # a range's first row has a NULL in-range lag; the carry is NULL only for the key's first range
+    starts = marked.filter(~F.col("_img").eqNullSafe(F.col("_prev"))).drop("_carry", "_prev")
+
+    # 3. next start: inside the range by lead, at a range end from the next
+    #    range that has a start
+    heads = starts.groupBy(*part).agg(F.min(sort_key).alias("_h"))
+    carry_out = heads.select(*part, F.lead(F.col("_h.s")).over(w_b).alias("_carry"))
+    bounded = starts.withColumn("_next", F.lead(seq).over(w_in))
+    bounded = bounded.join(carry_out, part, "left").withColumn("_next", F.coalesce(F.col("_next"), F.col("_carry")))
+    return bounded.drop("_carry", "_b")
+
+
 def current(history: DataFrame) -> DataFrame:
     """Current-row view."""
     return history.filter(F.col("valid_to").isNull())
