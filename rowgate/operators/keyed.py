@@ -67,25 +67,28 @@ def latest_per_key(
     but planned as an aggregate, so a hot key is reduced map-side.
     """
     columns = [c for c in (columns or df.columns) if c not in keys]
-    order_exprs: list[Column] = []
-    order_names: set[str] = set()
-    for o in order:
-        if isinstance(o, str):
-            order_names.add(o)
-            order_exprs.append(F.col(o))
-        else:
-            order_exprs.append(o)
-    rest = [c for c in columns if c not in order_names]
-    fields = [e.alias(f"_o{i}") for i, e in enumerate(order_exprs)]
-    fields += [F.col(c).alias(c) for c in rest]
-    picked_order = [c for c in columns if c in order_names]
-    fields += [F.col(c).alias(f"_p_{c}") for c in picked_order]
-    top = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_top"))
-    out = [F.col(k) for k in keys]
-    for c in columns:
-        src = f"_top._p_{c}" if c in order_names else f"_top.{c}"
-        out.append(F.col(src).alias(c))
-    return top.select(*out)
+    top = df.groupBy(*keys).agg(F.max(_order_struct(order, columns)).alias("_top"))
+    return top.select(*keys, *_unpack(order, columns))
+
+
+def _order_struct(order: Sequence[str | Column], columns: Sequence[str]) -> Column:
+    """``struct(order..., other columns...)``: its max is the newest row."""
+    fields = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
+    named = {o for o in order if isinstance(o, str)}
+    fields += [F.col(c) for c in columns if c not in named]
+    return F.struct(*fields)
+
+
+def _unpack(order: Sequence[str | Column], columns: Sequence[str]) -> list[Column]:
+    pos = {o: i for i, o in enumerate(order) if isinstance(o, str)}
+    return [F.col(f"_top._o{pos[c]}" if c in pos else f"_top.{c}").alias(c) for c in columns]
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast ``df`` only after checking its size (one small job on an
+    already-reduced frame).  Beyond ``max_rows`` the join stays a shuffle
+    join, where AQE splits skewed partitions of the big side."""
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def upsert(
@@ -130,11 +133,5 @@ def dedupe_latest(
     if count_col is None:
         return latest_per_key(df, keys, order)
     columns = [c for c in df.columns if c not in keys]
-    order_set = set(order)
-    rest = [c for c in columns if c not in order_set]
-    fields = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order)] + [F.col(c) for c in rest]
-    fields += [F.col(c).alias(f"_p_{c}") for c in columns if c in order_set]
-    top = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_top"), F.count(F.lit(1)).alias(count_col))
-    out = [F.col(k) for k in keys]
-    out += [F.col(f"_top._p_{c}" if c in order_set else f"_top.{c}").alias(c) for c in columns]
-    return top.select(*out, count_col)
+    top = df.groupBy(*keys).agg(F.max(_order_struct(order, columns)).alias("_top"), F.count(F.lit(1)).alias(count_col))
+    return top.select(*keys, *_unpack(order, columns), count_col)

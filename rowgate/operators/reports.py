@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowgate.contracts import (
     ALERT_THRESHOLD,
@@ -94,8 +95,12 @@ def top_reasons(quarantine: DataFrame, params: Params = Params(), limit: int = R
 def reason_members(quarantine: DataFrame, params: Params = Params()) -> DataFrame:
     """H7 without the unbounded ``collect_list(distinct id)``: one row per
     (reason, key) with the reason's row count attached."""
+    from rowgate.operators.keyed import broadcast_if_small
+
     live = quarantine.filter(_live(params))
-    counts = live.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("row_count"))
+    # one row per reason (reasons are combinations of rule codes): broadcast
+    # after a size check, so a reason holding most rows is not one join task
+    counts = broadcast_if_small(live.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("row_count")), 100_000)
     members = live.filter(F.col(params.keys[0]).isNotNull()).select("quarantine_reason", *params.keys).distinct()
     return members.join(counts, ["quarantine_reason"], "inner")
 
@@ -163,11 +168,27 @@ def key_trail(quarantine: DataFrame, params: Params = Params(), min_rows: int =
 
 
 def one_row(**frames: DataFrame) -> DataFrame:
-    """Combine one-row aggregates side by side (scalar subqueries)."""
-    out = None
-    for df in frames.values():
-        out = df if out is None else out.crossJoin(df)
-    return out
+    """Put one-row aggregates side by side, like scalar subqueries.
+
+    Each frame becomes one struct column of a union (the other slots NULL),
+    and a single global aggregate picks the non-null slot of each -- no join,
+    so nothing is paired.
+    """
+    items = list(frames.values())
+    slots = []
+    for i, df in enumerate(items):
+        slots.append((f"_s{i}", T.StructType(df.schema.fields), df.columns))
+    parts = []
+    for i, df in enumerate(items):
+        cols = []
+        for j, (name, st, _) in enumerate(slots):
+            cols.append((F.struct(*df.columns) if i == j else F.lit(None).cast(st)).alias(name))
+        parts.append(df.select(*cols))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    agg = u.agg(*[F.max(name).alias(name) for name, _, _ in slots])
+    return agg.select(*[F.col(f"{name}.{c}").alias(c) for name, _, cs in slots for c in cs])
 
 
 def quality_rate(clean: DataFrame, quarantine: DataFrame, dead_letter_count: DataFrame, params: Params = Params()) -> DataFrame:
