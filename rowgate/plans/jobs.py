@@ -37,6 +37,7 @@ _SCHEMAS = {
     "clean": clean_schema,
     "quarantine": quarantine_schema,
     "dead_letter": dead_letter_schema,
+    "expired": dead_letter_schema,
     "released": clean_schema,
     "promoted": clean_schema,
 }
@@ -60,7 +61,7 @@ class State:
             tables.write(df, self.root, name, cluster_by=cluster)
             return {}
         obs = Observation(f"{name}_metrics")
-        tables.write(df.observe(obs, *[v.alias(k) for k, v in observe.items()]), self.root, name, cluster_by=cluster)
+        tables.write(df, self.root, name, cluster_by=cluster, observe=(obs, [v.alias(k) for k, v in observe.items()]))
         return dict(obs.get)
 
 
@@ -99,12 +100,9 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
     out: dict = {}
     for step in order:
         if step == "expire":
-            moved = L.dead_letter_rows(quarantine, as_of, p)
-            dead = state.read("dead_letter").unionByName(moved, allowMissingColumns=True)
-            out.update(state.write("dead_letter", dead, {
-                "expired_rows": F.count_if(F.col("moved_to_dead_letter") == ts(as_of)),
-                "dead_letter_rows": _rows(),
-            }))
+            out.update(state.write("expired", L.dead_letter_rows(quarantine, as_of, p), {"expired_rows": _rows()}))
+            dead = state.read("dead_letter").unionByName(state.read("expired"), allowMissingColumns=True)
+            out.update(state.write("dead_letter", dead, {"dead_letter_rows": _rows()}))
             quarantine = L.mark_expired(quarantine, as_of, p)
         elif step == "release":
             out.update(state.write("released", L.latest_valid_per_key(quarantine, p), {"released_keys": _rows()}))
@@ -132,7 +130,7 @@ def summary_frame(state: State, as_of: str) -> DataFrame:
 
     q = state.read("quarantine")
     return one_row(
-        e=state.read("dead_letter").agg(F.count_if(F.col("moved_to_dead_letter") == ts(as_of)).alias("expired_rows")),
+        e=state.read("expired").agg(_rows().alias("expired_rows")),
         r=state.read("released").agg(_rows().alias("released_keys")),
         p=state.read("promoted").agg(_rows().alias("promoted_keys")),
         c=state.read("clean").agg(_rows().alias("clean_rows")),

@@ -85,6 +85,7 @@ def write(
     name: str,
     cluster_by: list[str] | None = None,
     version: int | None = None,
+    observe: tuple | None = None,
 ) -> int:
     """Write ``df`` as a version and return its number.
 
@@ -94,6 +95,8 @@ def write(
     instead of appending twice.  Never overwrites what is being read.
     ``cluster_by`` range-partitions and sorts on the key before writing (the
     z-order layout hint, C10), so key lookups and joins prune row groups.
+    ``observe = (Observation, exprs)`` is attached after that shuffle, where
+    the plan runs exactly once (the range sampler re-runs what is below it).
     """
     spark = df.sparkSession
     mode = "overwrite"
@@ -104,5 +107,7 @@ def write(
     out = df
     if cluster_by:
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
     out.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")
     return version
