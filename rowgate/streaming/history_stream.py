@@ -4,17 +4,20 @@ The change feed arrives as parquet files (the output of
 ``snapshot_changes`` or any CDC export).  Each micro-batch is folded into
 the history with ``foreachBatch``:
 
-1. append the batch to the change log (one folder per batch id);
-2. take the keys the batch touches;
-3. rebuild the history of only those keys from their full change log, so
-   late and out-of-order rows land in the right place;
-4. new history = old history without those keys + rebuilt rows, written as
-   version ``batch_id + 1``.
-
-Every write is keyed by the batch id and replaces its folder, so a retried
+1. append the batch to the change log (one folder per batch id, split by
+   key-hash bucket);
+2. take the keys and buckets the batch touches;
+3. rebuild the history of only those keys from their whole change log
+   (read from the touched buckets only), so late and out-of-order rows land
+   in the right place;
+4. swap in the touched history buckets: their untouched keys as they were
+   plus the rebuilt keys (staging folder + dynamic partition overwrite).
+
+Every write is keyed by the batch id or replaces whole buckets, so a retried
 micro-batch (after an executor or driver loss) produces the same state; the
 stream's own checkpoint records which files were consumed.  Reads come from
-written parquet, so lineage never grows across batches.
+written parquet, so lineage never grows across batches.  The cost of a
+micro-batch follows the buckets it touches, not the size of the history.
 """
 
 from __future__ import annotations
@@ -27,11 +30,16 @@ from pyspark.sql import types as T
 
 from rowgate.operators.history import scd2
 from rowgate.operators.keyed import anti, key_set, semi
-from rowgate.sources import tables
+from rowgate.sources import buckets
 
 
 class HistoryFold:
-    """The ``foreachBatch`` function; all state lives under ``root``."""
+    """The ``foreachBatch`` function; all state lives under ``root``.
+
+    Both the change log and the history are partitioned by a key-hash
+    ``bucket``; a micro-batch reads the log and the history of the buckets
+    it touches only, and replaces only those history buckets.
+    """
 
     def __init__(
         self,
@@ -43,9 +51,9 @@ class HistoryFold:
         tiebreak: Sequence[str],
         change_schema: T.StructType,
         history_schema: T.StructType,
-        cluster_by: Sequence[str] | None = None,
+        n_buckets: int = 64,
     ):
-        self.root = root
+        self.root = root.rstrip("/")
         self.keys = list(keys)
         self.sequence_by = sequence_by
         self.tracked = list(tracked)
@@ -53,27 +61,47 @@ class HistoryFold:
         self.tiebreak = list(tiebreak)
         self.change_schema = change_schema
         self.history_schema = history_schema
-        self.cluster_by = list(cluster_by or keys)
+        self.n_buckets = n_buckets
 
+    @property
     def log_path(self) -> str:
-        return f"{self.root.rstrip('/')}/change_log"
+        return f"{self.root}/change_log"
+
+    @property
+    def history_path(self) -> str:
+        return f"{self.root}/history"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select(*[f.name for f in self.change_schema.fields])
-        # 1. the batch's rows, replacing any earlier attempt of the same batch
-        batch.write.mode("overwrite").parquet(f"{self.log_path()}/batch_id={batch_id:09d}")
-        log_schema = T.StructType(self.change_schema.fields + [T.StructField("batch_id", T.IntegerType())])
-        # later folders can only be leftovers of an abandoned attempt: prune them
-        log = spark.read.schema(log_schema).parquet(self.log_path()).filter(F.col("batch_id") <= batch_id).drop("batch_id")
-        # 2-3. keys touched by this batch, rebuilt from their whole log
-        touched = key_set(spark.read.schema(self.change_schema).parquet(f"{self.log_path()}/batch_id={batch_id:09d}"), self.keys)
+        cols = [f.name for f in self.change_schema.fields]
+        # 1. the batch's rows into the log, replacing an earlier attempt of the same batch
+        rows = buckets.with_bucket(batch.select(*cols), self.keys, self.n_buckets)
+        rows.write.mode("overwrite").partitionBy(buckets.BUCKET).parquet(f"{self.log_path}/batch_id={batch_id:09d}")
+        this = spark.read.parquet(f"{self.log_path}/batch_id={batch_id:09d}")
+        hit = buckets.touched(this, self.keys, self.n_buckets)
+        if not hit:
+            return
+        touched = key_set(this, self.keys)
+        # 2. the whole log of the touched buckets (pruned on batch_id and bucket)
+        log_schema = T.StructType(self.change_schema.fields + [T.StructField("batch_id", T.IntegerType()),
+                                                               T.StructField(buckets.BUCKET, T.IntegerType())])
+        log = (
+            spark.read.schema(log_schema).parquet(self.log_path)
+            .filter((F.col("batch_id") <= batch_id) & F.col(buckets.BUCKET).isin(hit))
+            .drop("batch_id", buckets.BUCKET)
+        )
+        # 3. history of the touched keys rebuilt from their whole log (late rows land in place)
         rebuilt = scd2(semi(log, touched, self.keys), self.keys, self.sequence_by, self.tracked,
                        change_type=self.change_type, tiebreak=self.tiebreak)
-        # 4. replace those keys in the newest history version before this batch
-        old = tables.read(spark, self.root, "history", self.history_schema, max_version=batch_id)
+        # 4. the touched buckets: untouched keys kept, touched keys replaced
+        old = buckets.read(spark, self.history_path, self.history_schema, hit).drop(buckets.BUCKET)
         new = anti(old, touched, self.keys).unionByName(rebuilt.select(*old.columns))
-        tables.write(new, self.root, "history", cluster_by=self.cluster_by, version=batch_id + 1)
+        buckets.replace(
+            buckets.with_bucket(new, self.keys, self.n_buckets),
+            self.history_path,
+            f"{self.root}/staging/batch_id={batch_id:09d}",
+            sort_by=[*self.keys, "valid_from"],
+        )
 
 
 def run_available(
@@ -98,4 +126,4 @@ def run_available(
 
 
 def current_history(spark: SparkSession, fold: HistoryFold) -> DataFrame:
-    return tables.read(spark, fold.root, "history", fold.history_schema)
+    return buckets.read(spark, fold.history_path, fold.history_schema).drop(buckets.BUCKET)
