@@ -572,9 +572,9 @@ def stacked_keys(spark, sf):
 
 @query("daily_trend", f"""
 SELECT CAST(quarantine_timestamp AS DATE) AS quarantine_date, count(*) AS quarantined_count,
-       count_if(quarantine_status = 'RELEASED') AS released_count,
-       count_if(quarantine_status = 'EXPIRED') AS expired_count,
-       count_if(quarantine_status IN {LIVE}) AS live_count
+       CAST(count_if(quarantine_status = 'RELEASED') AS BIGINT) AS released_count,
+       CAST(count_if(quarantine_status = 'EXPIRED') AS BIGINT) AS expired_count,
+       CAST(count_if(quarantine_status IN {LIVE}) AS BIGINT) AS live_count
 FROM final_quarantine GROUP BY 1""")
 def daily_trend(spark, sf):
     return R.daily_trend(maintenance_state(spark, sf).read("quarantine"), P)
