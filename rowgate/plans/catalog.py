@@ -85,9 +85,9 @@ CONTRACT = T.StructType([
 
 @query("schema_contract_report", """
 SELECT count(*) AS row_count, 'id' AS column_name, 'bigint' AS expected_type, 'bigint' AS actual_type, 'ok' AS status,
-       count_if(id IS NULL) AS null_rows, CAST(0 AS BIGINT) AS uncastable_rows FROM landing_full
-UNION ALL SELECT count(*), 'name', 'string', 'string', 'ok', count_if(name IS NULL), 0 FROM landing_full
-UNION ALL SELECT count(*), 'age', 'int', 'int', 'ok', count_if(age IS NULL), 0 FROM landing_full""")
+       CAST(count_if(id IS NULL) AS BIGINT) AS null_rows, CAST(0 AS BIGINT) AS uncastable_rows FROM landing_full
+UNION ALL SELECT count(*), 'name', 'string', 'string', 'ok', CAST(count_if(name IS NULL) AS BIGINT), 0 FROM landing_full
+UNION ALL SELECT count(*), 'age', 'int', 'int', 'ok', CAST(count_if(age IS NULL) AS BIGINT), 0 FROM landing_full""")
 def schema_contract_report(spark, sf):
     return S.schema_report(B.landing_full(spark, sf), CONTRACT)
 
@@ -484,11 +484,11 @@ def status_breakdown(spark, sf):
 
 
 @query("health_row", f"""
-SELECT count_if(quarantine_status = 'ACTIVE') AS active, count_if(quarantine_status = 'QUARANTINE') AS quarantine,
-       count_if(quarantine_status = 'BLOCKED') AS blocked, count_if(quarantine_status = 'FIXED') AS fixed,
-       count_if(quarantine_status = 'RELEASED') AS released, count_if(quarantine_status = 'EXPIRED') AS expired,
-       count(*) AS total, count_if(quarantine_status IN {LIVE}) AS live_total,
-       count_if(quarantine_status IN {LIVE}) > 1000 AS high_volume_alert
+SELECT CAST(count_if(quarantine_status = 'ACTIVE') AS BIGINT) AS active, CAST(count_if(quarantine_status = 'QUARANTINE') AS BIGINT) AS quarantine,
+       CAST(count_if(quarantine_status = 'BLOCKED') AS BIGINT) AS blocked, CAST(count_if(quarantine_status = 'FIXED') AS BIGINT) AS fixed,
+       CAST(count_if(quarantine_status = 'RELEASED') AS BIGINT) AS released, CAST(count_if(quarantine_status = 'EXPIRED') AS BIGINT) AS expired,
+       count(*) AS total, CAST(count_if(quarantine_status IN {LIVE}) AS BIGINT) AS live_total,
+       CAST(count_if(quarantine_status IN {LIVE}) AS BIGINT) > 1000 AS high_volume_alert
 FROM after_expiry""")
 def health_row(spark, sf):
     return R.health_row(_after_expiry(spark, sf), P).select(
