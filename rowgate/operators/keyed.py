@@ -6,12 +6,14 @@ does not land whole in a single task:
 * ``latest_per_key`` is an aggregate (``max`` of an ordering struct), which
   Spark evaluates map-side first, so each map task sends at most one row per
   key to the shuffle;
-* membership tests (semi / anti / flag joins) join a big side with a *distinct*
-  key set; AQE turns them into broadcast joins when the key set is small at
-  run time, and otherwise splits skewed partitions of the big side
-  (``spark.sql.adaptive.skewJoin.enabled``);
-* ``upsert`` joins two frames whose keys are unique (after dedupe), so it
-  cannot be skewed.
+* membership tests (semi / anti / flag joins) join a big side with a
+  *distinct* key set.  The key set is broadcast when Catalyst's size bound
+  for it is small (no extra job), so the big side is not shuffled; beyond
+  that AQE decides from the measured size at run time and splits skewed
+  partitions of the big side (``spark.sql.adaptive.skewJoin.enabled``);
+* ``upsert`` is an anti join on the source's keys plus a union, so the
+  (large) target table streams through without a shuffle when the source
+  is a small batch, and joins on unique keys otherwise.
 """
 
 from __future__ import annotations
@@ -33,6 +35,35 @@ def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(cond).select(*keys).distinct()
 
 
+# Largest plan size bound (bytes) for which a key set is broadcast up front.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df``'s optimized plan.  Without
+    cost-based statistics it propagates scan sizes through filters,
+    projections, aggregates and semi/anti joins, so it bounds the result
+    from above."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - Connect sessions have no JVM handle
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, max_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its size is bounded: by the plan's size
+    bound (free), or -- if ``max_rows`` is given -- by counting it (one job,
+    for frames whose lineage is short).  Otherwise no hint: AQE measures the
+    real size at run time and picks broadcast or a skew-split shuffle join."""
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
+    if max_rows is not None and df.count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def flag_membership(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add boolean ``flag`` = key of the row is in ``keys_df`` (V7).
 
@@ -40,18 +71,18 @@ def flag_membership(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], flag
     ``coalesce(hit, false)`` is null-safe (a null key is simply not a member),
     unlike ``isin`` with a null in the list.
     """
-    marked = keys_df.select(*keys).withColumn(_HIT, F.lit(True))
+    marked = broadcast_if_small(keys_df.select(*keys).withColumn(_HIT, F.lit(True)))
     return df.join(marked, list(keys), "left").withColumn(flag, F.coalesce(F.col(_HIT), F.lit(False))).drop(_HIT)
 
 
 def semi(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(keys_df.select(*keys), list(keys), "left_semi")
+    return df.join(broadcast_if_small(keys_df.select(*keys)), list(keys), "left_semi")
 
 
 def anti(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``keys_df``.  ``keys_df`` must hold no null
     keys; rows of ``df`` with a null key are kept (they match nothing)."""
-    return df.join(keys_df.select(*keys), list(keys), "left_anti")
+    return df.join(broadcast_if_small(keys_df.select(*keys)), list(keys), "left_anti")
 
 
 def latest_per_key(
@@ -84,12 +115,6 @@ def _unpack(order: Sequence[str | Column], columns: Sequence[str]) -> list[Colum
     return [F.col(f"_top._o{pos[c]}" if c in pos else f"_top.{c}").alias(c) for c in columns]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after checking its size (one small job on an
-    already-reduced frame).  Beyond ``max_rows`` the join stays a shuffle
-    join, where AQE splits skewed partitions of the big side."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 def upsert(
     target: DataFrame,
@@ -99,24 +124,23 @@ def upsert(
 ) -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL.
 
-    One full outer join on the key: each side is shuffled once, no second
-    scan of the source.  The source is first reduced to one row per key
-    (R-16); pass ``dedupe_order=None`` when it is known to be unique.
-    Columns only in the target keep their value; columns only in the
-    source are added (schema evolution).
+    Target rows whose key is not in the source, plus every source row.  The
+    source is first reduced to one row per key (R-16); pass
+    ``dedupe_order=None`` when it is known to be unique.  Source rows with a
+    null key match nothing and are inserted.  Columns only in the source are
+    added (schema evolution); a matched row takes the source row whole.
     """
     if dedupe_order is not None:
         source = latest_per_key(source, keys, dedupe_order)
-    others_t = [c for c in target.columns if c not in keys]
-    others_s = [c for c in source.columns if c not in keys]
-    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in others_s], F.lit(True).alias("_s_present"))
-    j = target.join(s, list(keys), "full_outer")
-    present = F.coalesce(F.col("_s_present"), F.lit(False))
-    out = [F.col(k) for k in keys]
-    for c in others_t:
-        out.append(F.when(present, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in others_s else F.col(c))
-    out += [F.col(f"_s_{c}").alias(c) for c in others_s if c not in others_t]
-    return j.select(*out)
+    kept = anti(target, source.select(*keys).filter(_all_keys(keys)), keys)
+    return kept.unionByName(source, allowMissingColumns=True)
+
+
+def _all_keys(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
 
 
 def dedupe_latest(

@@ -95,12 +95,11 @@ def top_reasons(quarantine: DataFrame, params: Params = Params(), limit: int = R
 def reason_members(quarantine: DataFrame, params: Params = Params()) -> DataFrame:
     """H7 without the unbounded ``collect_list(distinct id)``: one row per
     (reason, key) with the reason's row count attached."""
-    from rowgate.operators.keyed import broadcast_if_small
-
     live = quarantine.filter(_live(params))
-    # one row per reason (reasons are combinations of rule codes): broadcast
-    # after a size check, so a reason holding most rows is not one join task
-    counts = broadcast_if_small(live.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("row_count")), 100_000)
+    # One row per reason; reasons are combinations of rule codes (at most
+    # 2^rules + 1 values), so the counts are broadcast and a reason holding
+    # most rows never becomes one join task.
+    counts = F.broadcast(live.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("row_count")))
     members = live.filter(F.col(params.keys[0]).isNotNull()).select("quarantine_reason", *params.keys).distinct()
     return members.join(counts, ["quarantine_reason"], "inner")
 

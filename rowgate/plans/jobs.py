@@ -55,7 +55,10 @@ class State:
 
     def write(self, name: str, df: DataFrame, observe: dict[str, Column] | None = None) -> dict:
         """Write ``df`` as the next version of ``name``; return observed metrics."""
-        cluster = list(self.params.keys) if name in ("clean", "released", "promoted") else None
+        # No re-clustering on write: an upsert keeps untouched rows where they
+        # are, so a write is map-only; the history table is the one kept
+        # clustered (key-hash buckets, see rowgate.sources.buckets).
+        cluster = None
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in _SCHEMAS[name](self.data_schema).fields])
         if not observe:
             tables.write(df, self.root, name, cluster_by=cluster)

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from rowgate.contracts import BATCH_NAME_PATTERN
 from rowgate.functions.timeexpr import batch_time, hours_between, ts
-from rowgate.operators.keyed import broadcast_if_small
 
 _PATH_RE = r"([^/]+)/(\d{8}_\d{6})/[^/]+$"
 
@@ -61,9 +60,10 @@ def latest_batch(df: DataFrame, area: str | None = None) -> DataFrame:
 
 def latest_per_area(df: DataFrame) -> DataFrame:
     """Rows of the newest batch of every area (S4); empty areas drop out."""
-    # One row per area (a handful of landing areas): broadcasting it keeps a
-    # whole batch -- one join key -- from landing in a single shuffle task.
-    newest = broadcast_if_small(_latest(df, ["area"]), 100_000)
+    # One row per landing area -- bounded by the number of area folders --
+    # so it is broadcast: a whole batch (one join key) never becomes one
+    # shuffle task.
+    newest = F.broadcast(_latest(df, ["area"]))
     return df.join(newest, ["area", "batch"], "left_semi")
 
 
@@ -81,10 +81,11 @@ def batch_inventory(df: DataFrame, as_of) -> DataFrame:
 def unprocessed(df: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows of batches not in the ledger of processed ``(area, batch)`` (S21, R-13).
 
-    The ledger has one row per batch folder; it is broadcast after a size
-    check so no batch is shuffled to a single task by its (area, batch) key.
+    The ledger has one row per batch folder (bounded by the folder count);
+    it is broadcast so no batch is shuffled to a single task by its
+    (area, batch) key.
     """
-    done = broadcast_if_small(ledger.select("area", "batch").distinct(), 1_000_000)
+    done = F.broadcast(ledger.select("area", "batch").distinct())
     return df.join(done, ["area", "batch"], "left_anti")
 
 

@@ -42,7 +42,7 @@ class LandingRouter:
             r = partial_load(clean, quarantine, rows, self.params, as_of=as_of, source_file=f"{area}/{name}")
             clean, quarantine = r.clean, r.quarantine
         tables.write(quarantine, self.root, "quarantine", version=batch_id + 1)
-        tables.write(clean, self.root, "clean", cluster_by=list(self.params.keys), version=batch_id + 1)
+        tables.write(clean, self.root, "clean", version=batch_id + 1)
 
 
 def landing_stream(spark: SparkSession, landing_root: str, data_schema: T.StructType) -> DataFrame:
