@@ -7,8 +7,17 @@ executor only recomputes its own tasks.  Row counts come from
 passes over the data.
 
 State layout under ``root`` (a folder in the shared checkpoint space, see
-``rowgate.session.run_dir``): ``<table>/v=NNNNNN`` per table, written by
-``rowgate.sources.tables``.
+``rowgate.session.run_dir``), written by ``rowgate.sources.tables``:
+
+* ``clean/v=N`` -- whole versions (loads replace or merge rows anywhere);
+* ``quarantine/v=N/terminal=false|true`` -- each step reads only the live
+  side of the newest version and writes the next version split in two:
+  rows still live, and rows that became terminal (RELEASED / EXPIRED) in
+  this step.  Terminal rows never change again, so the full quarantine
+  table is the newest live side plus the terminal sides of all versions,
+  and a pass costs O(live rows), not O(history);
+* ``dead_letter/v=N`` -- append-only, each pass adds the rows it moved;
+* ``released/v=N``, ``promoted/v=N`` -- the rows a pass released/promoted.
 """
 
 from __future__ import annotations
@@ -33,11 +42,12 @@ from rowgate.operators import lifecycle as L
 from rowgate.operators.route import full_load, partial_load
 from rowgate.sources import tables
 
+_TERMINAL = T.StructType([T.StructField("terminal", T.BooleanType())])
+
 _SCHEMAS = {
     "clean": clean_schema,
     "quarantine": quarantine_schema,
     "dead_letter": dead_letter_schema,
-    "expired": dead_letter_schema,
     "released": clean_schema,
     "promoted": clean_schema,
 }
@@ -50,22 +60,54 @@ class State:
     data_schema: T.StructType = DEFAULT_DATA_SCHEMA
     params: Params = field(default_factory=Params)
 
+    def _schema(self, name: str) -> T.StructType:
+        return _SCHEMAS[name](self.data_schema)
+
     def read(self, name: str) -> DataFrame:
-        return tables.read(self.spark, self.root, name, _SCHEMAS[name](self.data_schema))
+        """The whole table (quarantine: live side plus every terminal side;
+        dead letter: every part)."""
+        if name == "quarantine":
+            return self.read_live().unionByName(
+                tables.read_parts(self.spark, self.root, name, self._schema(name), "terminal", _TERMINAL))
+        if name == "dead_letter":
+            return tables.read_parts(self.spark, self.root, name, self._schema(name))
+        return tables.read(self.spark, self.root, name, self._schema(name))
+
+    def read_live(self) -> DataFrame:
+        """Live side of the newest quarantine version (what every step works on)."""
+        vs = tables.versions(self.spark, self.root, "quarantine")
+        schema = self._schema("quarantine")
+        if not vs:
+            return tables.empty(self.spark, schema)
+        full = T.StructType(schema.fields + _TERMINAL.fields)
+        return (
+            self.spark.read.schema(full).parquet(f"{self.root}/quarantine/v={vs[-1]:06d}")
+            .filter(~F.col("terminal")).drop("terminal")
+        )
+
+    def read_latest(self, name: str) -> DataFrame:
+        """Newest version only (for append-style tables: the last step's rows)."""
+        return tables.read(self.spark, self.root, name, self._schema(name))
 
     def write(self, name: str, df: DataFrame, observe: dict[str, Column] | None = None) -> dict:
-        """Write ``df`` as the next version of ``name``; return observed metrics."""
-        # No re-clustering on write: an upsert keeps untouched rows where they
-        # are, so a write is map-only; the history table is the one kept
-        # clustered (key-hash buckets, see rowgate.sources.buckets).
-        cluster = None
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in _SCHEMAS[name](self.data_schema).fields])
-        if not observe:
-            tables.write(df, self.root, name, cluster_by=cluster)
-            return {}
-        obs = Observation(f"{name}_metrics")
-        tables.write(df, self.root, name, cluster_by=cluster, observe=(obs, [v.alias(k) for k, v in observe.items()]))
-        return dict(obs.get)
+        """Write ``df`` as the next version of ``name``; return observed metrics.
+
+        No re-clustering on write: an upsert keeps untouched rows where they
+        are, so a write is map-only; the history table is the one kept
+        clustered (key-hash buckets, see rowgate.sources.buckets).
+        """
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in self._schema(name).fields])
+        part = None
+        if name == "quarantine":
+            live = F.col("quarantine_status").isin(*self.params.live, "FIXED")
+            df = df.withColumn("terminal", ~live)
+            part = ["terminal"]
+        obs_arg = None
+        if observe:
+            obs = Observation(f"{name}_metrics")
+            obs_arg = (obs, [v.alias(k) for k, v in observe.items()])
+        tables.write(df, self.root, name, observe=obs_arg, partition_by=part)
+        return dict(obs.get) if observe else {}
 
 
 def _rows() -> Column:
@@ -76,16 +118,16 @@ def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: st
     """Clean rows replace the clean table; failing rows are appended."""
     r = full_load(incoming, None, state.params, as_of, source_file)
     out = state.write("clean", r.clean, {"clean_rows": _rows()})
-    q = state.read("quarantine").unionByName(r.extra["quarantine_rows"], allowMissingColumns=True)
-    out.update(state.write("quarantine", q, {"quarantine_rows": _rows()}))
+    q = state.read_live().unionByName(r.extra["quarantine_rows"], allowMissingColumns=True)
+    out.update(state.write("quarantine", q, {"live_rows": _rows()}))
     return out
 
 
 def partial_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str) -> dict:
     """R2: stacking route; clean rows merged on the key, the rest appended."""
-    r = partial_load(state.read("clean"), state.read("quarantine"), incoming, state.params, as_of, source_file)
+    r = partial_load(state.read("clean"), state.read_live(), incoming, state.params, as_of, source_file)
     out = state.write("clean", r.clean, {"clean_rows": _rows()})
-    out.update(state.write("quarantine", r.quarantine, {"quarantine_rows": _rows()}))
+    out.update(state.write("quarantine", r.quarantine, {"live_rows": _rows()}))
     return out
 
 
@@ -99,13 +141,12 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
     clean versions are written last.
     """
     p = state.params
-    clean, quarantine = state.read("clean"), state.read("quarantine")
+    clean, quarantine = state.read("clean"), state.read_live()
     out: dict = {}
     for step in order:
         if step == "expire":
-            out.update(state.write("expired", L.dead_letter_rows(quarantine, as_of, p), {"expired_rows": _rows()}))
-            dead = state.read("dead_letter").unionByName(state.read("expired"), allowMissingColumns=True)
-            out.update(state.write("dead_letter", dead, {"dead_letter_rows": _rows()}))
+            # the moved rows are this pass's dead-letter part (append-only)
+            out.update(state.write("dead_letter", L.dead_letter_rows(quarantine, as_of, p), {"expired_rows": _rows()}))
             quarantine = L.mark_expired(quarantine, as_of, p)
         elif step == "release":
             out.update(state.write("released", L.latest_valid_per_key(quarantine, p), {"released_keys": _rows()}))
@@ -115,12 +156,15 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
             clean, quarantine, _ = L.promote_blocked(clean, quarantine, p, promoted=state.read("promoted"))
         else:
             raise ValueError(f"unknown step {step!r}")
+    # skipped steps still get an (empty) part, so "newest part" always means this pass
+    for step, name in (("expire", "dead_letter"), ("release", "released"), ("promote", "promoted")):
+        if step not in order:
+            state.write(name, tables.empty(state.spark, state._schema(name)))
     live = F.col("quarantine_status").isin(*p.live)
     out.update(state.write("quarantine", quarantine, {
-        "quarantine_rows": _rows(),
         "live_rows": F.count_if(live),
-        "released_rows": F.count_if(F.col("quarantine_status") == RELEASED),
-        "expired_status_rows": F.count_if(F.col("quarantine_status") == EXPIRED),
+        "newly_released_rows": F.count_if(F.col("quarantine_status") == RELEASED),
+        "newly_expired_rows": F.count_if(F.col("quarantine_status") == EXPIRED),
     }))
     out.update(state.write("clean", clean, {"clean_rows": _rows()}))
     return out
@@ -133,7 +177,7 @@ def summary_frame(state: State, as_of: str) -> DataFrame:
 
     q = state.read("quarantine")
     return one_row(
-        e=state.read("expired").agg(_rows().alias("expired_rows")),
+        e=state.read_latest("dead_letter").agg(_rows().alias("expired_rows")),
         r=state.read("released").agg(_rows().alias("released_keys")),
         p=state.read("promoted").agg(_rows().alias("promoted_keys")),
         c=state.read("clean").agg(_rows().alias("clean_rows")),

@@ -79,6 +79,27 @@ def read(
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")
 
 
+def read_parts(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    schema: T.StructType,
+    where: str | None = None,
+    extra: T.StructType | None = None,
+) -> DataFrame:
+    """Every committed version of an append-style table at once (each
+    version holds only the rows added by its step).  Uncommitted folders
+    of a failed attempt are pruned by the version list."""
+    vs = versions(spark, root, name)
+    full = T.StructType(schema.fields + (extra.fields if extra else []) + [T.StructField("v", T.IntegerType())])
+    if not vs:
+        return empty(spark, schema)
+    df = spark.read.schema(full).parquet(f"{root.rstrip('/')}/{name}").filter(F.col("v").isin(vs))
+    if where is not None:
+        df = df.filter(where)
+    return df.select(*[f.name for f in schema.fields])
+
+
 def write(
     df: DataFrame,
     root: str,
@@ -86,6 +107,7 @@ def write(
     cluster_by: list[str] | None = None,
     version: int | None = None,
     observe: tuple | None = None,
+    partition_by: list[str] | None = None,
 ) -> int:
     """Write ``df`` as a version and return its number.
 
@@ -109,5 +131,8 @@ def write(
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     if observe is not None:
         out = out.observe(observe[0], *observe[1])
-    out.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")
+    writer = out.write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")
     return version
