@@ -10,10 +10,15 @@ from pyspark.sql import SparkSession
 # Settings a job on a cluster would also want: AQE on (coalesce small
 # partitions, split skewed join partitions, broadcast a join side only when
 # its *measured* size is under the threshold), UTC session clock.
+# On a cluster also raise spark.sql.shuffle.partitions well above the core
+# count (AQE coalesces small partitions back) and keep
+# spark.sql.files.maxPartitionBytes near the advisory partition size, so a
+# task's input and shuffle blocks fit executor memory at any scale.
 CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -47,6 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is invisible to other executors and lost with them
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         d = tempfile.mkdtemp(prefix="rowgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
