@@ -17,7 +17,11 @@ State layout under ``root`` (a folder in the shared checkpoint space, see
   table is the newest live side plus the terminal sides of all versions,
   and a pass costs O(live rows), not O(history);
 * ``dead_letter/v=N`` -- append-only, each pass adds the rows it moved;
-* ``released/v=N``, ``promoted/v=N`` -- the rows a pass released/promoted.
+* ``released/v=N``, ``promoted/v=N`` -- the rows a pass released/promoted;
+* ``changes/v=N`` -- the change feed of clean version N (S7): written by the
+  job that wrote the version, from the keys it touched only (a merge diffs
+  its batch's keys, not the table; a full load diffs the whole snapshot).
+  ``clean_history`` folds it into the type-2 history.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from pyspark.sql import types as T
 
 from rowgate.contracts import (
     DEFAULT_DATA_SCHEMA,
+    change_schema,
     RELEASED,
     EXPIRED,
     Params,
@@ -39,7 +44,9 @@ from rowgate.contracts import (
 )
 from rowgate.functions.timeexpr import ts
 from rowgate.operators import lifecycle as L
-from rowgate.operators.route import full_load, partial_load
+from rowgate.operators.history import scd2, snapshot_changes
+from rowgate.operators.keyed import latest_per_key, semi, upsert
+from rowgate.operators.route import full_load, route
 from rowgate.sources import tables
 
 _TERMINAL = T.StructType([T.StructField("terminal", T.BooleanType())])
@@ -50,6 +57,7 @@ _SCHEMAS = {
     "dead_letter": dead_letter_schema,
     "released": clean_schema,
     "promoted": clean_schema,
+    "changes": change_schema,
 }
 
 
@@ -106,18 +114,47 @@ class State:
         if observe:
             obs = Observation(f"{name}_metrics")
             obs_arg = (obs, [v.alias(k) for k, v in observe.items()])
-        tables.write(df, self.root, name, observe=obs_arg, partition_by=part)
+        self.last_version = tables.write(df, self.root, name, observe=obs_arg, partition_by=part)
         return dict(obs.get) if observe else {}
 
+    def commit_clean(
+        self,
+        new: DataFrame,
+        as_of: str,
+        old: DataFrame,
+        old_touched: DataFrame | None = None,
+        new_touched: DataFrame | None = None,
+    ) -> dict:
+        """Write the next clean version and its change rows (same number).
+
+        ``old`` must be the frame of the previous version (read before this
+        write).  With ``new_touched`` (the rows a merge wrote), only those
+        keys are diffed: ``old_touched`` are their previous rows.
+        """
+        keys = list(self.params.keys)
+        out = self.write("clean", new, {"clean_rows": _rows()})
+        v = self.last_version
+        if new_touched is None:
+            ch = snapshot_changes(old, new, keys, v, as_of)
+        else:
+            ch = snapshot_changes(old_touched, new_touched, keys, v, as_of)
+        ch = ch.select(*[F.col(f.name).cast(f.dataType) for f in self._schema("changes").fields])
+        obs = Observation("changes_metrics")
+        tables.write(ch, self.root, "changes", version=v, observe=(obs, [_rows().alias("change_rows")]))
+        out.update(obs.get)
+        return out
+
 
 def _rows() -> Column:
     return F.count(F.lit(1))
 
 
 def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str) -> dict:
-    """Clean rows replace the clean table; failing rows are appended."""
+    """Clean rows replace the clean table (deleted keys show up as
+    deletes in the change feed, L16); failing rows are appended."""
+    old = state.read("clean")
     r = full_load(incoming, None, state.params, as_of, source_file)
-    out = state.write("clean", r.clean, {"clean_rows": _rows()})
+    out = state.commit_clean(r.clean, as_of, old)
     q = state.read_live().unionByName(r.extra["quarantine_rows"], allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
     return out
@@ -125,9 +162,14 @@ def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: st
 
 def partial_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str) -> dict:
     """R2: stacking route; clean rows merged on the key, the rest appended."""
-    r = partial_load(state.read("clean"), state.read_live(), incoming, state.params, as_of, source_file)
-    out = state.write("clean", r.clean, {"clean_rows": _rows()})
-    out.update(state.write("quarantine", r.quarantine, {"live_rows": _rows()}))
+    keys = list(state.params.keys)
+    old = state.read("clean")
+    r = route(incoming, state.read_live(), state.params, as_of, source_file, stack=True)
+    src = latest_per_key(r.clean, keys, ())
+    out = state.commit_clean(upsert(old, src, keys, dedupe_order=None), as_of, old,
+                             old_touched=semi(old, src, keys), new_touched=src)
+    q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
+    out.update(state.write("quarantine", q, {"live_rows": _rows()}))
     return out
 
 
@@ -142,6 +184,7 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
     """
     p = state.params
     clean, quarantine = state.read("clean"), state.read_live()
+    before = clean
     out: dict = {}
     for step in order:
         if step == "expire":
@@ -166,10 +209,21 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
         "newly_released_rows": F.count_if(F.col("quarantine_status") == RELEASED),
         "newly_expired_rows": F.count_if(F.col("quarantine_status") == EXPIRED),
     }))
-    out.update(state.write("clean", clean, {"clean_rows": _rows()}))
+    touched = state.read_latest("released").unionByName(state.read_latest("promoted"))
+    keys = list(p.keys)
+    out.update(state.commit_clean(clean, as_of, before, old_touched=semi(before, touched, keys), new_touched=touched))
     return out
 
 
+def clean_history(state: State, tracked: list[str] | None = None) -> DataFrame:
+    """Type-2 history of the clean table from its change feed (C3-C5), with
+    versions as the sequence (one job may write several at one ``as_of``)."""
+    keys = list(state.params.keys)
+    tracked = tracked or [c for c in state.data_schema.fieldNames() if c not in keys]
+    feed = tables.read_parts(state.spark, state.root, "changes", state._schema("changes"))
+    return scd2(feed, keys, "_commit_version", tracked)
+
+
 def summary_frame(state: State, as_of: str) -> DataFrame:
     """The pass summary as a one-row frame, aggregated from the written
     versions (parquet scans of the stored results, not a recomputation)."""

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from rowgate.contracts import DEFAULT_DATA_SCHEMA, clean_schema
 from rowgate.operators.history import scd2, snapshot_changes
-from rowgate.plans.jobs import State, full_load_job, maintenance_job, partial_load_job
+from rowgate.plans.jobs import State, clean_history, full_load_job, maintenance_job, partial_load_job
 from rowgate.sources import tables
 
 # G1 batches (id, name, age); None is NULL.
@@ -67,9 +67,12 @@ def test_golden_four_batches(spark, run_root):
     assert sorted(r[0] for r in q if r[2] == "QUARANTINE") == [4, 6, 10]
     assert not [r for r in q if r[2] not in ("RELEASED", "QUARANTINE")]
 
-    # History from the six clean versions: 13 rows, 6 open.
+    # History from the six clean versions: 13 rows, 6 open -- once from the
+    # change feed the jobs published (touched keys only), once by diffing
+    # whole snapshots; both must agree.
     vs = tables.versions(spark, run_root, "clean")
     assert len(vs) == 6
+    hist = clean_history(st).collect()
     schema = clean_schema()
     frames = [tables.read(spark, run_root, "clean", schema, version=v) for v in vs]
     feed = None
@@ -78,7 +81,8 @@ def test_golden_four_batches(spark, run_root):
         ch = snapshot_changes(prev, cur, ["id"], v, f"2026-03-06 0{v}:00:00")
         feed = ch if feed is None else feed.unionByName(ch)
         prev = cur
-    hist = scd2(feed, ["id"], "_commit_version", ["name", "age"]).collect()
+    diffed = scd2(feed, ["id"], "_commit_version", ["name", "age"]).collect()
+    assert sorted(map(tuple, diffed), key=_key) == sorted(map(tuple, hist), key=_key)
     assert len(hist) == 13
     assert sum(1 for h in hist if h.is_current) == 6
     got = sorted(((h.id, h.age, h.valid_from, h.valid_to) for h in hist), key=_key)
@@ -108,12 +112,5 @@ def test_golden_prose_trace(spark, run_root):
     assert sorted(r.id for r in dead) == [3, 9]
     assert all(r.quarantine_status == "EXPIRED" for r in dead)
 
-    vs = tables.versions(spark, run_root, "clean")
-    frames = [tables.read(spark, run_root, "clean", clean_schema(), version=v) for v in vs]
-    feed, prev = None, frames[0].filter(F.lit(False))
-    for v, cur in zip(vs, frames):
-        ch = snapshot_changes(prev, cur, ["id"], v, "2026-03-06 15:00:00")
-        feed = ch if feed is None else feed.unionByName(ch)
-        prev = cur
-    hist = scd2(feed, ["id"], "_commit_version", ["name", "age"]).collect()
+    hist = clean_history(st).collect()
     assert len(hist) == 4 and sum(h.is_current for h in hist) == 3
