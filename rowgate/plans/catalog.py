@@ -92,10 +92,42 @@ def schema_contract_report(spark, sf):
     return S.schema_report(B.landing_full(spark, sf), CONTRACT)
 
 
-@query("contract_tables")
+def _contract_sql() -> str:
+    """Oracle for ``contract_tables``: the contract columns as literal rows
+    (the same metadata the Spark side conforms to), joined with each
+    table's row count computed from the SQL bindings.  The clean-table
+    history count is the number of (key, version) runs: a key present in a
+    snapshot starts a version when it was absent before or its values
+    changed."""
+    from rowgate.contracts import CONTRACTS
+
+    rows = []
+    for name, mk in CONTRACTS.items():
+        for i, f in enumerate(mk(CONTRACT).fields):
+            rows.append(f"('{name}', {i}, '{f.name}', '{f.dataType.simpleString()}')")
+    cols = ",\n  ".join(rows)
+    return f"""
+SELECT c.table_name, c.position, c.column_name, c.data_type, n.row_count
+FROM (VALUES
+  {cols}) AS c(table_name, position, column_name, data_type)
+JOIN (
+  SELECT 'clean' AS table_name, (SELECT count(*) FROM clean_1) AS row_count
+  UNION ALL SELECT 'quarantine', (SELECT count(*) FROM quarantine_1)
+  UNION ALL SELECT 'dead_letter', (SELECT count(*) FROM dead_letter)
+  UNION ALL SELECT 'history', (
+    SELECT CAST(count_if(p1) + count_if(p2 AND (NOT p1 OR n2 IS DISTINCT FROM n1 OR a2 IS DISTINCT FROM a1))
+              + count_if(p3 AND (NOT p2 OR n3 IS DISTINCT FROM n2 OR a3 IS DISTINCT FROM a2)) AS BIGINT)
+    FROM (SELECT a.id IS NOT NULL AS p1, a.name AS n1, a.age AS a1, b.id IS NOT NULL AS p2, b.name AS n2, b.age AS a2,
+                 c.id IS NOT NULL AS p3, c.name AS n3, c.age AS a3
+          FROM (SELECT id FROM clean_0 UNION SELECT id FROM clean_1 UNION SELECT id FROM clean_2) k
+          LEFT JOIN clean_0 a ON a.id = k.id LEFT JOIN clean_1 b ON b.id = k.id LEFT JOIN clean_2 c ON c.id = k.id) i)
+) n ON c.table_name = n.table_name"""
+
+
+@query("contract_tables", _contract_sql())
 def contract_tables(spark, sf):
     """The four contract tables instantiated over real states; one
-    row per (table, column) with the table's row count (rows-only check)."""
+    row per (table, column) with the table's row count."""
     from rowgate.contracts import CONTRACTS
     from rowgate.sources.tables import conform
 
