@@ -63,10 +63,21 @@ _SCHEMAS = {
 
 @dataclass
 class State:
+    """Handle on the stored state of one pipeline.
+
+    ``at`` pins a run: reads see versions ``<= at`` only and every write
+    goes to version ``at + 1`` (replacing that folder).  A job that fails
+    part-way -- driver lost between two writes, say -- is simply run again
+    with the same ``at`` and produces the same versions; without ``at`` each
+    write takes the next free version.
+    """
+
     spark: SparkSession
     root: str
     data_schema: T.StructType = DEFAULT_DATA_SCHEMA
     params: Params = field(default_factory=Params)
+    at: int | None = None
+    written: dict = field(default_factory=dict)
 
     def _schema(self, name: str) -> T.StructType:
         return _SCHEMAS[name](self.data_schema)
@@ -76,14 +87,15 @@ class State:
         dead letter: every part)."""
         if name == "quarantine":
             return self.read_live().unionByName(
-                tables.read_parts(self.spark, self.root, name, self._schema(name), "terminal", _TERMINAL))
-        if name == "dead_letter":
-            return tables.read_parts(self.spark, self.root, name, self._schema(name))
-        return tables.read(self.spark, self.root, name, self._schema(name))
+                tables.read_parts(self.spark, self.root, name, self._schema(name), "terminal", _TERMINAL,
+                                  max_version=self.at))
+        if name in ("dead_letter", "changes"):
+            return tables.read_parts(self.spark, self.root, name, self._schema(name), max_version=self.at)
+        return tables.read(self.spark, self.root, name, self._schema(name), max_version=self.at)
 
     def read_live(self) -> DataFrame:
         """Live side of the newest quarantine version (what every step works on)."""
-        vs = tables.versions(self.spark, self.root, "quarantine")
+        vs = [v for v in tables.versions(self.spark, self.root, "quarantine") if self.at is None or v <= self.at]
         schema = self._schema("quarantine")
         if not vs:
             return tables.empty(self.spark, schema)
@@ -93,9 +105,15 @@ class State:
             .filter(~F.col("terminal")).drop("terminal")
         )
 
-    def read_latest(self, name: str) -> DataFrame:
-        """Newest version only (for append-style tables: the last step's rows)."""
-        return tables.read(self.spark, self.root, name, self._schema(name))
+    def after(self) -> "State":
+        """The state as this run left it (reads pinned to its last write)."""
+        last = max(self.written.values()) if self.written else self.at
+        return State(self.spark, self.root, self.data_schema, self.params, at=last, written=dict(self.written))
+
+    def read_written(self, name: str) -> DataFrame:
+        """What this run wrote to ``name`` (for append-style tables: this
+        step's rows); the newest version when the run wrote nothing."""
+        return tables.read(self.spark, self.root, name, self._schema(name), version=self.written.get(name))
 
     def write(self, name: str, df: DataFrame, observe: dict[str, Column] | None = None) -> dict:
         """Write ``df`` as the next version of ``name``; return observed metrics.
@@ -114,7 +132,9 @@ class State:
         if observe:
             obs = Observation(f"{name}_metrics")
             obs_arg = (obs, [v.alias(k) for k, v in observe.items()])
-        self.last_version = tables.write(df, self.root, name, observe=obs_arg, partition_by=part)
+        version = None if self.at is None else self.at + 1
+        self.last_version = tables.write(df, self.root, name, observe=obs_arg, partition_by=part, version=version)
+        self.written[name] = self.last_version
         return dict(obs.get) if observe else {}
 
     def commit_clean(
@@ -141,6 +161,7 @@ class State:
         ch = ch.select(*[F.col(f.name).cast(f.dataType) for f in self._schema("changes").fields])
         obs = Observation("changes_metrics")
         tables.write(ch, self.root, "changes", version=v, observe=(obs, [_rows().alias("change_rows")]))
+        self.written["changes"] = v
         out.update(obs.get)
         return out
 
@@ -193,10 +214,10 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
             quarantine = L.mark_expired(quarantine, as_of, p)
         elif step == "release":
             out.update(state.write("released", L.latest_valid_per_key(quarantine, p), {"released_keys": _rows()}))
-            clean, quarantine, _ = L.release_fixed(clean, quarantine, p, released=state.read("released"))
+            clean, quarantine, _ = L.release_fixed(clean, quarantine, p, released=state.read_written("released"))
         elif step == "promote":
             out.update(state.write("promoted", L.promoted_rows(quarantine, p), {"promoted_keys": _rows()}))
-            clean, quarantine, _ = L.promote_blocked(clean, quarantine, p, promoted=state.read("promoted"))
+            clean, quarantine, _ = L.promote_blocked(clean, quarantine, p, promoted=state.read_written("promoted"))
         else:
             raise ValueError(f"unknown step {step!r}")
     # skipped steps still get an (empty) part, so "newest part" always means this pass
@@ -209,7 +230,7 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
         "newly_released_rows": F.count_if(F.col("quarantine_status") == RELEASED),
         "newly_expired_rows": F.count_if(F.col("quarantine_status") == EXPIRED),
     }))
-    touched = state.read_latest("released").unionByName(state.read_latest("promoted"))
+    touched = state.read_written("released").unionByName(state.read_written("promoted"))
     keys = list(p.keys)
     out.update(state.commit_clean(clean, as_of, before, old_touched=semi(before, touched, keys), new_touched=touched))
     return out
@@ -220,7 +241,7 @@ def clean_history(state: State, tracked: list[str] | None = None) -> DataFrame:
     versions as the sequence (one job may write several at one ``as_of``)."""
     keys = list(state.params.keys)
     tracked = tracked or [c for c in state.data_schema.fieldNames() if c not in keys]
-    feed = tables.read_parts(state.spark, state.root, "changes", state._schema("changes"))
+    feed = state.read("changes")
     return scd2(feed, keys, "_commit_version", tracked)
 
 
@@ -229,11 +250,12 @@ def summary_frame(state: State, as_of: str) -> DataFrame:
     versions (parquet scans of the stored results, not a recomputation)."""
     from rowgate.operators.reports import one_row
 
+    state = state.after()
     q = state.read("quarantine")
     return one_row(
-        e=state.read_latest("dead_letter").agg(_rows().alias("expired_rows")),
-        r=state.read("released").agg(_rows().alias("released_keys")),
-        p=state.read("promoted").agg(_rows().alias("promoted_keys")),
+        e=state.read_written("dead_letter").agg(_rows().alias("expired_rows")),
+        r=state.read_written("released").agg(_rows().alias("released_keys")),
+        p=state.read_written("promoted").agg(_rows().alias("promoted_keys")),
         c=state.read("clean").agg(_rows().alias("clean_rows")),
         q=q.agg(F.count_if(F.col("quarantine_status").isin(*state.params.live)).alias("live_rows"),
                 F.count_if(F.col("quarantine_status") == RELEASED).alias("released_rows")),
