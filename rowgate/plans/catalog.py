@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowgate.contracts import BLOCKED, QUARANTINE, RELEASED, Params
+from rowgate.contracts import Params
 from rowgate.functions.rules import render_codes, type_rules
 from rowgate.functions.timeexpr import ts
 from rowgate.operators import history as H
 from rowgate.operators import lifecycle as L
 from rowgate.operators import reports as R
 from rowgate.operators.keyed import dedupe_latest, upsert
-from rowgate.operators.route import append, classify, null_flags, partial_load, route, validate
+from rowgate.operators.route import append, classify, null_flags, route, validate
 from rowgate.plans.oracle_views import LIVE, T2, with_views
 from rowgate.sources import bindings as B
 from rowgate.sources import landing as S
@@ -50,10 +50,6 @@ def rendered(df: DataFrame, cols=QCOLS) -> DataFrame:
     return df.select(*[render_codes(F.col(c)).alias(c) if c == "validation_errors" else F.col(c) for c in cols])
 
 
-def _sel(cols: str) -> str:
-    return cols
-
-
 # --- landing (S1-S5, S21) ------------------------------------------------------
 
 @query("latest_batch_rows", """
@@ -483,10 +479,6 @@ SELECT (SELECT count(*) FROM dead_letter) AS expired_rows,
        (SELECT count(*) FROM final_quarantine WHERE quarantine_status = 'RELEASED') AS released_rows"""
 
 
-def maintenance(spark, sf) -> dict:
-    return L.maintenance_pass(B.clean_1(spark, sf), B.quarantine_1(spark, sf), None, B.T2, P)
-
-
 def maintenance_state(spark, sf):
     """Run the maintenance job on the stored state after F and P; return
     the state handle (new versions written under a fresh run folder)."""

@@ -42,7 +42,7 @@ from rowgate.contracts import (
     dead_letter_schema,
     quarantine_schema,
 )
-from rowgate.functions.timeexpr import ts
+
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.operators.keyed import latest_per_key, semi, upsert

@@ -9,7 +9,6 @@ contract schema (ruling R-4), so first runs need no special case.
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
