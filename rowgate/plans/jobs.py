@@ -170,6 +170,22 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def create_all(state: State, with_history: bool = True) -> list[str]:
+    """An empty first version of every contract table that does not
+    exist yet (``CREATE TABLE IF NOT EXISTS``); returns the names created."""
+    from rowgate.contracts import history_schema
+
+    made = []
+    for name in ("clean", "quarantine", "dead_letter"):
+        if not tables.versions(state.spark, state.root, name):
+            state.write(name, tables.empty(state.spark, state._schema(name)))
+            made.append(name)
+    if with_history and not tables.versions(state.spark, state.root, "history"):
+        tables.write(tables.empty(state.spark, history_schema(state.data_schema)), state.root, "history")
+        made.append("history")
+    return made
+
+
 def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str) -> dict:
     """Clean rows replace the clean table (deleted keys show up as
     deletes in the change feed, L16); failing rows are appended."""

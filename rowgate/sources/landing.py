@@ -140,3 +140,31 @@ def schema_report(df: DataFrame, contract: T.StructType) -> DataFrame:
             )
         )
     return stats.select(F.col("_rows").alias("row_count"), F.inline(F.array(*rows)))
+
+
+def require_latest_batch(df: DataFrame, area: str | None = None) -> str:
+    """Name of the newest batch (S2); ``FileNotFoundError`` when there is none.
+
+    One aggregate returning one value -- the only thing that reaches the
+    driver.
+    """
+    if area is not None:
+        df = df.filter(F.col("area") == area)
+    newest = _latest(df, []).first()
+    if newest is None or newest["batch"] is None:
+        raise FileNotFoundError(f"no batch folder found{' in ' + area if area else ''}")
+    return newest["batch"]
+
+
+def is_readable(spark: SparkSession, path: str, contract: T.StructType | None = None) -> bool:
+    """Readability probe (S5): the folder's parquet footers can be read and,
+    if a contract is given, every contract column is present.  Reads
+    metadata only."""
+    try:
+        schema = spark.read.parquet(path).schema
+    except Exception:  # noqa: BLE001 - any read failure means "not readable"
+        return False
+    if contract is None:
+        return True
+    names = set(schema.fieldNames())
+    return all(f.name in names for f in contract.fields)

@@ -129,3 +129,25 @@ def test_history_split_plan_equals_plain_with_hot_key(spark):
         split = scd2(df, ["id"], "seq", ["event_type", "value"], split_rows=20, split_buckets=8, **kw)
         assert plain.count() == split.count()
         assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_missing_batch_raises_and_readability_probe(spark, run_root):
+    import pytest
+
+    land = f"{run_root}/landing"
+    df(spark, [(1, "a", 1)]).write.parquet(f"{land}/parquet_full/20260101_000000")
+    rows = S.read_landing(spark, land)
+    assert S.require_latest_batch(rows, "parquet_full") == "20260101_000000"
+    with pytest.raises(FileNotFoundError):
+        S.require_latest_batch(rows, "parquet_partial")
+    assert S.is_readable(spark, f"{land}/parquet_full/20260101_000000", DATA)
+    assert not S.is_readable(spark, f"{land}/nothing_here")
+
+
+def test_create_all_is_idempotent(spark, run_root):
+    from rowgate.plans.jobs import State, create_all
+
+    st = State(spark, run_root, DATA)
+    assert create_all(st) == ["clean", "quarantine", "dead_letter", "history"]
+    assert create_all(st) == []
+    assert st.read("clean").count() == 0 and st.read("quarantine").count() == 0
