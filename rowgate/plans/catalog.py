@@ -751,7 +751,6 @@ def landing_stream_q(spark, sf):
     for df, src in ((B.landing_full(spark, sf), B.SOURCE_F), (B.landing_partial(spark, sf), B.SOURCE_P)):
         df.select([F.col(f.name).cast(f.dataType) for f in CONTRACT.fields]).write.parquet(f"{land}/{src}")
         run_available(spark, land, router, f"{root}/checkpoint")
-    from rowgate.contracts import quarantine_schema
-    from rowgate.sources import tables
+    from rowgate.plans.jobs import State
 
-    return rendered(tables.read(spark, f"{root}/state", "quarantine", quarantine_schema(CONTRACT)))
+    return rendered(State(spark, f"{root}/state", CONTRACT, P).read("quarantine"))

@@ -4,8 +4,11 @@ over a file stream of ``<area>/<yyyyMMdd_HHmmss>/*.parquet`` batches.
 Each micro-batch may carry several landing batches; they are routed oldest
 first so a later batch sees the keys an earlier one quarantined (R4).  The
 stamp time of a batch is its folder time, so re-running gives the same rows.
-State (clean and quarantine tables) is versioned by micro-batch id and each
-version folder is replaced on retry, which makes the sink idempotent.
+State is the jobs' ``State`` pinned at the micro-batch id: reads see
+versions ``<= batch_id`` and every write is version ``batch_id + 1``,
+replaced on retry, so the sink is idempotent.  Each micro-batch also
+publishes the clean table's change rows for the keys it touched, which the
+history stream can consume.
 """
 
 from __future__ import annotations
@@ -16,11 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowgate.contracts import Params, clean_schema, quarantine_schema
+from rowgate.contracts import BATCH_NAME_PATTERN, Params
 from rowgate.operators.route import partial_load
-from rowgate.sources import tables
 from rowgate.sources.landing import _PATH_RE
-from rowgate.contracts import BATCH_NAME_PATTERN
 
 
 class LandingRouter:
@@ -30,19 +31,31 @@ class LandingRouter:
         self.params = params
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        from rowgate.operators.keyed import key_set, semi
+        from rowgate.plans.jobs import State
+
+        st = State(batch.sparkSession, self.root, self.data_schema, self.params, at=batch_id)
         cols = [f.name for f in self.data_schema.fields]
+        keys = list(self.params.keys)
         # Only folder names reach the driver (bounded by the number of files).
         names = [(r["area"], r["batch"]) for r in batch.select("area", "batch").distinct().orderBy("batch", "area").collect()]
-        clean = tables.read(spark, self.root, "clean", clean_schema(self.data_schema), max_version=batch_id)
-        quarantine = tables.read(spark, self.root, "quarantine", quarantine_schema(self.data_schema), max_version=batch_id)
+        old_clean = st.read("clean")
+        clean, live = old_clean, st.read_live()
+        touched = None
+        as_of = None
         for area, name in names:
             rows = batch.filter((F.col("area") == area) & (F.col("batch") == name)).select(*cols)
             as_of = dt.datetime.strptime(name, "%Y%m%d_%H%M%S").strftime("%Y-%m-%d %H:%M:%S")
-            r = partial_load(clean, quarantine, rows, self.params, as_of=as_of, source_file=f"{area}/{name}")
-            clean, quarantine = r.clean, r.quarantine
-        tables.write(quarantine, self.root, "quarantine", version=batch_id + 1)
-        tables.write(clean, self.root, "clean", version=batch_id + 1)
+            r = partial_load(clean, live, rows, self.params, as_of=as_of, source_file=f"{area}/{name}")
+            clean, live = r.clean, r.quarantine
+            k = key_set(r.extra["clean_rows"], keys)
+            touched = k if touched is None else touched.unionByName(k)
+        if as_of is None:
+            return
+        st.write("quarantine", live)
+        keys_df = touched.distinct()
+        st.commit_clean(clean, as_of, old_clean, old_touched=semi(old_clean, keys_df, keys),
+                        new_touched=semi(clean, keys_df, keys))
 
 
 def landing_stream(spark: SparkSession, landing_root: str, data_schema: T.StructType) -> DataFrame:

@@ -35,3 +35,22 @@ def test_retried_and_late_batches(spark, run_root):
     assert _rows(current_history(spark, fold)) == once
     expected = scd2(ch, ["id"], "seq", ["event_type"], change_type="change_type", tiebreak=["tiebreak"])
     assert once == _rows(expected.select(*current_history(spark, fold).columns))
+
+
+def test_landing_stream_publishes_change_feed(spark, run_root):
+    from rowgate.plans.catalog import CONTRACT
+    from rowgate.plans.jobs import State, clean_history
+    from rowgate.streaming.landing_stream import LandingRouter, run_available
+
+    land = f"{run_root}/landing"
+    router = LandingRouter(f"{run_root}/state", CONTRACT, B.PARAMS)
+    for df, src in ((B.landing_full(spark, SF), B.SOURCE_F), (B.landing_partial(spark, SF), B.SOURCE_P)):
+        df.write.parquet(f"{land}/{src}")
+        run_available(spark, land, router, f"{run_root}/checkpoint")
+    st = State(spark, f"{run_root}/state", CONTRACT, B.PARAMS)
+    assert sorted(map(tuple, st.read("clean").collect())) == sorted(map(tuple, B.clean_1(spark, SF).collect()))
+    feed = st.read("changes").groupBy("_commit_version", "_change_type").count().collect()
+    got = {(r["_commit_version"], r["_change_type"]): r["count"] for r in feed}
+    # FIXTURES §5 at sf0.001: clean_0 has 102 rows; clean_0 -> clean_1 inserts 7, updates 23
+    assert got == {(1, "insert"): 102, (2, "insert"): 7, (2, "update_preimage"): 23, (2, "update_postimage"): 23}
+    assert clean_history(st).filter("is_current").count() == 109
