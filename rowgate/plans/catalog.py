@@ -754,3 +754,38 @@ def landing_stream_q(spark, sf):
     from rowgate.plans.jobs import State
 
     return rendered(State(spark, f"{root}/state", CONTRACT, P).read("quarantine"))
+
+
+@query("clean_history_stream", """
+SELECT a.id, a.name, a.age, CAST('2026-03-06 14:30:22' AS TIMESTAMP) AS valid_from,
+       CASE WHEN b.id IS NULL OR b.name IS DISTINCT FROM a.name OR b.age IS DISTINCT FROM a.age
+            THEN CAST('2026-03-06 15:00:00' AS TIMESTAMP) END AS valid_to,
+       (b.id IS NOT NULL AND b.name IS NOT DISTINCT FROM a.name AND b.age IS NOT DISTINCT FROM a.age) AS is_current
+FROM clean_0 a LEFT JOIN clean_1 b ON a.id = b.id
+UNION ALL
+SELECT b.id, b.name, b.age, CAST('2026-03-06 15:00:00' AS TIMESTAMP), CAST(NULL AS TIMESTAMP), TRUE
+FROM clean_1 b LEFT JOIN clean_0 a ON a.id = b.id
+WHERE a.id IS NULL OR b.name IS DISTINCT FROM a.name OR b.age IS DISTINCT FROM a.age""")
+def clean_history_stream(spark, sf):
+    """C9 end to end: landing files -> routed by the landing stream, which
+    writes the clean table and its change feed -> a second stream folds the
+    feed into the type-2 history of the clean table (sequence = commit time).
+    Both streams resume from their checkpoints after each landing batch."""
+    from rowgate.contracts import change_schema
+    from rowgate.session import run_dir
+    from rowgate.streaming import history_stream as HS
+    from rowgate.streaming import landing_stream as LS
+
+    root = run_dir(spark, "clean_history_stream")
+    land, state = f"{root}/landing", f"{root}/state"
+    router = LS.LandingRouter(state, CONTRACT, P)
+    hist_schema = T.StructType(CONTRACT.fields + [T.StructField("valid_from", T.TimestampNTZType()),
+                                                  T.StructField("valid_to", T.TimestampNTZType()),
+                                                  T.StructField("is_current", T.BooleanType())])
+    fold = HS.HistoryFold(f"{root}/history", ["id"], "_commit_timestamp", ["name", "age"], "_change_type",
+                          ["_commit_version"], change_schema(CONTRACT), hist_schema)
+    for df, src in ((B.landing_full(spark, sf), B.SOURCE_F), (B.landing_partial(spark, sf), B.SOURCE_P)):
+        df.select([F.col(f.name).cast(f.dataType) for f in CONTRACT.fields]).write.parquet(f"{land}/{src}")
+        LS.run_available(spark, land, router, f"{root}/checkpoint_landing")
+        HS.run_available(spark, f"{state}/changes", fold, f"{root}/checkpoint_history")
+    return HS.current_history(spark, fold).select("id", "name", "age", "valid_from", "valid_to", "is_current")
