@@ -138,15 +138,25 @@ def route(
     """
     data_columns = list(params.columns or incoming.columns)
     v = classify(incoming, quarantine, params, source_file, rules, stack)
+    return split(v, data_columns, as_of, params.hours)
+
+
+def split(classified: DataFrame, data_columns, as_of, hours: int) -> RouteResult:
+    """Both branches of a classified frame (the output of ``classify``).
+
+    A job that writes both branches can materialize ``classified`` once
+    (a written table) and split that, so the batch is scanned and joined
+    against the live keys a single time.
+    """
     bad_pred = F.col(FAILED) | F.col(STACKED)
-    clean = v.filter(~bad_pred).select(*data_columns)
-    bad = stamp_quarantine(v.filter(bad_pred), data_columns, as_of, params.hours)
-    summary = v.agg(
+    clean = classified.filter(~bad_pred).select(*data_columns)
+    bad = stamp_quarantine(classified.filter(bad_pred), data_columns, as_of, hours)
+    summary = classified.agg(
         F.count_if(~bad_pred).alias("clean_count"),
         F.count_if(bad_pred).alias("quarantine_count"),
         F.count(F.lit(1)).alias("total_processed"),
     )
-    return RouteResult(clean=clean, quarantine=bad, summary=summary, extra={"validated": v})
+    return RouteResult(clean=clean, quarantine=bad, summary=summary, extra={"validated": classified})
 
 
 def append(target: DataFrame | None, rows: DataFrame, evolve: bool = True) -> DataFrame:

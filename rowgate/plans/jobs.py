@@ -46,7 +46,7 @@ from rowgate.contracts import (
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.operators.keyed import latest_per_key, semi, upsert
-from rowgate.operators.route import full_load, route
+from rowgate.operators.route import classify, split
 from rowgate.sources import tables
 
 _TERMINAL = T.StructType([T.StructField("terminal", T.BooleanType())])
@@ -105,6 +105,13 @@ class State:
             .filter(~F.col("terminal")).drop("terminal")
         )
 
+    def next_version(self, name: str) -> int:
+        """The version number this run's next write of ``name`` will get."""
+        if self.at is not None:
+            return self.at + 1
+        vs = tables.versions(self.spark, self.root, name)
+        return (vs[-1] + 1) if vs else 1
+
     def after(self) -> "State":
         """The state as this run left it (reads pinned to its last write)."""
         last = max(self.written.values()) if self.written else self.at
@@ -186,13 +193,29 @@ def create_all(state: State, with_history: bool = True) -> list[str]:
     return made
 
 
+def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool):
+    """Classify the batch once, keep it as a written table in the run's
+    folder (lineage cut, one scan of the batch for both branches), split."""
+    p = state.params
+    data_columns = list(p.columns or incoming.columns)
+    v = classify(incoming, state.read_live() if stack else None, p, source_file, stack=stack)
+    path = f"{state.root}/staging/route/v={state.next_version('clean'):06d}"
+    obs = Observation("route_metrics")
+    bad = F.col("has_any_failure") | F.col("id_is_stacked")
+    v.observe(obs, F.count_if(~bad).alias("clean_count"), F.count_if(bad).alias("quarantine_count"),
+              _rows().alias("total_processed")).write.mode("overwrite").parquet(path)
+    staged = state.spark.read.schema(v.schema).parquet(path)
+    r = split(staged, data_columns, as_of, p.hours)
+    return r, dict(obs.get)
+
+
 def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str) -> dict:
     """Clean rows replace the clean table (deleted keys show up as
     deletes in the change feed, L16); failing rows are appended."""
     old = state.read("clean")
-    r = full_load(incoming, None, state.params, as_of, source_file)
-    out = state.commit_clean(r.clean, as_of, old)
-    q = state.read_live().unionByName(r.extra["quarantine_rows"], allowMissingColumns=True)
+    r, out = _routed(state, incoming, as_of, source_file, stack=False)
+    out.update(state.commit_clean(r.clean, as_of, old))
+    q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
     return out
 
@@ -201,10 +224,10 @@ def partial_load_job(state: State, incoming: DataFrame, as_of: str, source_file:
     """R2: stacking route; clean rows merged on the key, the rest appended."""
     keys = list(state.params.keys)
     old = state.read("clean")
-    r = route(incoming, state.read_live(), state.params, as_of, source_file, stack=True)
+    r, out = _routed(state, incoming, as_of, source_file, stack=True)
     src = latest_per_key(r.clean, keys, ())
-    out = state.commit_clean(upsert(old, src, keys, dedupe_order=None), as_of, old,
-                             old_touched=semi(old, src, keys), new_touched=src)
+    out.update(state.commit_clean(upsert(old, src, keys, dedupe_order=None), as_of, old,
+                                  old_touched=semi(old, src, keys), new_touched=src))
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
     return out
