@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowgate.contracts import BATCH_NAME_PATTERN, Params
-from rowgate.operators.route import partial_load
 from rowgate.sources.landing import _PATH_RE
 
 
@@ -31,7 +30,8 @@ class LandingRouter:
         self.params = params
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from rowgate.operators.keyed import key_set, semi
+        from rowgate.operators.keyed import key_set, latest_per_key, semi, upsert
+        from rowgate.operators.route import classify, split
         from rowgate.plans.jobs import State
 
         st = State(batch.sparkSession, self.root, self.data_schema, self.params, at=batch_id)
@@ -46,9 +46,15 @@ class LandingRouter:
         for area, name in names:
             rows = batch.filter((F.col("area") == area) & (F.col("batch") == name)).select(*cols)
             as_of = dt.datetime.strptime(name, "%Y%m%d_%H%M%S").strftime("%Y-%m-%d %H:%M:%S")
-            r = partial_load(clean, live, rows, self.params, as_of=as_of, source_file=f"{area}/{name}")
-            clean, live = r.clean, r.quarantine
-            k = key_set(r.extra["clean_rows"], keys)
+            # classify once into a staged table (replaced on retry), split both branches from it
+            v = classify(rows, live, self.params, f"{area}/{name}", stack=True)
+            path = f"{self.root}/staging/route/v={batch_id + 1:06d}/{area}_{name}"
+            v.write.mode("overwrite").parquet(path)
+            r = split(st.spark.read.schema(v.schema).parquet(path), cols, as_of, self.params.hours)
+            src = latest_per_key(r.clean, keys, ())
+            clean = upsert(clean, src, keys, dedupe_order=None)
+            live = live.unionByName(r.quarantine, allowMissingColumns=True)
+            k = key_set(src, keys)
             touched = k if touched is None else touched.unionByName(k)
         if as_of is None:
             return
