@@ -789,3 +789,44 @@ def clean_history_stream(spark, sf):
         LS.run_available(spark, land, router, f"{root}/checkpoint_landing")
         HS.run_available(spark, f"{state}/changes", fold, f"{root}/checkpoint_history")
     return HS.current_history(spark, fold).select("id", "name", "age", "valid_from", "valid_to", "is_current")
+
+
+@query("quality_check_summary", f"""
+WITH q_f2 AS (SELECT id, name, age FROM landing_full_2 WHERE id IS NULL OR name IS NULL OR age IS NULL),
+c_f2 AS (SELECT id, name, age FROM landing_full_2 WHERE id IS NOT NULL AND name IS NOT NULL AND age IS NOT NULL),
+live AS (SELECT DISTINCT id FROM q_f2 WHERE id IS NOT NULL),
+p AS (SELECT l.id, l.name, l.age, (l.id IS NULL OR l.name IS NULL OR l.age IS NULL) AS bad, v.id IS NOT NULL AS stacked
+      FROM landing_partial l LEFT JOIN live v ON l.id = v.id),
+q_all AS (SELECT id, name, age, CAST('2026-03-07 01:00:00' AS TIMESTAMP) AS stamped FROM q_f2
+          UNION ALL SELECT id, name, age, CAST('2026-03-06 15:00:00' AS TIMESTAMP) FROM p WHERE bad OR stacked),
+c_p AS (SELECT id FROM p WHERE NOT bad AND NOT stacked),
+fixed AS (SELECT DISTINCT id FROM q_all WHERE {_ALL_PRESENT}),
+after AS (SELECT id, CASE WHEN id IN (SELECT id FROM fixed) THEN 'RELEASED'
+                          WHEN stamped + INTERVAL '24' HOUR < {T2} THEN 'EXPIRED' ELSE 'LIVE' END AS st FROM q_all),
+cl AS (SELECT id FROM c_f2 UNION SELECT id FROM c_p UNION SELECT id FROM fixed),
+newest AS (SELECT area, max(batch) AS batch FROM landing GROUP BY area)
+SELECT (SELECT count(*) FROM newest) AS batches_routed,
+       (SELECT count(*) FROM cl) AS clean_rows,
+       (SELECT count(*) FROM after WHERE st = 'LIVE') AS live_rows,
+       (SELECT count(*) FROM after WHERE st = 'RELEASED') AS released_rows,
+       (SELECT count(*) FROM after WHERE st = 'EXPIRED') AS expired_rows,
+       (SELECT count(*) FROM newest) AS ledger_rows""")
+def quality_check_summary(spark, sf):
+    """The quality-check job (S4, S21, R4, L17) over the three landing
+    batches: the newest of each area is routed (full area first), then
+    release -> expire at T2; one summary row read back from the state."""
+    from rowgate.contracts import FULL_AREA, PARTIAL_AREA
+    from rowgate.plans.jobs import State, quality_check_job
+    from rowgate.session import run_dir
+
+    st = State(spark, run_dir(spark, "quality_check"), CONTRACT, P)
+    quality_check_job(st, B.landing(spark, sf), B.T2, areas=(FULL_AREA, PARTIAL_AREA))
+    q = st.read("quarantine")
+    return R.one_row(
+        b=st.read("ledger").agg(F.count(F.lit(1)).alias("batches_routed")),
+        c=st.read("clean").agg(F.count(F.lit(1)).alias("clean_rows")),
+        q=q.agg(F.count_if(F.col("quarantine_status").isin(*P.live)).alias("live_rows"),
+                F.count_if(F.col("quarantine_status") == "RELEASED").alias("released_rows"),
+                F.count_if(F.col("quarantine_status") == "EXPIRED").alias("expired_rows")),
+        l=st.read("ledger").agg(F.count(F.lit(1)).alias("ledger_rows")),
+    )

@@ -45,7 +45,7 @@ from rowgate.contracts import (
 
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
-from rowgate.operators.keyed import latest_per_key, semi, upsert
+from rowgate.operators.keyed import key_set, latest_per_key, semi, upsert
 from rowgate.operators.route import classify, split
 from rowgate.sources import tables
 
@@ -58,8 +58,15 @@ _SCHEMAS = {
     "released": clean_schema,
     "promoted": clean_schema,
     "changes": change_schema,
+    "ledger": lambda _data: LEDGER_SCHEMA,
 }
 
+LEDGER_SCHEMA = T.StructType([
+    T.StructField("area", T.StringType()),
+    T.StructField("batch", T.StringType()),
+    T.StructField("processed_at", T.TimestampNTZType()),
+])
+
 
 @dataclass
 class State:
@@ -89,7 +96,7 @@ class State:
             return self.read_live().unionByName(
                 tables.read_parts(self.spark, self.root, name, self._schema(name), "terminal", _TERMINAL,
                                   max_version=self.at))
-        if name in ("dead_letter", "changes"):
+        if name in ("dead_letter", "changes", "ledger"):
             return tables.read_parts(self.spark, self.root, name, self._schema(name), max_version=self.at)
         return tables.read(self.spark, self.root, name, self._schema(name), max_version=self.at)
 
@@ -299,3 +306,62 @@ def summary_frame(state: State, as_of: str) -> DataFrame:
         q=q.agg(F.count_if(F.col("quarantine_status").isin(*state.params.live)).alias("live_rows"),
                 F.count_if(F.col("quarantine_status") == RELEASED).alias("released_rows")),
     )
+
+
+def route_batches(state: State, rows: DataFrame, names: list[tuple[str, str]]) -> dict:
+    """Route several landing batches in the given order (R4) and write one
+    new clean version (with its change rows) and one quarantine version.
+
+    ``rows`` carries ``area`` and ``batch`` columns; each batch is classified
+    once into a staged table, then split; a later batch sees the keys an
+    earlier one quarantined.  The stamp time of a batch is its folder time.
+    """
+    import datetime as dt
+
+    p = state.params
+    keys = list(p.keys)
+    cols = [f.name for f in state.data_schema.fields]
+    old = state.read("clean")
+    clean, live = old, state.read_live()
+    touched, as_of, out = None, None, {}
+    version = state.next_version("clean")
+    for area, name in names:
+        batch = rows.filter((F.col("area") == area) & (F.col("batch") == name)).select(*cols)
+        as_of = dt.datetime.strptime(name, "%Y%m%d_%H%M%S").strftime("%Y-%m-%d %H:%M:%S")
+        v = classify(batch, live, p, f"{area}/{name}", stack=True)
+        path = f"{state.root}/staging/route/v={version:06d}/{area}_{name}"
+        v.write.mode("overwrite").parquet(path)
+        r = split(state.spark.read.schema(v.schema).parquet(path), cols, as_of, p.hours)
+        src = latest_per_key(r.clean, keys, ())
+        clean = upsert(clean, src, keys, dedupe_order=None)
+        live = live.unionByName(r.quarantine, allowMissingColumns=True)
+        k = key_set(src, keys)
+        touched = k if touched is None else touched.unionByName(k)
+    if as_of is None:
+        return out
+    out.update(state.write("quarantine", live, {"live_rows": _rows()}))
+    keys_df = touched.distinct()
+    out.update(state.commit_clean(clean, as_of, old, old_touched=semi(old, keys_df, keys),
+                                  new_touched=semi(clean, keys_df, keys)))
+    out["as_of"] = as_of
+    return out
+
+
+def quality_check_job(state: State, landing: DataFrame, as_of: str, areas: tuple[str, ...] | None = None) -> dict:
+    """The quality-check job: newest batch of every area (S4) that the
+    ledger has not seen (S21, R-13), routed area by area (R4), then the
+    quality-check pass order release -> expire (L17, R-19); processed
+    batches are added to the ledger so a re-run routes nothing twice."""
+    from rowgate.sources.landing import latest_per_area, unprocessed
+
+    newest = unprocessed(latest_per_area(landing), state.read("ledger"))
+    order = {a: i for i, a in enumerate(areas or ())}
+    found = [(r["area"], r["batch"]) for r in newest.select("area", "batch").distinct().collect()]
+    names = sorted(found, key=lambda ab: (order.get(ab[0], len(order)), ab[0], ab[1]))
+    out = route_batches(state, newest, names)
+    out.update(maintenance_job(state, as_of, order=("release", "expire")))
+    if names:
+        led = newest.select("area", "batch").distinct().withColumn("processed_at", F.lit(as_of).cast("timestamp_ntz"))
+        state.write("ledger", led)
+    out["batches"] = names
+    return out

@@ -13,8 +13,6 @@ history stream can consume.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,38 +28,12 @@ class LandingRouter:
         self.params = params
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from rowgate.operators.keyed import key_set, latest_per_key, semi, upsert
-        from rowgate.operators.route import classify, split
-        from rowgate.plans.jobs import State
+        from rowgate.plans.jobs import State, route_batches
 
         st = State(batch.sparkSession, self.root, self.data_schema, self.params, at=batch_id)
-        cols = [f.name for f in self.data_schema.fields]
-        keys = list(self.params.keys)
         # Only folder names reach the driver (bounded by the number of files).
         names = [(r["area"], r["batch"]) for r in batch.select("area", "batch").distinct().orderBy("batch", "area").collect()]
-        old_clean = st.read("clean")
-        clean, live = old_clean, st.read_live()
-        touched = None
-        as_of = None
-        for area, name in names:
-            rows = batch.filter((F.col("area") == area) & (F.col("batch") == name)).select(*cols)
-            as_of = dt.datetime.strptime(name, "%Y%m%d_%H%M%S").strftime("%Y-%m-%d %H:%M:%S")
-            # classify once into a staged table (replaced on retry), split both branches from it
-            v = classify(rows, live, self.params, f"{area}/{name}", stack=True)
-            path = f"{self.root}/staging/route/v={batch_id + 1:06d}/{area}_{name}"
-            v.write.mode("overwrite").parquet(path)
-            r = split(st.spark.read.schema(v.schema).parquet(path), cols, as_of, self.params.hours)
-            src = latest_per_key(r.clean, keys, ())
-            clean = upsert(clean, src, keys, dedupe_order=None)
-            live = live.unionByName(r.quarantine, allowMissingColumns=True)
-            k = key_set(src, keys)
-            touched = k if touched is None else touched.unionByName(k)
-        if as_of is None:
-            return
-        st.write("quarantine", live)
-        keys_df = touched.distinct()
-        st.commit_clean(clean, as_of, old_clean, old_touched=semi(old_clean, keys_df, keys),
-                        new_touched=semi(clean, keys_df, keys))
+        route_batches(st, batch, names)
 
 
 def landing_stream(spark: SparkSession, landing_root: str, data_schema: T.StructType) -> DataFrame:

@@ -84,3 +84,23 @@ def test_rerun_of_pinned_job_is_idempotent(spark, run_root):
     assert summary_frame(run2, B.T2).first() == s1
     assert sorted(map(str, run2.after().read("quarantine").collect())) == after1
     assert (s1.expired_rows, s1.released_keys, s1.clean_rows) == (48, 9, 118)
+
+
+def test_quality_check_job_skips_processed_batches(spark, run_root):
+    from rowgate.contracts import FULL_AREA, PARTIAL_AREA
+    from rowgate.plans.jobs import quality_check_job
+
+    st = State(spark, run_root, CONTRACT, B.PARAMS)
+    landing = B.landing(spark, SF)
+    first = quality_check_job(st, landing, B.T2, areas=(FULL_AREA, PARTIAL_AREA))
+    assert first["batches"] == [(FULL_AREA, B.BATCH_F2), (PARTIAL_AREA, B.BATCH_P)]
+    q1 = sorted(map(str, st.read("quarantine").collect()))
+    c1 = sorted(map(tuple, st.read("clean").collect()))
+    again = quality_check_job(st, landing, B.T2, areas=(FULL_AREA, PARTIAL_AREA))
+    assert again["batches"] == []
+    assert sorted(map(str, st.read("quarantine").collect())) == q1
+    assert sorted(map(tuple, st.read("clean").collect())) == c1
+    c = st.read("clean")
+    assert c.groupBy("id").count().filter("count > 1").count() == 0
+    assert c.filter(F.col("name").isNull() | F.col("age").isNull()).count() == 0
+    assert st.read("ledger").count() == 2
