@@ -34,15 +34,14 @@ from pyspark.sql import types as T
 
 from rowgate.contracts import (
     DEFAULT_DATA_SCHEMA,
-    change_schema,
-    RELEASED,
     EXPIRED,
+    RELEASED,
     Params,
+    change_schema,
     clean_schema,
     dead_letter_schema,
     quarantine_schema,
 )
-
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.operators.keyed import key_set, latest_per_key, semi, upsert
