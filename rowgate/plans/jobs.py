@@ -199,10 +199,22 @@ def create_all(state: State, with_history: bool = True) -> list[str]:
     return made
 
 
+def at_edge(state: State, incoming: DataFrame) -> DataFrame:
+    """Pin the batch to the contract: every contract
+    column must be present (V9, ``ValueError`` otherwise) and is cast to the
+    contract type; other columns are kept as they are."""
+    from rowgate.functions.rules import require_columns
+
+    require_columns(incoming, state.data_schema.fieldNames())
+    casts = {f.name: F.col(f.name).cast(f.dataType) for f in state.data_schema.fields}
+    return incoming.withColumns(casts)
+
+
 def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool):
     """Classify the batch once, keep it as a written table in the run's
     folder (lineage cut, one scan of the batch for both branches), split."""
     p = state.params
+    incoming = at_edge(state, incoming)
     data_columns = list(p.columns or incoming.columns)
     v = classify(incoming, state.read_live() if stack else None, p, source_file, stack=stack)
     path = f"{state.root}/staging/route/v={state.next_version('clean'):06d}"
@@ -215,11 +227,12 @@ def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, sta
     return r, dict(obs.get)
 
 
-def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str) -> dict:
+def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool = False) -> dict:
     """Clean rows replace the clean table (deleted keys show up as
-    deletes in the change feed, L16); failing rows are appended."""
+    deletes in the change feed, L16); failing rows are appended.  Live keys
+    are not consulted unless ``stack`` (R-12)."""
     old = state.read("clean")
-    r, out = _routed(state, incoming, as_of, source_file, stack=False)
+    r, out = _routed(state, incoming, as_of, source_file, stack=stack)
     out.update(state.commit_clean(r.clean, as_of, old))
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))

@@ -151,3 +151,16 @@ def test_create_all_is_idempotent(spark, run_root):
     assert create_all(st) == ["clean", "quarantine", "dead_letter", "history"]
     assert create_all(st) == []
     assert st.read("clean").count() == 0 and st.read("quarantine").count() == 0
+
+
+def test_jobs_pin_types_and_reject_missing_columns(spark, run_root):
+    import pytest
+
+    from rowgate.plans.jobs import State, full_load_job
+
+    st = State(spark, run_root, DATA)
+    wide = spark.createDataFrame([(1, "a", 30)], "id long, name string, age long")
+    full_load_job(st, wide, "2026-01-01 00:00:00", "parquet_full/20260101_000000")
+    assert dict(st.read("clean").dtypes)["age"] == "int"
+    with pytest.raises(ValueError):
+        full_load_job(st, spark.createDataFrame([(1, "a")], "id long, name string"), "2026-01-01 01:00:00", "x/y")
