@@ -168,3 +168,31 @@ def is_readable(spark: SparkSession, path: str, contract: T.StructType | None =
         return True
     names = set(schema.fieldNames())
     return all(f.name in names for f in contract.fields)
+
+
+def list_batches(spark: SparkSession, root: str, area: str) -> list[str]:
+    """Batch folder names of one area, oldest first -- a folder listing
+    through the Hadoop file system (any shared store), bounded by the number
+    of folders.  Names that are not ``yyyyMMdd_HHmmss`` are skipped (R-17)."""
+    import re
+
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{area}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    pat = re.compile(BATCH_NAME_PATTERN)
+    return sorted(st.getPath().getName() for st in fs.listStatus(path)
+                  if st.isDirectory() and pat.match(st.getPath().getName()))
+
+
+def read_newest(spark: SparkSession, root: str, area: str, schema: T.StructType | None = None) -> DataFrame:
+    """Rows of an area's newest batch (S1 + S2) without touching older
+    batches: the folder is chosen from the listing, then only it is read.
+    ``FileNotFoundError`` when the area has no batch."""
+    names = list_batches(spark, root, area)
+    if not names:
+        raise FileNotFoundError(f"no batch folder found in {area}")
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(f"{root.rstrip('/')}/{area}/{names[-1]}")
+    return df.withColumns({"area": F.lit(area), "batch": F.lit(names[-1])})

@@ -164,3 +164,17 @@ def test_jobs_pin_types_and_reject_missing_columns(spark, run_root):
     assert dict(st.read("clean").dtypes)["age"] == "int"
     with pytest.raises(ValueError):
         full_load_job(st, spark.createDataFrame([(1, "a")], "id long, name string"), "2026-01-01 01:00:00", "x/y")
+
+
+def test_newest_batch_from_folder_listing(spark, run_root):
+    import pytest
+
+    land = f"{run_root}/landing"
+    df(spark, [(1, "a", 1)]).write.parquet(f"{land}/parquet_full/20260101_000000")
+    df(spark, [(2, "b", 2)]).write.parquet(f"{land}/parquet_full/20260102_000000")
+    df(spark, [(3, "c", 3)]).write.parquet(f"{land}/parquet_full/_tmp_not_a_batch")
+    assert S.list_batches(spark, land, "parquet_full") == ["20260101_000000", "20260102_000000"]
+    rows = S.read_newest(spark, land, "parquet_full", DATA).collect()
+    assert [(r.id, r.batch) for r in rows] == [(2, "20260102_000000")]
+    with pytest.raises(FileNotFoundError):
+        S.read_newest(spark, land, "parquet_partial")

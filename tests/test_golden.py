@@ -4,7 +4,7 @@ run through the jobs layer over versioned state."""
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowgate.contracts import DEFAULT_DATA_SCHEMA, clean_schema
+from rowgate.contracts import clean_schema
 from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.plans.jobs import State, clean_history, full_load_job, maintenance_job, partial_load_job
 from rowgate.sources import tables
