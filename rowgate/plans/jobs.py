@@ -377,3 +377,26 @@ def quality_check_job(state: State, landing: DataFrame, as_of: str, areas: tuple
         state.write("ledger", led)
     out["batches"] = names
     return out
+
+
+def quality_check_from_root(state: State, landing_root: str, areas: tuple[str, ...], as_of: str) -> dict:
+    """The quality-check job on landing folders: each area's newest batch is
+    found by a folder listing and only that folder is read (no scan of older
+    batches); batches already in the ledger are skipped."""
+    from rowgate.sources.landing import list_batches, read_newest
+
+    ledger = state.read("ledger")
+    frames = []
+    for area in areas:
+        names = list_batches(state.spark, landing_root, area)
+        if not names:
+            continue
+        seen = ledger.filter((F.col("area") == area) & (F.col("batch") == names[-1])).limit(1).count() > 0
+        if not seen:
+            frames.append(read_newest(state.spark, landing_root, area, state.data_schema))
+    if not frames:
+        return {"batches": []}
+    landing = frames[0]
+    for f in frames[1:]:
+        landing = landing.unionByName(f)
+    return quality_check_job(state, landing, as_of, areas)

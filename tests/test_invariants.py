@@ -104,3 +104,17 @@ def test_quality_check_job_skips_processed_batches(spark, run_root):
     assert c.groupBy("id").count().filter("count > 1").count() == 0
     assert c.filter(F.col("name").isNull() | F.col("age").isNull()).count() == 0
     assert st.read("ledger").count() == 2
+
+
+def test_quality_check_from_folders(spark, run_root):
+    from rowgate.contracts import FULL_AREA, PARTIAL_AREA
+    from rowgate.plans.jobs import quality_check_from_root
+
+    land = f"{run_root}/landing"
+    for df_, src in ((B.landing_full(spark, SF), B.SOURCE_F), (B.landing_partial(spark, SF), B.SOURCE_P),
+                     (B.landing_full_2(spark, SF), B.SOURCE_F2)):
+        df_.write.parquet(f"{land}/{src}")
+    st = State(spark, f"{run_root}/state", CONTRACT, B.PARAMS)
+    out = quality_check_from_root(st, land, (FULL_AREA, PARTIAL_AREA), B.T2)
+    assert out["batches"] == [(FULL_AREA, B.BATCH_F2), (PARTIAL_AREA, B.BATCH_P)]
+    assert quality_check_from_root(st, land, (FULL_AREA, PARTIAL_AREA), B.T2)["batches"] == []
