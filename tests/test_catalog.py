@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tools.oracle_check import TABLES, rows_of
+from tools.oracle_check import TABLES, rows_of, type_diff
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,13 +30,16 @@ def _names():
 def test_query_matches_oracle(spark, con, name):
     import __spark_entry__ as E
 
-    sdf = E.queries()[name](spark, SF).toPandas()
+    frame = E.queries()[name](spark, SF)
+    sdf = frame.toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(sdf) >= 0
         return
+    rel = con.sql(sql)
+    assert type_diff(frame.schema, rel) == {}
     sc, sr = rows_of(sdf)
-    oc, orr = rows_of(con.execute(sql).df())
+    oc, orr = rows_of(rel.df())
     assert sc == oc
     assert len(sr) == len(orr)
     assert sr == orr
