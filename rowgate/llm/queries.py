@@ -148,4 +148,4 @@ SELECT doc_id, CAST(len(l) AS BIGINT) AS n_words, CAST(len(l) - len(kept) AS BIG
 FROM k
 """
 
-ORACLE = {"op5_chat": _OP5, "op6_warc": _OP6}
+ORACLE = {"op5_chat": _OP5, "op6_warc": _OP6, "op7_substrings": _OP7}
