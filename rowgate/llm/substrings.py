@@ -39,7 +39,7 @@ from .frames import row_key, utf8
 
 GRAM = 12  # words of the sub-sequence that stands for a window in the sketch
 MAX_CELLS = 1 << 29
-BATCH_BYTES = 24 << 20  # text that a task works on at once
+BATCH_BYTES = 8 << 20  # text that a task works on at once
 SHARD_WORDS = 2_000_000  # words of the corpus per shard of the exact pass
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd multipliers of the rolling hashes
 
@@ -68,63 +68,78 @@ def rolling(h: np.ndarray, n: int, base: int) -> np.ndarray:
 
 
 class _WordHash(dict):
-    """128-bit hashes of words, remembered up to a bound."""
+    """128-bit hashes of words (16 bytes), remembered up to a bound."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> bytes:
         import xxhash
 
-        x = xxhash.xxh3_128_intdigest(word)
-        if len(self) >= 1_000_000:
+        got = xxhash.xxh3_128_digest(word)
+        if len(self) >= 300_000:
             self.clear()
-        got = self[word] = (x & 0xFFFFFFFFFFFFFFFF, x >> 64)
+        self[word] = got
         return got
 
 
 _WORDS = _WordHash()  # per worker
 
 
+def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
+    """Least of each ``n`` neighbours, by doubling."""
+    size = 1
+    while 2 * size <= n:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    return np.minimum(x[: len(x) - (n - size)], x[n - size:]) if n > size else x
+
+
 class _Text:
-    """One batch of texts as word hashes, with its windows laid end to end."""
+    """One batch of texts as word hashes end to end, with the windows in them.
+
+    A window's place is that of its smallest sub-sequence by the upper half of
+    the hash, the first of equal ones: a function of its words alone.
+    """
 
     def __init__(self, texts: list[bytes], width: int):
-        self.width = width
-        self.doc, lanes, keys = [], [], []
-        self.n_words = []
-        for d, t in enumerate(texts):
+        self.width, get = width, _WORDS.__getitem__
+        parts, lengths = [], []
+        for t in texts:
             words = t.split()
-            self.n_words.append(len(words))
-            if len(words) < width:
-                continue
-            lane = np.array(list(map(_WORDS.__getitem__, words)), np.uint64)
-            grams = _mix(rolling(lane[:, 0], GRAM, _B1))
-            # of equal sub-sequences in a window the first place counts
-            spans = np.lib.stride_tricks.sliding_window_view(grams, width - GRAM + 1)
-            place = spans.argmin(axis=1) + np.arange(len(spans))
-            self.doc.append(np.full(len(spans), d, np.int32))
-            lanes.append(lane)
-            keys.append((grams, place))
-        self.lanes, self.keys = lanes, keys
+            lengths.append(len(words) if len(words) >= width else 0)
+            if lengths[-1]:
+                parts.append(b"".join(map(get, words)))
+        self.lanes = np.frombuffer(b"".join(parts), "<u8").reshape(-1, 2)
+        lengths = np.array(lengths, np.int64)
+        self.doc = np.flatnonzero(lengths)  # documents with windows, their first words and ends
+        ends = np.cumsum(lengths[self.doc])
+        self.begin = ends - lengths[self.doc]
+        n = len(self.lanes)
+        if n == 0:
+            self.first = self.place = np.zeros(0, np.int64)
+            return
+        self.grams = _mix(rolling(np.ascontiguousarray(self.lanes[:, 0]), GRAM, _B1))
+        packed = (self.grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(self.grams), dtype=np.uint64)
+        place = (sliding_min(packed, width - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        inside = np.ones(n, bool)  # not so where a window would reach into the next document
+        for k in range(1, width):
+            inside[ends - k] = False
+        self.first = np.flatnonzero(inside)
+        self.place = place[self.first]
 
     def places(self) -> np.ndarray:
         """Hashes of the distinct places that stand for a window."""
-        return np.concatenate([g[np.unique(p)] for g, p in self.keys]) if self.keys else np.zeros(0, np.uint64)
+        return self.grams[np.unique(self.place)] if len(self.place) else np.zeros(0, np.uint64)
 
     def windows(self, repeated) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, first word, 2 x 64 bits) of the windows whose place is ``repeated``."""
-        docs, firsts, hashes = [], [], []
-        for doc, lane, (grams, place) in zip(self.doc, self.lanes, self.keys):
-            at = np.unique(place)
-            yes = np.zeros(len(grams), bool)
-            yes[at] = repeated(grams[at])
-            first = np.flatnonzero(yes[place])
-            if len(first):
-                docs.append(doc[: len(first)])
-                firsts.append(first)
-                pair = [_mix(rolling(lane[:, k], self.width, b))[first] for k, b in ((0, _B1), (1, _B2))]
-                hashes.append(np.stack(pair, axis=1))
-        if not docs:
+        if not len(self.place):
             return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
-        return np.concatenate(docs), np.concatenate(firsts), np.concatenate(hashes)
+        at = np.unique(self.place)
+        yes = np.zeros(len(self.grams), bool)
+        yes[at] = repeated(self.grams[at])
+        first = self.first[yes[self.place]]
+        which = np.searchsorted(self.begin, first, "right") - 1
+        pair = [_mix(rolling(np.ascontiguousarray(self.lanes[:, k]), self.width, b)[first]) for k, b in ((0, _B1), (1, _B2))]
+        return self.doc[which].astype(np.int32), first - self.begin[which], np.stack(pair, axis=1)
 
 
 def cells_of(grams: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
