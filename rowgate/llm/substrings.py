@@ -40,7 +40,7 @@ from .frames import row_key, utf8
 GRAM = 12  # words of the sub-sequence that stands for a window in the sketch
 MAX_CELLS = 1 << 29
 BATCH_BYTES = 8 << 20  # text that a task works on at once
-SHARD_WORDS = 2_000_000  # words of the corpus per shard of the exact pass
+SHARD_WORDS = 4_000_000  # words of the corpus per shard of the exact pass
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd multipliers of the rolling hashes
 
 
@@ -129,17 +129,19 @@ class _Text:
         """Hashes of the distinct places that stand for a window."""
         return self.grams[np.unique(self.place)] if len(self.place) else np.zeros(0, np.uint64)
 
-    def windows(self, repeated) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, first word, 2 x 64 bits) of the windows whose place is ``repeated``."""
+    def windows(self, repeated) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, first word, 2 x 64 bits, hash of the place) of the windows whose
+        place is ``repeated``."""
         if not len(self.place):
-            return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
+            return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64), np.zeros(0, np.uint64)
         at = np.unique(self.place)
         yes = np.zeros(len(self.grams), bool)
         yes[at] = repeated(self.grams[at])
-        first = self.first[yes[self.place]]
+        chosen = yes[self.place]
+        first = self.first[chosen]
         which = np.searchsorted(self.begin, first, "right") - 1
         pair = [_mix(rolling(np.ascontiguousarray(self.lanes[:, k]), self.width, b)[first]) for k, b in ((0, _B1), (1, _B2))]
-        return self.doc[which].astype(np.int32), first - self.begin[which], np.stack(pair, axis=1)
+        return self.doc[which].astype(np.int32), first - self.begin[which], np.stack(pair, axis=1), self.grams[self.place[chosen]]
 
 
 def cells_of(grams: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,19 +244,20 @@ class _Candidates:
             return yes
 
         for part in _parts(batches):
-            doc, first, h = _Text(utf8(part, "text"), self.width).windows(repeated)
+            doc, first, h, place = _Text(utf8(part, "text"), self.width).windows(repeated)
             if not len(doc):
                 continue
             keys = np.stack([part.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b")], axis=1)
             order = np.lexsort((h[:, 1], h[:, 0]))
-            h, doc, first = h[order], doc[order], first[order]
+            h, doc, first, place = h[order], doc[order], first[order], place[order]
             new = np.concatenate([[True], np.any(h[1:] != h[:-1], axis=1)])
             size = np.diff(np.concatenate([np.flatnonzero(new), [len(h)]]))
             local = np.repeat(size > 1, size)
             yield from self._settled(keys, doc[local], first[local])
             doc = np.where(local, -1, doc).astype(np.int32)
             h, doc, first = h[new], doc[new], first[new]
-            shard = (h[:, 0] % np.uint64(self.shards)).astype(np.int64)
+            # equal windows have equal places; neighbours mostly share one, and so a shard
+            shard = (place[new] % np.uint64(self.shards)).astype(np.int64)
             by = np.argsort(shard, kind="stable")
             edges = np.searchsorted(shard[by], np.arange(self.shards + 1))
             rows = []
