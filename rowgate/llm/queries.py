@@ -131,18 +131,18 @@ FROM d JOIN s USING (hex) JOIN k USING (hex)
 """
 
 _OP7 = r"""
-WITH w AS (
-  SELECT doc_id, string_split(trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS l FROM documents),
-d AS (SELECT doc_id, CASE WHEN l = [''] THEN [] ELSE l END AS l FROM w),
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, CASE WHEN l = [''] THEN [] ELSE l END AS l
+  FROM (SELECT doc_id, string_split(trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS l FROM documents)),
 g AS (
-  SELECT doc_id, i, md5(array_to_string(list_slice(l, i, i + 34), ' ')) AS h
-  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 33)) AS i FROM d)),
+  SELECT rid, i, md5(array_to_string(list_slice(l, i, i + 34), ' ')) AS h
+  FROM (SELECT rid, l, unnest(range(1, len(l) - 33)) AS i FROM d)),
 r AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
-c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM g JOIN r USING (h)),
-m AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id),
+c AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS i FROM g JOIN r USING (h)),
+m AS (SELECT rid, list(i) AS gone FROM c GROUP BY rid),
 k AS (
   SELECT doc_id, l, CASE WHEN gone IS NULL THEN l ELSE list_filter(l, lambda x, j: NOT list_contains(gone, j)) END AS kept
-  FROM d LEFT JOIN m USING (doc_id))
+  FROM d LEFT JOIN m USING (rid))
 SELECT doc_id, CAST(len(l) AS BIGINT) AS n_words, CAST(len(l) - len(kept) AS BIGINT) AS n_removed,
        sha256(array_to_string(kept, ' ')) AS kept_sha256
 FROM k

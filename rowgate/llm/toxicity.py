@@ -105,7 +105,7 @@ def select(rows: list[list[str]], y: np.ndarray, least: int, z: float, ratio: fl
     return {f: i for i, (_, f) in enumerate(sorted(found)[:most])}
 
 
-def fit(rows: list[list[str]], y: np.ndarray, sentences: list[list[str]], identity=IDENTITY, penalty: float = 1.0, ridge: float = 1e-4, least: int = 3, z: float = 4.0, ratio: float = 5.0, most: int = 2000, steps: int = 400) -> Model:
+def fit(rows: list[list[str]], y: np.ndarray, sentences: list[list[str]], identity=IDENTITY, penalty: float = 1.0, ridge: float = 1e-5, balance: float = 0.5, least: int = 3, z: float = 4.0, ratio: float = 5.0, most: int = 2000, steps: int = 400) -> Model:
     """Fit on word lists ``rows`` with labels ``y``; ``sentences`` are those whose
     identity terms are swapped."""
     y = np.asarray(y, np.float64)
@@ -118,11 +118,15 @@ def fit(rows: list[list[str]], y: np.ndarray, sentences: list[list[str]], identi
     x = _matrix(rows, column)
     pairs = [(s, c) for s in sentences for c in swaps(s, identity)]
     gap = _matrix([a for a, _ in pairs], column) - _matrix([b for _, b in pairs], column) if pairs else None
+    # the rarer class counts more, by its odds to the power ``balance``
+    weight = np.where(y == 1, ((n - pos) / pos) ** balance, 1.0)
+    weight /= weight.mean()
     w, b = np.zeros(len(column), np.float32), model.intercept
     m, v = np.zeros(len(column) + 1), np.zeros(len(column) + 1)
     for step in range(1, steps + 1):  # Adam, whole batch
         p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
-        g = np.append(x.T @ (p - y).astype(np.float32) / n + 2 * ridge * w, (p - y).mean())
+        miss = weight * (p - y)
+        g = np.append(x.T @ miss.astype(np.float32) / n + 2 * ridge * w, miss.mean())
         if gap is not None:
             g[:-1] += 2 * penalty * (gap.T @ (gap @ w)) / len(gap)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
