@@ -102,7 +102,7 @@ def base_failed(f: Features) -> bool:
 RULES = {
     "mean_word_length": lambda f: not 2 * f.n_words <= f.word_chars <= 15 * f.n_words,
     "symbol_share": lambda f: 10 * f.n_symbols > f.n_words,
-    "duplicate_lines": lambda f: 10 * f.n_dup_lines > 3 * f.n_lines,
+    "duplicate_lines": lambda f: f.n_dup_lines >= 3 and 10 * f.n_dup_lines > 3 * f.n_lines,
     "wordlike_share": lambda f: 10 * f.n_wordlike < 7 * f.n_words,
     "distinct_share": lambda f: f.n_words <= 2000 and 20 * f.n_distinct < f.n_words,
 }
