@@ -5,6 +5,7 @@ on the session time zone, and every "now" is an explicit ``as_of`` literal
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ def ts(value: str | dt.datetime | Column) -> Column:
 
 
 def plus_hours(col: Column, hours: int | float) -> Column:
-    return col + F.make_dt_interval(hours=F.lit(int(hours)))
+    """``col`` plus any number of hours, to the microsecond."""
+    return col + F.make_dt_interval(secs=F.lit(Decimal(str(hours)) * 3600).cast("decimal(18,6)"))
 
 
 def hours_between(start: Column, end: Column, digits: int = 2) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,8 +112,8 @@ def scd2(
     tiebreak: Sequence[str] = (),
     delete_when: Column | None = None,
     ignore_when: Column | None = None,
-    split_rows: int | None = 1_000_000,
-    split_buckets: int = 64,
+    split_rows: int = 1_000_000,
+    split_ranges: int = 64,
 ) -> DataFrame:
     """Type-2 history (C3-C5, W2): ``keys``, tracked columns, ``valid_from``,
     ``valid_to`` (NULL while open) and ``is_current``.
@@ -122,15 +122,14 @@ def scd2(
     delete closes the open version and a later upsert reopens the key.
     ``ignore_when`` drops rows before folding (default: update pre-images).
 
-    Skew: keys with more than ``split_rows`` rows are cut into up to
-    ``split_buckets`` sequence ranges (approximate quantiles, an aggregate),
-    windows run per (key, range), and the ranges are stitched back by
-    carrying each range's last image and first start to its neighbour.
-    Results are identical; no key is processed whole in one task unless all
-    its rows share one sequence value.  Whether any key is that hot is
-    decided by one small aggregate; without hot keys the plain per-key
-    window plan runs.  ``split_rows=None`` forces the plain plan, ``0``
-    forces the split plan.
+    Skew: keys with more than ``split_rows`` rows are cut into sequence
+    ranges at up to ``split_ranges`` of their own sequence values, chosen by
+    hash (any orderable type; an aggregate, reduced map-side).  Windows run
+    per (key, range), and ranges are stitched by carrying each one's last
+    image and first start to its neighbour.  The plan is the same for all
+    data and runs no job by itself; rows of the other keys, and NULL keys
+    that are few, are one range each.  Only rows of one key with one
+    sequence value are always together.
     """
     keys = list(keys)
     ct = F.col(change_type)
@@ -147,18 +146,7 @@ def scd2(
     )
     rows = rows.select(*keys, *tracked, sequence_by, *tiebreak, "_rg_del", rank.alias("_rk"), image.alias("_img"))
     order = [F.col(sequence_by), F.col("_rk")] + [F.col(t) for t in tiebreak]
-    hot = None
-    if split_rows is not None:
-        hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > split_rows).select(*keys)
-        n_hot = hot.count()
-        if n_hot == 0 and split_rows > 0:
-            hot = None
-    if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        starts = rows.withColumn("_prev", F.lag("_img").over(w)).filter(~F.col("_img").eqNullSafe(F.col("_prev")))
-        bounded = starts.withColumn("_next", F.lead(sequence_by).over(w))
-    else:
-        bounded = _split_fold(rows, keys, sequence_by, tiebreak, order, hot, n_hot, split_buckets)
+    bounded = _fold(rows, keys, sequence_by, tiebreak, order, split_rows, split_ranges)
     return bounded.filter(~F.col("_rg_del")).select(
         *keys,
         *tracked,
@@ -168,26 +156,23 @@ def scd2(
     )
 
 
-# Largest cut-point table (hot keys x ranges) shipped to every executor.
-BROADCAST_CUT_ENTRIES = 2_000_000
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` in which NULL keys match each other."""
+    named = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(named, cond, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def _split_fold(rows, keys, seq, tiebreak, order, hot, n_hot, n_buckets):
+def _fold(rows, keys, seq, tiebreak, order, split_rows, n_ranges):
     """Skew-safe lag/lead per key: (key, range) windows plus boundary carry."""
-    # 1. range cut points for hot keys only (aggregates: reduced map-side)
-    fracs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = (
-        rows.join(hot, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.array_distinct(F.percentile_approx(seq, fracs, 10000)).alias("_cuts"))
-    )
-    # Broadcast only under a checked size; beyond it AQE splits the skewed
-    # partitions of the (left) row side of this join.
-    if n_hot * n_buckets <= BROADCAST_CUT_ENTRIES:
-        cuts = F.broadcast(cuts)
-    # bucket = number of cut points <= seq: monotone in seq, equal seqs together
-    b = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col(seq))), F.lit(0))
-    rows = rows.join(cuts, keys, "left").withColumn("_b", b).drop("_cuts")
+    # 1. cut points: per key and hash bucket the value with the smallest hash
+    pick = F.xxhash64(seq)
+    sample = rows.groupBy(*keys, F.pmod(pick, F.lit(n_ranges)).alias("_h")).agg(
+        F.min(F.struct(pick.alias("h"), F.col(seq).alias("s"))).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    cuts = sample.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.collect_set("_s.s").alias("_cuts")).filter(F.col("_n") > split_rows).drop("_n")
+    # range = number of cut points <= seq: monotone in seq, equal seqs together
+    rows = _null_safe(rows, cuts, keys)
+    rows = rows.withColumn("_b", F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col(seq))), F.lit(0))).drop("_cuts")
     part = [*keys, "_b"]
     w_in = Window.partitionBy(*part).orderBy(*order)
     w_b = Window.partitionBy(*keys).orderBy("_b")
@@ -198,7 +183,7 @@ def _split_fold(rows, keys, seq, tiebreak, order, hot, n_hot, n_buckets):
     tails = rows.groupBy(*part).agg(F.max(F.struct(sort_key.alias("k"), F.col("_img").alias("img"))).alias("_t"))
     carry_in = tails.select(*part, F.lag(F.col("_t.img")).over(w_b).alias("_carry"))
     marked = rows.withColumn("_prev", F.lag("_img").over(w_in))
-    marked = marked.join(carry_in, part, "left").withColumn("_prev", F.coalesce(F.col("_prev"), F.col("_carry")))
+    marked = _null_safe(marked, carry_in, part).withColumn("_prev", F.coalesce(F.col("_prev"), F.col("_carry")))
     # a range's first row has a NULL in-range lag; the carry is NULL only for the key's first range
     starts = marked.filter(~F.col("_img").eqNullSafe(F.col("_prev"))).drop("_carry", "_prev")
 
@@ -207,7 +192,7 @@ def _split_fold(rows, keys, seq, tiebreak, order, hot, n_hot, n_buckets):
     heads = starts.groupBy(*part).agg(F.min(sort_key).alias("_h"))
     carry_out = heads.select(*part, F.lead(F.col("_h.s")).over(w_b).alias("_carry"))
     bounded = starts.withColumn("_next", F.lead(seq).over(w_in))
-    bounded = bounded.join(carry_out, part, "left").withColumn("_next", F.coalesce(F.col("_next"), F.col("_carry")))
+    bounded = _null_safe(bounded, carry_out, part).withColumn("_next", F.coalesce(F.col("_next"), F.col("_carry")))
     return bounded.drop("_carry", "_b")
 
 

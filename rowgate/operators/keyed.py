@@ -7,10 +7,10 @@ does not land whole in a single task:
   Spark evaluates map-side first, so each map task sends at most one row per
   key to the shuffle;
 * membership tests (semi / anti / flag joins) join a big side with a
-  *distinct* key set.  The key set is broadcast when Catalyst's size bound
-  for it is small (no extra job), so the big side is not shuffled; beyond
-  that AQE decides from the measured size at run time and splits skewed
-  partitions of the big side (``spark.sql.adaptive.skewJoin.enabled``);
+  *distinct* key set, without a hint: Catalyst's estimate counts compressed
+  file bytes and is no bound, so AQE decides from the measured size at run
+  time -- broadcast, or a shuffle join whose skewed partitions of the big
+  side it splits (``spark.sql.adaptive.skewJoin.enabled``);
 * ``upsert`` is an anti join on the source's keys plus a union, so the
   (large) target table streams through without a shuffle when the source
   is a small batch, and joins on unique keys otherwise.
@@ -35,35 +35,6 @@ def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(cond).select(*keys).distinct()
 
 
-# Largest plan size bound (bytes) for which a key set is broadcast up front.
-BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``'s optimized plan.  Without
-    cost-based statistics it propagates scan sizes through filters,
-    projections, aggregates and semi/anti joins, so it bounds the result
-    from above."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - Connect sessions have no JVM handle
-        return None
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its size is bounded: by the plan's size
-    bound (free), or -- if ``max_rows`` is given -- by counting it (one job,
-    for frames whose lineage is short).  Otherwise no hint: AQE measures the
-    real size at run time and picks broadcast or a skew-split shuffle join."""
-    est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    if max_rows is not None and df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def flag_membership(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add boolean ``flag`` = key of the row is in ``keys_df`` (V7).
 
@@ -71,18 +42,18 @@ def flag_membership(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], flag
     ``coalesce(hit, false)`` is null-safe (a null key is simply not a member),
     unlike ``isin`` with a null in the list.
     """
-    marked = broadcast_if_small(keys_df.select(*keys).withColumn(_HIT, F.lit(True)))
+    marked = keys_df.select(*keys).withColumn(_HIT, F.lit(True))
     return df.join(marked, list(keys), "left").withColumn(flag, F.coalesce(F.col(_HIT), F.lit(False))).drop(_HIT)
 
 
 def semi(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(broadcast_if_small(keys_df.select(*keys)), list(keys), "left_semi")
+    return df.join(keys_df.select(*keys), list(keys), "left_semi")
 
 
 def anti(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``keys_df``.  ``keys_df`` must hold no null
     keys; rows of ``df`` with a null key are kept (they match nothing)."""
-    return df.join(broadcast_if_small(keys_df.select(*keys)), list(keys), "left_anti")
+    return df.join(keys_df.select(*keys), list(keys), "left_anti")
 
 
 def latest_per_key(

@@ -96,10 +96,9 @@ def reason_members(quarantine: DataFrame, params: Params = Params()) -> DataFram
     """H7 without the unbounded ``collect_list(distinct id)``: one row per
     (reason, key) with the reason's row count attached."""
     live = quarantine.filter(_live(params))
-    # One row per reason; reasons are combinations of rule codes (at most
-    # 2^rules + 1 values), so the counts are broadcast and a reason holding
-    # most rows never becomes one join task.
-    counts = F.broadcast(live.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("row_count")))
+    # One row per reason: AQE broadcasts the counts if they measure small, and
+    # else splits the partition of a reason that holds most rows.
+    counts = live.groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("row_count"))
     members = live.filter(F.col(params.keys[0]).isNotNull()).select("quarantine_reason", *params.keys).distinct()
     return members.join(counts, ["quarantine_reason"], "inner")
 

@@ -166,9 +166,10 @@ def append(target: DataFrame | None, rows: DataFrame, evolve: bool = True) -> Da
     return target.unionByName(rows, allowMissingColumns=evolve)
 
 
-def upsert_clean(clean: DataFrame, rows: DataFrame, params: Params = Params()) -> DataFrame:
-    """Clean-table merge on the key (J4), newest row wins inside the source (R-16)."""
-    return upsert(clean, rows, params.keys, dedupe_order=())
+def upsert_clean(clean: DataFrame, rows: DataFrame, params: Params = Params(), order: Sequence[str | Column] = ()) -> DataFrame:
+    """Clean-table merge on the key (J4).  Inside the source the newest row by
+    ``order`` wins (R-16); without an order, the largest by its columns."""
+    return upsert(clean, rows, params.keys, dedupe_order=order)
 
 
 def partial_load(

@@ -830,3 +830,95 @@ def quality_check_summary(spark, sf):
                 F.count_if(F.col("quarantine_status") == "EXPIRED").alias("expired_rows")),
         l=st.read("ledger").agg(F.count(F.lit(1)).alias("ledger_rows")),
     )
+
+
+# --- jobs on stored state ------------------------------------------------------
+
+def _state(spark, name, schema=CONTRACT, params=P):
+    from rowgate.plans.jobs import State
+    from rowgate.session import run_dir
+
+    return State(spark, run_dir(spark, name), schema, params)
+
+
+@query("load_then_check", "SELECT * FROM quarantine_0")
+def load_then_check(spark, sf):
+    """S21, R-13: a batch that the full load has routed is not routed again by
+    the quality check that finds it as the newest of its area."""
+    from rowgate.contracts import FULL_AREA
+    from rowgate.plans.jobs import full_load_job, quality_check_job
+
+    st = _state(spark, "load_then_check")
+    landed = B.landing_full(spark, sf)
+    full_load_job(st, landed, B.T0, B.SOURCE_F)
+    quality_check_job(st, landed.withColumns({"area": F.lit(FULL_AREA), "batch": F.lit(B.BATCH_F)}), B.T1)
+    return rendered(st.read("quarantine"))
+
+
+@query("load_with_rules", """
+WITH l AS (SELECT id, name, CASE WHEN id % 9 = 0 THEN 'n/a' ELSE CAST(age AS VARCHAR) END AS age FROM landing_partial),
+v AS (SELECT id, name, concat_ws(',',
+        CASE WHEN id IS NULL THEN 'null_id' END, CASE WHEN name IS NULL THEN 'null_name' END,
+        CASE WHEN age IS NULL THEN 'null_age' END, CASE WHEN age = 'n/a' THEN 'bad_type_age' END,
+        CASE WHEN TRY_CAST(age AS INTEGER) > 75 THEN 'too_old' END) AS validation_errors,
+        TRY_CAST(age AS INTEGER) AS age FROM l)
+SELECT id, name, age, validation_errors, CASE WHEN validation_errors = '' THEN 'clean' ELSE 'quarantine' END AS side FROM v""")
+def load_with_rules(spark, sf):
+    """V12, V13 in a job: ages land as text, some of them no numbers, and a
+    custom rule is given; rows that fail either go to quarantine."""
+    from rowgate.plans.jobs import partial_load_job
+
+    st = _state(spark, "load_with_rules")
+    age = F.when(F.col("id") % 9 == 0, F.lit("n/a")).otherwise(F.col("age").cast("string"))
+    rules = [("too_old", F.coalesce(F.col("age") > 75, F.lit(False)))]
+    partial_load_job(st, B.landing_partial(spark, sf).withColumn("age", age), B.T1, B.SOURCE_P, rules=rules)
+    cols = ["id", "name", "age"]
+    q = st.read("quarantine").select(*cols, render_codes(F.col("validation_errors")).alias("validation_errors"), F.lit("quarantine").alias("side"))
+    return q.unionByName(st.read("clean").select(*cols, F.lit("").alias("validation_errors"), F.lit("clean").alias("side")))
+
+
+@query("evolved_state", """
+WITH live AS (SELECT DISTINCT id FROM quarantine_0 WHERE id IS NOT NULL),
+p AS (SELECT id FROM landing_partial WHERE id IS NOT NULL AND name IS NOT NULL AND age IS NOT NULL
+      AND id NOT IN (SELECT id FROM live))
+SELECT c.id, c.name, c.age, CASE WHEN p.id IS NOT NULL THEN c.id % 3 END AS segment
+FROM clean_1 c LEFT JOIN p ON c.id = p.id""")
+def evolved_state(spark, sf):
+    """A batch with a further column; the stored clean table keeps it."""
+    from rowgate.plans.jobs import full_load_job, partial_load_job
+
+    st = _state(spark, "evolved_state")
+    full_load_job(st, B.landing_full(spark, sf), B.T0, B.SOURCE_F)
+    partial_load_job(st, B.landing_partial(spark, sf).withColumn("segment", F.col("id") % 3), B.T1, B.SOURCE_P)
+    return st.read("clean").select("id", "name", "age", "segment")
+
+
+@query("full_load_dedupe", """
+SELECT user_id, event_id, event_type, ts FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def full_load_dedupe(spark, sf):
+    """R1 on a batch with many rows per key: the newest by time stays."""
+    from rowgate.plans.jobs import full_load_job
+
+    rows = B.table(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    st = _state(spark, "full_load_dedupe", schema, Params(keys=("user_id",), required=("event_type",)))
+    full_load_job(st, rows, B.T0, B.SOURCE_F, order=("ts", "event_id"))
+    return st.read("clean").select("user_id", "event_id", "event_type", "ts")
+
+
+@query("newest_from_folders", """
+SELECT id, name, age, 'parquet_full' AS area, '20260307_010000' AS batch FROM landing_full_2
+UNION ALL SELECT id, name, age, 'parquet_partial', '20260306_150000' FROM landing_partial""")
+def newest_from_folders(spark, sf):
+    """S1-S4 on real folders: each area's newest batch from a listing, files at
+    any depth below it; other batches aren't read."""
+    from rowgate.contracts import FULL_AREA, PARTIAL_AREA
+    from rowgate.session import run_dir
+
+    land = run_dir(spark, "newest_from_folders")
+    B.landing_full(spark, sf).write.parquet(f"{land}/{B.SOURCE_F}")
+    B.landing_partial(spark, sf).write.parquet(f"{land}/{B.SOURCE_P}")
+    B.landing_full_2(spark, sf).withColumn("region", F.col("id") % 2).write.partitionBy("region").parquet(f"{land}/{B.SOURCE_F2}")
+    parts = [S.read_newest(spark, land, area).select("id", "name", "age", "area", "batch") for area in (FULL_AREA, PARTIAL_AREA)]
+    return parts[0].unionByName(parts[1])

@@ -26,6 +26,9 @@ State layout under ``root`` (a folder in the shared checkpoint space, see
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,8 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowgate.contracts import (
+    BAD_TYPE_CODE_PREFIX,
+    CHANGE_TYPE,
+    COMMIT_TIMESTAMP,
     DEFAULT_DATA_SCHEMA,
     EXPIRED,
+    NULL_CODE_PREFIX,
     RELEASED,
     Params,
     change_schema,
@@ -42,10 +49,11 @@ from rowgate.contracts import (
     dead_letter_schema,
     quarantine_schema,
 )
+from rowgate.functions.rules import Rule, require_columns, type_rules
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.operators.keyed import key_set, latest_per_key, semi, upsert
-from rowgate.operators.route import classify, split
+from rowgate.operators.route import ERRORS, classify, split
 from rowgate.sources import tables
 
 _TERMINAL = T.StructType([T.StructField("terminal", T.BooleanType())])
@@ -60,6 +68,9 @@ _SCHEMAS = {
     "ledger": lambda _data: LEDGER_SCHEMA,
 }
 
+# Tables that keep columns a batch has beyond the contract.
+_EVOLVING = ("clean", "quarantine")
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("area", T.StringType()),
     T.StructField("batch", T.StringType()),
@@ -74,8 +85,10 @@ class State:
     ``at`` pins a run: reads see versions ``<= at`` only and every write
     goes to version ``at + 1`` (replacing that folder).  A job that fails
     part-way -- driver lost between two writes, say -- is simply run again
-    with the same ``at`` and produces the same versions; without ``at`` each
-    write takes the next free version.
+    with the same ``at`` and produces the same versions.  Jobs pin a state
+    that isn't (``pinned``): the last thing a run writes is its part of the
+    ledger, so the newest ledger version is the last run that ended, and what
+    a run left half-written is ignored and replaced by the next.
     """
 
     spark: SparkSession
@@ -88,16 +101,27 @@ class State:
     def _schema(self, name: str) -> T.StructType:
         return _SCHEMAS[name](self.data_schema)
 
+    def pinned(self) -> "State":
+        """This state pinned at the last run that ended.  The first job pins it
+        at the newest version of any table, as an empty part of the ledger."""
+        if self.at is not None:
+            return self
+        vs = tables.versions(self.spark, self.root, "ledger")
+        if not vs:
+            vs = [0, *(v for name in _SCHEMAS for v in tables.versions(self.spark, self.root, name)[-1:])]
+            tables.write(tables.empty(self.spark, LEDGER_SCHEMA), self.root, "ledger", version=max(vs))
+        return State(self.spark, self.root, self.data_schema, self.params, at=max(vs), written=self.written)
+
     def read(self, name: str) -> DataFrame:
         """The whole table (quarantine: live side plus every terminal side;
         dead letter: every part)."""
         if name == "quarantine":
             return self.read_live().unionByName(
                 tables.read_parts(self.spark, self.root, name, self._schema(name), "terminal", _TERMINAL,
-                                  max_version=self.at))
+                                  max_version=self.at, evolve=True), allowMissingColumns=True)
         if name in ("dead_letter", "changes", "ledger"):
             return tables.read_parts(self.spark, self.root, name, self._schema(name), max_version=self.at)
-        return tables.read(self.spark, self.root, name, self._schema(name), max_version=self.at)
+        return tables.read(self.spark, self.root, name, self._schema(name), max_version=self.at, evolve=name in _EVOLVING)
 
     def read_live(self) -> DataFrame:
         """Live side of the newest quarantine version (what every step works on)."""
@@ -106,10 +130,8 @@ class State:
         if not vs:
             return tables.empty(self.spark, schema)
         full = T.StructType(schema.fields + _TERMINAL.fields)
-        return (
-            self.spark.read.schema(full).parquet(f"{self.root}/quarantine/v={vs[-1]:06d}")
-            .filter(~F.col("terminal")).drop("terminal")
-        )
+        df = tables.read(self.spark, self.root, "quarantine", full, version=vs[-1], evolve=True)
+        return df.filter(~F.col("terminal")).drop("terminal")
 
     def next_version(self, name: str) -> int:
         """The version number this run's next write of ``name`` will get."""
@@ -135,7 +157,9 @@ class State:
         are, so a write is map-only; the history table is the one kept
         clustered (key-hash buckets, see rowgate.sources.buckets).
         """
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in self._schema(name).fields])
+        contract = self._schema(name).fieldNames()
+        more = [c for c in df.columns if c not in contract] if name in _EVOLVING else []
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in self._schema(name).fields], *more)
         part = None
         if name == "quarantine":
             live = F.col("quarantine_status").isin(*self.params.live, "FIXED")
@@ -167,10 +191,11 @@ class State:
         keys = list(self.params.keys)
         out = self.write("clean", new, {"clean_rows": _rows()})
         v = self.last_version
+        columns = self.data_schema.fieldNames()  # the feed has the contract's columns
         if new_touched is None:
-            ch = snapshot_changes(old, new, keys, v, as_of)
+            ch = snapshot_changes(old, new, keys, v, as_of, columns)
         else:
-            ch = snapshot_changes(old_touched, new_touched, keys, v, as_of)
+            ch = snapshot_changes(old_touched, new_touched, keys, v, as_of, columns)
         ch = ch.select(*[F.col(f.name).cast(f.dataType) for f in self._schema("changes").fields])
         obs = Observation("changes_metrics")
         tables.write(ch, self.root, "changes", version=v, observe=(obs, [_rows().alias("change_rows")]))
@@ -199,72 +224,152 @@ def create_all(state: State, with_history: bool = True) -> list[str]:
     return made
 
 
-def at_edge(state: State, incoming: DataFrame) -> DataFrame:
-    """Pin the batch to the contract: every contract
-    column must be present (V9, ``ValueError`` otherwise) and is cast to the
-    contract type; other columns are kept as they are."""
-    from rowgate.functions.rules import require_columns
+_BAD = "_rg_bad_"
+
 
+def at_edge(state: State, incoming: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    """Pin the batch to the contract: every contract
+    column must be present (V9, ``ValueError`` otherwise) and gets the contract
+    type; other columns are kept as they are.  A value that doesn't cast fails
+    the returned ``bad_type_<c>`` rules (V13) and its row goes to quarantine."""
     require_columns(incoming, state.data_schema.fieldNames())
-    casts = {f.name: F.col(f.name).cast(f.dataType) for f in state.data_schema.fields}
-    return incoming.withColumns(casts)
+    drift = [f for f in state.data_schema.fields if incoming.schema[f.name].dataType != f.dataType]
+    casts = type_rules({f.name: (f.name, f.dataType.simpleString()) for f in drift})
+    flags = {f"{_BAD}{f.name}": pred for f, (_, pred) in zip(drift, casts)}
+    out = incoming.withColumns(flags).withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in drift})
+    return out, [(code, F.col(flag)) for flag, (code, _) in zip(flags, casts)]
 
 
-def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool):
-    """Classify the batch once, keep it as a written table in the run's
-    folder (lineage cut, one scan of the batch for both branches), split."""
+def _classified(state: State, incoming: DataFrame, live: DataFrame | None, source_file: str, rules: Sequence[Rule], path: str,
+                observe: tuple | None = None) -> tuple[DataFrame, list[str]]:
+    """Classify a batch once and keep it as a written table (lineage cut, one
+    scan of the batch for both branches); also the names of its data columns."""
     p = state.params
-    incoming = at_edge(state, incoming)
-    data_columns = list(p.columns or incoming.columns)
-    v = classify(incoming, state.read_live() if stack else None, p, source_file, stack=stack)
+    incoming, drift = at_edge(state, incoming)
+    columns = list(p.columns or [c for c in incoming.columns if not c.startswith(_BAD)])
+    v = classify(incoming, live, p, source_file, [*drift, *rules], stack=live is not None)
+    for code, flag in drift:  # what doesn't cast isn't missing
+        name = code.removeprefix(BAD_TYPE_CODE_PREFIX)
+        name = incoming.select(flag).columns[0].removeprefix(_BAD)
+        v = v.withColumn(ERRORS, F.when(flag, F.array_remove(ERRORS, f"{NULL_CODE_PREFIX}{name}")).otherwise(F.col(ERRORS)))
+    if observe:
+        v = v.observe(observe[0], *observe[1])
+    v.write.mode("overwrite").parquet(path)
+    return state.spark.read.schema(v.schema).parquet(path), columns
+
+
+def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool, rules: Sequence[Rule]):
     path = f"{state.root}/staging/route/v={state.next_version('clean'):06d}"
     obs = Observation("route_metrics")
     bad = F.col("has_any_failure") | F.col("id_is_stacked")
-    v.observe(obs, F.count_if(~bad).alias("clean_count"), F.count_if(bad).alias("quarantine_count"),
-              _rows().alias("total_processed")).write.mode("overwrite").parquet(path)
-    staged = state.spark.read.schema(v.schema).parquet(path)
-    r = split(staged, data_columns, as_of, p.hours)
-    return r, dict(obs.get)
+    counts = [F.count_if(~bad).alias("clean_count"), F.count_if(bad).alias("quarantine_count"), _rows().alias("total_processed")]
+    staged, columns = _classified(state, incoming, state.read_live() if stack else None, source_file, rules, path, (obs, counts))
+    return split(staged, columns, as_of, state.params.hours), dict(obs.get)
+
+
+def _batch_of(source_file: str) -> tuple[str, str] | None:
+    """(area, batch) of a source named ``area/yyyyMMdd_HHmmss``."""
+    m = re.match(r"^([^/]+)/(\d{8}_\d{6})$", source_file)
+    return (m[1], m[2]) if m else None
+
+
+def _seen(state: State, batch: tuple[str, str] | None) -> bool:
+    if batch is None:
+        return False
+    return state.read("ledger").filter((F.col("area") == batch[0]) & (F.col("batch") == batch[1])).limit(1).count() > 0
 
 
-def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool = False) -> dict:
+def _end_run(state: State, batches: Sequence[tuple[str, str]], as_of: str) -> None:
+    """The last write of every run: the batches it routed (maybe none)."""
+    rows = [(a, b, as_of) for a, b in batches]
+    done = state.spark.createDataFrame(rows, "area string, batch string, processed_at string")
+    state.write("ledger", done)
+
+
+def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool = False,
+                  rules: Sequence[Rule] = (), order: Sequence[str] = ()) -> dict:
     """Clean rows replace the clean table (deleted keys show up as
     deletes in the change feed, L16); failing rows are appended.  Live keys
-    are not consulted unless ``stack`` (R-12)."""
+    are not consulted unless ``stack`` (R-12).  Of rows with one key the newest
+    by ``order`` (then by all columns) stays.  A batch that the ledger has is
+    skipped (S21)."""
+    state = state.pinned()
+    batch = _batch_of(source_file)
+    if _seen(state, batch):
+        return {"skipped": True}
     old = state.read("clean")
-    r, out = _routed(state, incoming, as_of, source_file, stack=stack)
-    out.update(state.commit_clean(r.clean, as_of, old))
+    r, out = _routed(state, incoming, as_of, source_file, stack, rules)
+    out.update(state.commit_clean(latest_per_key(r.clean, state.params.keys, order), as_of, old))
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
+    _end_run(state, [batch] if batch else [], as_of)
     return out
 
 
-def partial_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str) -> dict:
-    """R2: stacking route; clean rows merged on the key, the rest appended."""
+def partial_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str, rules: Sequence[Rule] = (),
+                     order: Sequence[str] = ()) -> dict:
+    """R2: stacking route; clean rows merged on the key (newest by ``order``),
+    the rest appended.  A batch that the ledger has is skipped (S21)."""
+    state = state.pinned()
+    batch = _batch_of(source_file)
+    if _seen(state, batch):
+        return {"skipped": True}
     keys = list(state.params.keys)
     old = state.read("clean")
-    r, out = _routed(state, incoming, as_of, source_file, stack=True)
-    src = latest_per_key(r.clean, keys, ())
+    r, out = _routed(state, incoming, as_of, source_file, True, rules)
+    src = latest_per_key(r.clean, keys, order)
     out.update(state.commit_clean(upsert(old, src, keys, dedupe_order=None), as_of, old,
                                   old_touched=semi(old, src, keys), new_touched=src))
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
+    _end_run(state, [batch] if batch else [], as_of)
     return out
 
 
 def maintenance_job(state: State, as_of: str, order=("expire", "release", "promote")) -> dict:
     """L17 as a job: expire -> release -> promote from one input version and
-    one ``as_of`` (R-8, R-19).
+    one ``as_of`` (R-8, R-19)."""
+    state = state.pinned()
+    clean = state.read("clean")
+    out = _pass(state, as_of, order, clean, state.read_live(), clean)
+    _end_run(state, [], as_of)
+    return out
+
+
+def _not_stale(state: State, rows: DataFrame) -> DataFrame:
+    """Rows to merge whose key has no clean row from a later load.
+
+    A row quarantined at T must not overwrite what a load wrote after T: the
+    change feed says when a key's clean row was last written.
+    """
+    keys = list(state.params.keys)
+    written = state.read("changes").filter(~F.col(CHANGE_TYPE).isin("delete", "update_preimage"))
+    last = semi(written, rows.select(*keys).distinct(), keys).groupBy(*keys).agg(F.max(COMMIT_TIMESTAMP).alias("_last"))
+    fresh = F.col("_last").isNull() | (F.col("ingestion_timestamp") >= F.col("_last"))
+    return rows.join(last, keys, "left").filter(fresh).drop("_last")
+
+
+def _pass(state: State, as_of: str, order, clean: DataFrame, quarantine: DataFrame, before: DataFrame,
+          touched: DataFrame | None = None) -> dict:
+    """One maintenance pass over ``clean`` and ``quarantine``; writes each table once.
 
     The rows each step moves (dead letter, released, promoted) are written
     first and read back, so the status updates and the clean-table merge use
     the stored sets instead of recomputing them; the final quarantine and
-    clean versions are written last.
+    clean versions are written last.  ``before`` is the stored clean version
+    and ``touched`` the keys in which ``clean`` already differs from it.  If no
+    row is to be merged the clean table isn't written at all.
     """
-    p = state.params
-    clean, quarantine = state.read("clean"), state.read_live()
-    before = clean
-    out: dict = {}
+    p, out = state.params, {}
+    keys = list(p.keys)
+
+    def merge(name: str) -> DataFrame:
+        """The newest rows of a step that aren't older than their clean row."""
+        stored = state.read_written(name)
+        when = quarantine.select(*stored.columns, "ingestion_timestamp")
+        newest = latest_per_key(semi(when, stored, keys), keys, ("ingestion_timestamp",)).select(*keys, "ingestion_timestamp")
+        return _not_stale(state, stored.join(newest, keys)).drop("ingestion_timestamp")
+
     for step in order:
         if step == "expire":
             # the moved rows are this pass's dead-letter part (append-only)
@@ -272,10 +377,14 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
             quarantine = L.mark_expired(quarantine, as_of, p)
         elif step == "release":
             out.update(state.write("released", L.latest_valid_per_key(quarantine, p), {"released_keys": _rows()}))
-            clean, quarantine, _ = L.release_fixed(clean, quarantine, p, released=state.read_written("released"))
+            fresh = merge("released")
+            _, quarantine, _ = L.release_fixed(clean, quarantine, p, released=state.read_written("released"))
+            clean = upsert(clean, fresh, keys, dedupe_order=None)
         elif step == "promote":
             out.update(state.write("promoted", L.promoted_rows(quarantine, p), {"promoted_keys": _rows()}))
-            clean, quarantine, _ = L.promote_blocked(clean, quarantine, p, promoted=state.read_written("promoted"))
+            fresh = merge("promoted")
+            _, quarantine, _ = L.promote_blocked(clean, quarantine, p, promoted=state.read_written("promoted"))
+            clean = upsert(clean, fresh, keys, dedupe_order=None)
         else:
             raise ValueError(f"unknown step {step!r}")
     # skipped steps still get an (empty) part, so "newest part" always means this pass
@@ -288,9 +397,11 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
         "newly_released_rows": F.count_if(F.col("quarantine_status") == RELEASED),
         "newly_expired_rows": F.count_if(F.col("quarantine_status") == EXPIRED),
     }))
-    touched = state.read_written("released").unionByName(state.read_written("promoted"))
-    keys = list(p.keys)
-    out.update(state.commit_clean(clean, as_of, before, old_touched=semi(before, touched, keys), new_touched=touched))
+    moved = state.read_written("released").unionByName(state.read_written("promoted")).select(*keys)
+    if touched is None and not out.get("released_keys") and not out.get("promoted_keys"):
+        return out  # idle: the clean table stays as it is
+    moved = (moved if touched is None else moved.unionByName(touched.select(*keys))).distinct()
+    out.update(state.commit_clean(clean, as_of, before, old_touched=semi(before, moved, keys), new_touched=semi(clean, moved, keys)))
     return out
 
 
@@ -320,61 +431,68 @@ def summary_frame(state: State, as_of: str) -> DataFrame:
     )
 
 
-def route_batches(state: State, rows: DataFrame, names: list[tuple[str, str]]) -> dict:
-    """Route several landing batches in the given order (R4) and write one
-    new clean version (with its change rows) and one quarantine version.
-
-    ``rows`` carries ``area`` and ``batch`` columns; each batch is classified
-    once into a staged table, then split; a later batch sees the keys an
-    earlier one quarantined.  The stamp time of a batch is its folder time.
-    """
-    import datetime as dt
-
+def _route_frames(state: State, rows: DataFrame, names: Sequence[tuple[str, str]], rules: Sequence[Rule]):
+    """Route batches one after another: (clean, live quarantine, touched keys, the
+    last batch's time); a later batch sees the keys an earlier one quarantined."""
     p = state.params
     keys = list(p.keys)
-    cols = [f.name for f in state.data_schema.fields]
-    old = state.read("clean")
-    clean, live = old, state.read_live()
-    touched, as_of, out = None, None, {}
+    clean, live, touched, as_of = state.read("clean"), state.read_live(), None, None
     version = state.next_version("clean")
     for area, name in names:
-        batch = rows.filter((F.col("area") == area) & (F.col("batch") == name)).select(*cols)
+        batch = rows.filter((F.col("area") == area) & (F.col("batch") == name)).drop("area", "batch")
         as_of = dt.datetime.strptime(name, "%Y%m%d_%H%M%S").strftime("%Y-%m-%d %H:%M:%S")
-        v = classify(batch, live, p, f"{area}/{name}", stack=True)
         path = f"{state.root}/staging/route/v={version:06d}/{area}_{name}"
-        v.write.mode("overwrite").parquet(path)
-        r = split(state.spark.read.schema(v.schema).parquet(path), cols, as_of, p.hours)
+        staged, columns = _classified(state, batch, live, f"{area}/{name}", rules, path)
+        r = split(staged, columns, as_of, p.hours)
         src = latest_per_key(r.clean, keys, ())
         clean = upsert(clean, src, keys, dedupe_order=None)
         live = live.unionByName(r.quarantine, allowMissingColumns=True)
         k = key_set(src, keys)
         touched = k if touched is None else touched.unionByName(k)
-    if as_of is None:
-        return out
-    out.update(state.write("quarantine", live, {"live_rows": _rows()}))
-    keys_df = touched.distinct()
-    out.update(state.commit_clean(clean, as_of, old, old_touched=semi(old, keys_df, keys),
-                                  new_touched=semi(clean, keys_df, keys)))
+    return clean, live, None if touched is None else touched.distinct(), as_of
+
+
+def route_batches(state: State, rows: DataFrame, names: Sequence[tuple[str, str]], rules: Sequence[Rule] = ()) -> dict:
+    """Route several landing batches in the given order (R4) and write one
+    new clean version (with its change rows) and one quarantine version.
+
+    ``rows`` carries ``area`` and ``batch`` columns; each batch is classified
+    once into a staged table, then split.  The stamp time of a batch is its
+    folder time.  Batches that the ledger has are skipped (S21).
+    """
+    state = state.pinned()
+    names = [n for n in names if not _seen(state, n)]
+    if not names:
+        return {}
+    keys = list(state.params.keys)
+    old = state.read("clean")
+    clean, live, touched, as_of = _route_frames(state, rows, names, rules)
+    out = state.write("quarantine", live, {"live_rows": _rows()})
+    out.update(state.commit_clean(clean, as_of, old, old_touched=semi(old, touched, keys),
+                                  new_touched=semi(clean, touched, keys)))
+    _end_run(state, names, as_of)
     out["as_of"] = as_of
     return out
 
 
-def quality_check_job(state: State, landing: DataFrame, as_of: str, areas: tuple[str, ...] | None = None) -> dict:
+def quality_check_job(state: State, landing: DataFrame, as_of: str, areas: tuple[str, ...] | None = None,
+                      rules: Sequence[Rule] = ()) -> dict:
     """The quality-check job: newest batch of every area (S4) that the
     ledger has not seen (S21, R-13), routed area by area (R4), then the
-    quality-check pass order release -> expire (L17, R-19); processed
-    batches are added to the ledger so a re-run routes nothing twice."""
+    quality-check pass order release -> expire (L17, R-19), all from one
+    stored version into the next, each table written once.  The ledger part
+    comes last, so a run that broke off is run again from the same version."""
     from rowgate.sources.landing import latest_per_area, unprocessed
 
+    state = state.pinned()
     newest = unprocessed(latest_per_area(landing), state.read("ledger"))
-    order = {a: i for i, a in enumerate(areas or ())}
+    rank = {a: i for i, a in enumerate(areas or ())}
     found = [(r["area"], r["batch"]) for r in newest.select("area", "batch").distinct().collect()]
-    names = sorted(found, key=lambda ab: (order.get(ab[0], len(order)), ab[0], ab[1]))
-    out = route_batches(state, newest, names)
-    out.update(maintenance_job(state, as_of, order=("release", "expire")))
-    if names:
-        led = newest.select("area", "batch").distinct().withColumn("processed_at", F.lit(as_of).cast("timestamp_ntz"))
-        state.write("ledger", led)
+    names = sorted(found, key=lambda ab: (rank.get(ab[0], len(rank)), ab[0], ab[1]))
+    before = state.read("clean")
+    clean, live, touched, _ = _route_frames(state, newest, names, rules)
+    out = _pass(state, as_of, ("release", "expire"), clean, live, before, touched)
+    _end_run(state, names, as_of)
     out["batches"] = names
     return out
 
@@ -393,10 +511,10 @@ def quality_check_from_root(state: State, landing_root: str, areas: tuple[str, .
             continue
         seen = ledger.filter((F.col("area") == area) & (F.col("batch") == names[-1])).limit(1).count() > 0
         if not seen:
-            frames.append(read_newest(state.spark, landing_root, area, state.data_schema))
+            frames.append(read_newest(state.spark, landing_root, area))
     if not frames:
         return {"batches": []}
     landing = frames[0]
     for f in frames[1:]:
-        landing = landing.unionByName(f)
+        landing = landing.unionByName(f, allowMissingColumns=True)
     return quality_check_job(state, landing, as_of, areas)

@@ -1,11 +1,10 @@
 """Landing batches.
 
-A landing root holds ``<area>/<yyyyMMdd_HHmmss>/*.parquet``.  Instead of
-listing folders on the driver, the batch and area are derived per row from
-``_metadata.file_path``; "the newest batch" is then an aggregate plus a join
-against a one-row frame, which Spark plans as a broadcast of one row (a
-proven size bound) and, on a table partitioned by batch, as dynamic
-partition pruning.
+A landing root holds ``<area>/<yyyyMMdd_HHmmss>/**/*.parquet``.
+``read_landing`` derives batch and area per row from ``_metadata.file_path``;
+"the newest batch" of such a frame is an aggregate plus a join against a
+one-row frame, which reads every batch.  ``read_newest`` picks the folder from
+a listing instead and reads nothing else.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import types as T
 from rowgate.contracts import BATCH_NAME_PATTERN
 from rowgate.functions.timeexpr import batch_time, hours_between, ts
 
-_PATH_RE = r"([^/]+)/(\d{8}_\d{6})/[^/]+$"
+_PATH_RE = r"([^/]+)/(\d{8}_\d{6})/.+$"  # files at any depth below a batch folder
 
 
 def read_landing(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
@@ -81,11 +80,10 @@ def batch_inventory(df: DataFrame, as_of) -> DataFrame:
 def unprocessed(df: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows of batches not in the ledger of processed ``(area, batch)`` (S21, R-13).
 
-    The ledger has one row per batch folder (bounded by the folder count);
-    it is broadcast so no batch is shuffled to a single task by its
-    (area, batch) key.
+    No hint: AQE broadcasts the ledger if it measures small, and else splits
+    the partition of a batch that holds most rows.
     """
-    done = F.broadcast(ledger.select("area", "batch").distinct())
+    done = ledger.select("area", "batch").distinct()
     return df.join(done, ["area", "batch"], "left_anti")
 
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_V = re.compile(r"^v=(\d{6})$")
+_V = re.compile(r"^v=(\d+)$")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -36,14 +37,6 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return path[5:]
-    if "://" in path:
-        return None
-    return path
-
-
 def versions(spark: SparkSession, root: str, name: str) -> list[int]:
     """Committed versions of a table, oldest first (listing via Hadoop FS)."""
     jvm = spark.sparkContext._jvm
@@ -67,15 +60,28 @@ def read(
     schema: T.StructType,
     version: int | None = None,
     max_version: int | None = None,
+    evolve: bool = False,
 ) -> DataFrame:
     """Newest (or a given, or the newest ``<= max_version``) version; an
-    empty contract frame if there is none (S6, R-4)."""
+    empty contract frame if there is none (S6, R-4).  ``evolve`` adds the
+    columns that the files have beyond ``schema`` (S9, S10)."""
     if version is None:
         vs = [v for v in versions(spark, root, name) if max_version is None or v <= max_version]
         if not vs:
             return empty(spark, schema)
         version = vs[-1]
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")
+    path = f"{root.rstrip('/')}/{name}/v={version:06d}"
+    return spark.read.schema(_grown(spark, [path], path, schema) if evolve else schema).parquet(path)
+
+
+def _grown(spark: SparkSession, paths: list[str], base: str, schema: T.StructType) -> T.StructType:
+    """``schema`` and the further columns of the files in ``paths`` (footers only)."""
+    try:
+        found = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(*paths).schema
+    except AnalysisException:  # a version without rows may have no file
+        return schema
+    have = set(schema.fieldNames()) | {"v", "terminal"}
+    return T.StructType(schema.fields + [f for f in found.fields if f.name not in have])
 
 
 def read_parts(
@@ -86,14 +92,18 @@ def read_parts(
     where: str | None = None,
     extra: T.StructType | None = None,
     max_version: int | None = None,
+    evolve: bool = False,
 ) -> DataFrame:
     """Every committed version of an append-style table at once (each
     version holds only the rows added by its step).  Uncommitted folders
     of a failed attempt are pruned by the version list."""
     vs = [v for v in versions(spark, root, name) if max_version is None or v <= max_version]
-    full = T.StructType(schema.fields + (extra.fields if extra else []) + [T.StructField("v", T.IntegerType())])
     if not vs:
         return empty(spark, schema)
+    base = f"{root.rstrip('/')}/{name}"
+    if evolve:
+        schema = _grown(spark, [f"{base}/v={v:06d}" for v in vs], base, schema)
+    full = T.StructType(schema.fields + (extra.fields if extra else []) + [T.StructField("v", T.LongType())])
     df = spark.read.schema(full).parquet(f"{root.rstrip('/')}/{name}").filter(F.col("v").isin(vs))
     if where is not None:
         df = df.filter(where)
@@ -111,27 +121,25 @@ def write(
 ) -> int:
     """Write ``df`` as a version and return its number.
 
-    Without ``version`` the next free number is taken and an existing folder
-    is an error.  With ``version`` (streaming: derived from the batch id) the
-    folder is replaced, so a retried micro-batch rewrites the same result
-    instead of appending twice.  Never overwrites what is being read.
+    Without ``version`` the number after the newest committed one is taken; a
+    folder that a crashed write left there is replaced.  With ``version``
+    (jobs: the pinned run, streaming: the batch id) the folder is replaced, so
+    a retry rewrites the same result instead of appending twice.  Never overwrites what is being read.
     ``cluster_by`` range-partitions and sorts on the key before writing (the
     z-order layout hint, C10), so key lookups and joins prune row groups.
     ``observe = (Observation, exprs)`` is attached after that shuffle, where
     the plan runs exactly once (the range sampler re-runs what is below it).
     """
     spark = df.sparkSession
-    mode = "overwrite"
     if version is None:
         vs = versions(spark, root, name)
         version = (vs[-1] + 1) if vs else 1
-        mode = "errorifexists"
     out = df
     if cluster_by:
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     if observe is not None:
         out = out.observe(observe[0], *observe[1])
-    writer = out.write.mode(mode)
+    writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{root.rstrip('/')}/{name}/v={version:06d}")

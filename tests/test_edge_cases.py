@@ -125,8 +125,8 @@ def test_history_split_plan_equals_plain_with_hot_key(spark):
     hot = ch.withColumn("id", F.when(F.col("tiebreak") % 3 == 0, F.lit(-1)).otherwise(F.col("id")))
     for df in (ch, hot):
         kw = dict(change_type="change_type", tiebreak=["tiebreak"])
-        plain = scd2(df, ["id"], "seq", ["event_type", "value"], split_rows=None, **kw)
-        split = scd2(df, ["id"], "seq", ["event_type", "value"], split_rows=20, split_buckets=8, **kw)
+        plain = scd2(df, ["id"], "seq", ["event_type", "value"], split_rows=10**9, **kw)
+        split = scd2(df, ["id"], "seq", ["event_type", "value"], split_rows=20, split_ranges=8, **kw)
         assert plain.count() == split.count()
         assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
 
