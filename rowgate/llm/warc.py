@@ -72,12 +72,13 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def dictionary(pages: DataFrame, date: str) -> bytes:
-    """A dictionary from at most SAMPLE_RECORDS records and SAMPLE_BYTES of them."""
+    """A dictionary from at most SAMPLE_RECORDS records of up to SAMPLE_BYTES / 128
+    each, and SAMPLE_BYTES of them; only the first partitions are read for it."""
     import zstandard
 
-    small = F.coalesce(F.octet_length("html"), F.lit(0)) <= SAMPLE_BYTES // 8
+    small = F.coalesce(F.octet_length("html"), F.lit(0)) <= SAMPLE_BYTES // 128
     samples, size = [], 0
-    for r in pages.where(small).select("page_id", "url", "html").limit(SAMPLE_RECORDS).toLocalIterator():
+    for r in pages.where(small).select("page_id", "url", "html").limit(SAMPLE_RECORDS).collect():
         payload = (r[2] or "").encode()
         if size + len(payload) > SAMPLE_BYTES:
             break
