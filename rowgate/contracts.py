@@ -74,6 +74,7 @@ DEFAULT_DATA_SCHEMA = T.StructType(
     ]
 )
 
+# Names, types and order of the tables' columns.
 QUARANTINE_METADATA = T.StructType(
     [
         T.StructField("quarantine_timestamp", T.TimestampNTZType()),

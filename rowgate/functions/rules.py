@@ -22,10 +22,10 @@ Rule = tuple[str, Column]
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
     """Argument guard: fail before any plan is built (V9)."""
     if not isinstance(df, DataFrame):
-        raise TypeError(f"Expected DataFrame, got {type(df)}")
+        raise TypeError(f"a DataFrame is needed here, not {type(df).__name__}")
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {sorted(missing)}")
+        raise ValueError(f"the batch lacks the columns {sorted(missing)}")
 
 
 def null_rules(required: Sequence[str]) -> list[Rule]:

@@ -9,11 +9,11 @@ from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.plans.jobs import State, clean_history, full_load_job, maintenance_job, partial_load_job
 from rowgate.sources import tables
 
-# G1 batches (id, name, age); None is NULL.
-FULL_1 = [(1, "Alice", 30), (2, "Bob", None), (3, "Charlie", 25), (4, "Diana", None), (5, "Eve", 28)]
-PARTIAL_1 = [(1, "Alice", 31), (2, "Bob", 35), (6, "Frank", None), (7, "Grace", 27)]
-FULL_2 = [(1, "Alice", 32), (3, "Charlie", 26), (5, "Eve", 29), (8, "Henry", None), (9, "Iris", 24)]
-PARTIAL_2 = [(1, "Alice", 33), (8, "Henry", 40), (10, "Jack", None), (11, "Kate", 26)]
+# G1 batches (id, name, age); None is NULL.  Ids, ages and nulls are fixed values of the trace; the names are invented.
+FULL_1 = [(1, "Nuri", 30), (2, "Odile", None), (3, "Pim", 25), (4, "Quirin", None), (5, "Ravi", 28)]
+PARTIAL_1 = [(1, "Nuri", 31), (2, "Odile", 35), (6, "Sunna", None), (7, "Tove", 27)]
+FULL_2 = [(1, "Nuri", 32), (3, "Pim", 26), (5, "Ravi", 29), (8, "Umar", None), (9, "Vesna", 24)]
+PARTIAL_2 = [(1, "Nuri", 33), (8, "Umar", 40), (10, "Wim", None), (11, "Xenia", 26)]
 
 # Landing schema of the reference fixtures: BIGINT id/age; pinned to the contract at the edge.
 LANDING = T.StructType([
@@ -95,8 +95,8 @@ def test_golden_four_batches(spark, run_root):
 
 def test_golden_prose_trace(spark, run_root):
     st = State(spark, run_root)
-    full = [(1, "Alice", 30), (2, "Bob", None), (3, None, 25), (4, "Charlie", 35)]
-    partial = [(1, "Alice Smith", 31), (2, "Bob Johnson", 40), (9, "George", None)]
+    full = [(1, "Nuri", 30), (2, "Odile", None), (3, None, 25), (4, "Pim", 35)]
+    partial = [(1, "Nuri Smith", 31), (2, "Odile Johnson", 40), (9, "George", None)]
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
                            T.StructField("age", T.LongType())])
     mk = lambda rows: spark.createDataFrame(rows, schema).select("id", "name", F.col("age").cast("int"))
@@ -105,7 +105,7 @@ def test_golden_prose_trace(spark, run_root):
     maintenance_job(st, "2026-03-06 15:05:00", order=("release",))
     maintenance_job(st, "2026-03-07 15:00:01", order=("expire",))
     clean = sorted((r.id, r.name, r.age) for r in st.read("clean").collect())
-    assert clean == [(1, "Alice Smith", 31), (2, "Bob Johnson", 40), (4, "Charlie", 35)]
+    assert clean == [(1, "Nuri Smith", 31), (2, "Odile Johnson", 40), (4, "Pim", 35)]
     statuses = sorted(r.quarantine_status for r in st.read("quarantine").collect())
     assert statuses == ["EXPIRED", "EXPIRED", "RELEASED", "RELEASED"]
     dead = st.read("dead_letter").collect()
