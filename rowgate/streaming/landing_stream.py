@@ -36,25 +36,34 @@ class LandingRouter:
         route_batches(st, batch, names)
 
 
-def landing_stream(spark: SparkSession, landing_root: str, data_schema: T.StructType) -> DataFrame:
+def landing_stream(spark: SparkSession, landing_root: str, data_schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """Landing files as a stream; at most ``max_files`` of them a micro-batch."""
     path = F.col("_metadata.file_path")
+    reader = spark.readStream.schema(data_schema).option("recursiveFileLookup", "true")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return (
-        spark.readStream.schema(data_schema)
-        .option("recursiveFileLookup", "true")
-        .parquet(landing_root)
+        reader.parquet(landing_root)
         .withColumns({"area": F.regexp_extract(path, _PATH_RE, 1), "batch": F.regexp_extract(path, _PATH_RE, 2)})
         .filter(F.col("batch").rlike(BATCH_NAME_PATTERN))
     )
 
 
-def run_available(spark: SparkSession, landing_root: str, router: LandingRouter, checkpoint: str) -> None:
-    q = (
-        landing_stream(spark, landing_root, router.data_schema)
+def start(spark: SparkSession, landing_root: str, router: LandingRouter, checkpoint: str, every: str | None = None, max_files: int | None = None):
+    """The running query: all files that are there (``availableNow``), or, with
+    ``every`` (such as "1 minute"), new ones as they land, until it is stopped."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        landing_stream(spark, landing_root, router.data_schema, max_files)
         .writeStream.foreachBatch(router)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
+
+
+def run_available(spark: SparkSession, landing_root: str, router: LandingRouter, checkpoint: str, max_files: int | None = None) -> None:
+    q = start(spark, landing_root, router, checkpoint, max_files=max_files)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -54,3 +54,24 @@ def test_landing_stream_publishes_change_feed(spark, run_root):
     # FIXTURES §5 at sf0.001: clean_0 has 102 rows; clean_0 -> clean_1 inserts 7, updates 23
     assert got == {(1, "insert"): 102, (2, "insert"): 7, (2, "update_preimage"): 23, (2, "update_postimage"): 23}
     assert clean_history(st).filter("is_current").count() == 109
+
+
+def test_landing_stream_by_time_and_file_count(spark, run_root):
+    """A running trigger with one file a micro-batch ends in the state of a single run."""
+    from rowgate.plans.catalog import CONTRACT
+    from rowgate.plans.jobs import State
+    from rowgate.sources import bindings as B
+    from rowgate.streaming import landing_stream as LS
+
+    sf, land, got = "/root/testdata/sf0.001", f"{run_root}/landing", []
+    for df, src in ((B.landing_full(spark, sf), B.SOURCE_F), (B.landing_partial(spark, sf), B.SOURCE_P)):
+        df.coalesce(1).select([df[f.name].cast(f.dataType) for f in CONTRACT.fields]).write.parquet(f"{land}/{src}")
+    for name, every in (("once", None), ("timed", "1 second")):
+        router = LS.LandingRouter(f"{run_root}/{name}", CONTRACT, B.PARAMS)
+        q = LS.start(spark, land, router, f"{run_root}/{name}-checkpoint", every=every, max_files=1)
+        if every:
+            q.processAllAvailable()
+            q.stop()
+        q.awaitTermination()
+        got.append(sorted(map(str, State(spark, f"{run_root}/{name}", CONTRACT, B.PARAMS).read("quarantine").collect())))
+    assert got[0] == got[1] and got[0]
