@@ -1,67 +1,101 @@
-"""Key-hash bucketed state with partition-level replacement.
-
-A table is a parquet folder partitioned by ``bucket = pmod(xxhash64(keys), n)``.
-A step that changes a few keys rewrites only the buckets holding them:
-the new rows of those buckets go to a staging folder first, then Spark's
-dynamic partition overwrite swaps exactly those ``bucket=`` folders in, so
-a job never overwrites a folder it is reading, and an unaffected bucket is
-never touched.  Re-running a step from the same input rewrites the same
-buckets with the same rows.
+"""Key-hash bucketed state: a step that changes a few keys writes only their buckets.
+
+A table is a parquet folder ``<path>/v=N/bucket=B`` with
+``bucket = pmod(xxhash64(keys), n)``; version N holds the buckets that step N
+changed.  Its map ``<path>_map/v=N`` names the version that holds each bucket.
+A step writes its buckets, then its map, and the map's success marker commits
+the step: nothing that a committed map names is ever overwritten, so a step
+that broke off anywhere is run again from the map before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowgate.sources import tables
+
 BUCKET = "bucket"
+_MAP = T.StructType([T.StructField(BUCKET, T.IntegerType()), T.StructField("version", T.LongType())])
+_FOLDER = re.compile(r"^(?:v|bucket)=(\d+)$")
 
 
 def bucket_of(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    return df.withColumn(BUCKET, bucket_of(keys, n))
-
-
-def touched(df: DataFrame, keys: Sequence[str], n: int) -> list[int]:
-    """Bucket ids a frame's keys fall in (at most ``n`` small ints)."""
-    return sorted(r[0] for r in df.select(bucket_of(keys, n).alias(BUCKET)).distinct().collect())
-
-
-def read(spark: SparkSession, path: str, schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
-    """Rows of the given buckets (partition pruning), or all; empty if none."""
-    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-    if not _exists(spark, path):
-        return spark.createDataFrame([], full)
-    df = spark.read.schema(full).parquet(path)
-    if buckets is not None:
-        df = df.filter(F.col(BUCKET).isin(list(buckets)))
-    return df
-
-
-def replace(df: DataFrame, path: str, staging: str, sort_by: Sequence[str] = ()) -> None:
-    """Swap in the ``bucket=`` folders present in ``df`` (which must carry
-    the bucket column); other buckets stay as they are."""
-    out = df.repartition(F.col(BUCKET))
-    if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
-    out.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-    spark = df.sparkSession
-    staged = spark.read.parquet(staging)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def write_parts(df: DataFrame, keys: Sequence[str], n: int, path: str, sort_by: Sequence[str] = ()) -> None:
+    """Write ``df`` to ``path`` split by bucket.  The rebalance gives a bucket few
+    files; adaptive execution splits one that is large over several tasks."""
+    out = df.withColumn(BUCKET, bucket_of(keys, n)).hint("rebalance", F.col(BUCKET))
+    out.sortWithinPartitions(BUCKET, *sort_by).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
+def held_by(spark: SparkSession, path: str, max_version: int | None = None) -> dict[int, int]:
+    """The newest map: bucket -> version that holds it (one pair a bucket)."""
+    root, name = path.rsplit("/", 1)
+    return {r[0]: r[1] for r in tables.read(spark, root, f"{name}_map", _MAP, max_version=max_version).collect()}
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType, held: dict[int, int], buckets: Collection[int] | None = None) -> DataFrame:
+    """Rows of the given buckets, or all, by a map; other folders aren't listed."""
+    of: dict[int, list[int]] = {}
+    for b, v in held.items():
+        if buckets is None or b in buckets:
+            of.setdefault(v, []).append(b)
+    if not of:
+        return spark.createDataFrame([], schema)
+    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType()), T.StructField("v", T.LongType())])
+    df = spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/v={v:06d}" for v in of])
+    named = F.lit(False)
+    for v, bs in of.items():
+        named = named | ((F.col("v") == v) & F.col(BUCKET).isin(bs))
+    return df.filter(named).select(*schema.fieldNames())
+
+
+def replace(df: DataFrame, keys: Sequence[str], n: int, path: str, version: int, held: dict[int, int], hit: Collection[int], sort_by: Sequence[str] = ()) -> None:
+    """Put ``df`` in place of the buckets ``hit`` of the table that ``held`` maps.
+    A bucket of which ``df`` has no rows becomes empty."""
+    write_parts(df, keys, n, f"{path}/v={version:06d}", sort_by)
+    root, name = path.rsplit("/", 1)
+    now = sorted({**held, **dict.fromkeys(hit, version)}.items())
+    tables.write(df.sparkSession.createDataFrame(now, _MAP).coalesce(1), root, f"{name}_map", version=version)
+
+
+def drop_superseded(spark: SparkSession, path: str, max_version: int) -> None:
+    """Delete the bucket folders, and the maps, that neither of the two newest maps
+    up to ``max_version`` names.  What is left is at most two folders a bucket."""
+    root, name = path.rsplit("/", 1)
+    maps = [v for v in tables.versions(spark, root, f"{name}_map") if v <= max_version]
+    keep = {pair for v in maps[-2:] for pair in held_by(spark, path, v).items()}
+    if len(maps) < 3:
+        return
+    for v, folder in _folders(spark, path):
+        if v <= maps[-1]:
+            inside = _folders(spark, folder)
+            gone = [f for b, f in inside if (b, v) not in keep]
+            for f in [folder] if len(gone) == len(inside) and v not in {p[1] for p in keep} else gone:
+                _delete(spark, f)
+    for v, folder in _folders(spark, f"{path}_map"):
+        if v < maps[-2]:
+            _delete(spark, folder)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _folders(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    fs, p = _fs(spark, path)
+    found = [(_FOLDER.match(s.getPath().getName()), s.getPath().toString()) for s in fs.listStatus(p)]
+    return [(int(m[1]), f) for m, f in found if m]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

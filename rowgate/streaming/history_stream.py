@@ -10,14 +10,15 @@ the history with ``foreachBatch``:
 3. rebuild the history of only those keys from their whole change log
    (read from the touched buckets only), so late and out-of-order rows land
    in the right place;
-4. swap in the touched history buckets: their untouched keys as they were
-   plus the rebuilt keys (staging folder + dynamic partition overwrite).
-
-Every write is keyed by the batch id or replaces whole buckets, so a retried
-micro-batch (after an executor or driver loss) produces the same state; the
-stream's own checkpoint records which files were consumed.  Reads come from
-written parquet, so lineage never grows across batches.  The cost of a
-micro-batch follows the buckets it touches, not the size of the history.
+4. write the touched buckets of the history as a new version: their untouched
+   keys as they were plus the rebuilt keys; the map of buckets commits it.
+
+A micro-batch reads the map before its own and writes folders of its own batch
+id only, so a retried one (after an executor or driver loss) produces the same
+state; the stream's own checkpoint records which files were consumed.  Reads
+come from written parquet, so lineage never grows across batches.  The cost of
+a micro-batch follows the buckets it touches: with keys spread evenly these are
+soon all, unless there are many more buckets than keys in a batch.
 """
 
 from __future__ import annotations
@@ -38,7 +39,9 @@ class HistoryFold:
 
     Both the change log and the history are partitioned by a key-hash
     ``bucket``; a micro-batch reads the log and the history of the buckets
-    it touches only, and replaces only those history buckets.
+    it touches only, and replaces only those history buckets.  ``n_buckets``
+    stays as it is for the life of a state; one bucket for every few GB of
+    history keeps a micro-batch's reads small.
     """
 
     def __init__(
@@ -75,33 +78,29 @@ class HistoryFold:
         spark = batch.sparkSession
         cols = [f.name for f in self.change_schema.fields]
         # 1. the batch's rows into the log, replacing an earlier attempt of the same batch
-        rows = buckets.with_bucket(batch.select(*cols), self.keys, self.n_buckets)
-        rows.write.mode("overwrite").partitionBy(buckets.BUCKET).parquet(f"{self.log_path}/batch_id={batch_id:09d}")
-        this = spark.read.parquet(f"{self.log_path}/batch_id={batch_id:09d}")
-        hit = buckets.touched(this, self.keys, self.n_buckets)
+        part = f"{self.log_path}/batch_id={batch_id:09d}"
+        buckets.write_parts(batch.select(*cols), self.keys, self.n_buckets, part)
+        log_schema = T.StructType(self.change_schema.fields + [T.StructField("batch_id", T.IntegerType()),
+                                                               T.StructField(buckets.BUCKET, T.IntegerType())])
+        log = spark.read.schema(log_schema).parquet(self.log_path).filter(F.col("batch_id") <= batch_id)
+        this = log.filter(F.col("batch_id") == batch_id)
+        hit = sorted(r[0] for r in this.select(buckets.BUCKET).distinct().collect())
         if not hit:
             return
         touched = key_set(this, self.keys)
         # 2. the whole log of the touched buckets (pruned on batch_id and bucket)
-        log_schema = T.StructType(self.change_schema.fields + [T.StructField("batch_id", T.IntegerType()),
-                                                               T.StructField(buckets.BUCKET, T.IntegerType())])
-        log = (
-            spark.read.schema(log_schema).parquet(self.log_path)
-            .filter((F.col("batch_id") <= batch_id) & F.col(buckets.BUCKET).isin(hit))
-            .drop("batch_id", buckets.BUCKET)
-        )
+        log = log.filter(F.col(buckets.BUCKET).isin(hit)).drop("batch_id", buckets.BUCKET)
         # 3. history of the touched keys rebuilt from their whole log (late rows land in place)
         rebuilt = scd2(semi(log, touched, self.keys), self.keys, self.sequence_by, self.tracked,
                        change_type=self.change_type, tiebreak=self.tiebreak)
-        # 4. the touched buckets: untouched keys kept, touched keys replaced
-        old = buckets.read(spark, self.history_path, self.history_schema, hit).drop(buckets.BUCKET)
+        # 4. the touched buckets: untouched keys kept, touched keys replaced.  The
+        # batches before this one have ended, so what they replaced can go.
+        buckets.drop_superseded(spark, self.history_path, batch_id)
+        held = buckets.held_by(spark, self.history_path, batch_id)
+        old = buckets.read(spark, self.history_path, self.history_schema, held, hit)
         new = anti(old, touched, self.keys).unionByName(rebuilt.select(*old.columns))
-        buckets.replace(
-            buckets.with_bucket(new, self.keys, self.n_buckets),
-            self.history_path,
-            f"{self.root}/staging/batch_id={batch_id:09d}",
-            sort_by=[*self.keys, "valid_from"],
-        )
+        buckets.replace(new, self.keys, self.n_buckets, self.history_path, batch_id + 1, held, hit,
+                        sort_by=[*self.keys, "valid_from"])
 
 
 def run_available(
@@ -126,4 +125,5 @@ def run_available(
 
 
 def current_history(spark: SparkSession, fold: HistoryFold) -> DataFrame:
-    return buckets.read(spark, fold.history_path, fold.history_schema).drop(buckets.BUCKET)
+    """The whole history as the newest committed map has it."""
+    return buckets.read(spark, fold.history_path, fold.history_schema, buckets.held_by(spark, fold.history_path))

@@ -1,6 +1,7 @@
 """Streaming folds: a retried micro-batch leaves the same state, and a
 late batch lands in place."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,57 @@ def test_retried_and_late_batches(spark, run_root):
     assert once == _rows(expected.select(*current_history(spark, fold).columns))
 
 
+@pytest.mark.parametrize("at", ["buckets", "map", "ended"])
+def test_a_batch_that_broke_off_in_the_swap_is_run_again(spark, run_root, monkeypatch, at):
+    """Stopped with half its buckets written, before its map, or after it: the state
+    of the batch before stays whole, and the retry ends like a run without a stop."""
+    from rowgate.sources import buckets, tables
+
+    ch, fold = _fold(spark, run_root)
+    thirds = [ch.filter(F.pmod(F.hash("id", "seq"), F.lit(3)) == n) for n in range(3)]
+    fold(thirds[0], 0)
+    fold(thirds[1], 1)
+    before = _rows(current_history(spark, fold))
+
+    def lost(*a, **k):
+        raise RuntimeError("lost")
+
+    if at == "buckets":
+        real = buckets.write_parts
+
+        def half(df, keys, n, path, sort_by=()):
+            if "/history/" not in path:
+                return real(df, keys, n, path, sort_by)
+            real(df.filter(buckets.bucket_of(keys, n) % 2 == 0), keys, n, path, sort_by)
+            lost()
+
+        monkeypatch.setattr(buckets, "write_parts", half)
+    elif at == "map":
+        monkeypatch.setattr(tables, "write", lost)
+    if at == "ended":
+        fold(thirds[2], 2)
+    else:
+        with pytest.raises(RuntimeError):
+            fold(thirds[2], 2)
+        monkeypatch.undo()
+        assert _rows(current_history(spark, fold)) == before
+    fold(thirds[2], 2)
+    expected = scd2(ch, ["id"], "seq", ["event_type"], change_type="change_type", tiebreak=["tiebreak"])
+    assert _rows(current_history(spark, fold)) == _rows(expected.select(*current_history(spark, fold).columns))
+
+
+def test_replaced_buckets_are_deleted(spark, run_root):
+    from rowgate.sources import buckets
+
+    ch, fold = _fold(spark, run_root)
+    for n in range(5):
+        fold(ch.filter(F.pmod(F.hash("id", "seq"), F.lit(5)) == n), n)
+    kept = [v for v, _ in buckets._folders(spark, fold.history_path)]
+    assert sorted(kept) == [3, 4, 5]  # the two newest maps' versions at the last batch, and its own
+    expected = scd2(ch, ["id"], "seq", ["event_type"], change_type="change_type", tiebreak=["tiebreak"])
+    assert _rows(current_history(spark, fold)) == _rows(expected.select(*current_history(spark, fold).columns))
+
+
 def test_landing_stream_publishes_change_feed(spark, run_root):
     from rowgate.plans.catalog import CONTRACT
     from rowgate.plans.jobs import State, clean_history
