@@ -9,7 +9,9 @@ passes over the data.
 State layout under ``root`` (a folder in the shared checkpoint space, see
 ``rowgate.session.run_dir``), written by ``rowgate.sources.tables``:
 
-* ``clean/v=N`` -- whole versions (loads replace or merge rows anywhere);
+* ``clean/v=N/rg_bucket=B`` and ``clean_map/v=N`` -- key-hash buckets (see
+  ``rowgate.sources.buckets``): a full load writes all of them, a merge reads
+  and writes only those that hold its keys;
 * ``quarantine/v=N/terminal=false|true`` -- each step reads only the live
   side of the newest version and writes the next version split in two:
   rows still live, and rows that became terminal (RELEASED / EXPIRED) in
@@ -29,7 +31,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +54,9 @@ from rowgate.contracts import (
 from rowgate.functions.rules import Rule, require_columns, type_rules
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
-from rowgate.operators.keyed import key_set, latest_per_key, semi, upsert
+from rowgate.operators.keyed import latest_per_key, semi, upsert
 from rowgate.operators.route import ERRORS, classify, split
-from rowgate.sources import tables
+from rowgate.sources import buckets, tables
 
 _TERMINAL = T.StructType([T.StructField("terminal", T.BooleanType())])
 
@@ -97,6 +99,7 @@ class State:
     params: Params = field(default_factory=Params)
     at: int | None = None
     written: dict = field(default_factory=dict)
+    rows_per_bucket: int = 1_000_000  # of the clean table, which gets as many buckets as that takes
 
     def _schema(self, name: str) -> T.StructType:
         return _SCHEMAS[name](self.data_schema)
@@ -110,7 +113,7 @@ class State:
         if not vs:
             vs = [0, *(v for name in _SCHEMAS for v in tables.versions(self.spark, self.root, name)[-1:])]
             tables.write(tables.empty(self.spark, LEDGER_SCHEMA), self.root, "ledger", version=max(vs))
-        return State(self.spark, self.root, self.data_schema, self.params, at=max(vs), written=self.written)
+        return replace(self, at=max(vs))
 
     def read(self, name: str) -> DataFrame:
         """The whole table (quarantine: live side plus every terminal side;
@@ -121,7 +124,21 @@ class State:
                                   max_version=self.at, evolve=True), allowMissingColumns=True)
         if name in ("dead_letter", "changes", "ledger"):
             return tables.read_parts(self.spark, self.root, name, self._schema(name), max_version=self.at)
-        return tables.read(self.spark, self.root, name, self._schema(name), max_version=self.at, evolve=name in _EVOLVING)
+        if name == "clean":
+            return self._read_clean(self._layout())
+        return tables.read(self.spark, self.root, name, self._schema(name), max_version=self.at)
+
+    def _layout(self) -> buckets.Layout:
+        return buckets.layout(self.spark, f"{self.root}/clean", self.at)
+
+    def _read_clean(self, lay: buckets.Layout, hit: Sequence[int] | None = None) -> DataFrame:
+        path, schema = f"{self.root}/clean", self._schema("clean")
+        if lay.held:
+            schema = tables.grown(self.spark, buckets.paths(path, lay), None, schema)
+        return buckets.read(self.spark, path, schema, lay, hit)
+
+    def _buckets_for(self, rows: int) -> int:
+        return max(1, -(-rows // self.rows_per_bucket))
 
     def read_live(self) -> DataFrame:
         """Live side of the newest quarantine version (what every step works on)."""
@@ -143,7 +160,7 @@ class State:
     def after(self) -> "State":
         """The state as this run left it (reads pinned to its last write)."""
         last = max(self.written.values()) if self.written else self.at
-        return State(self.spark, self.root, self.data_schema, self.params, at=last, written=dict(self.written))
+        return replace(self, at=last, written=dict(self.written))
 
     def read_written(self, name: str) -> DataFrame:
         """What this run wrote to ``name`` (for append-style tables: this
@@ -153,13 +170,11 @@ class State:
     def write(self, name: str, df: DataFrame, observe: dict[str, Column] | None = None) -> dict:
         """Write ``df`` as the next version of ``name``; return observed metrics.
 
-        No re-clustering on write: an upsert keeps untouched rows where they
-        are, so a write is map-only; the history table is the one kept
-        clustered (key-hash buckets, see rowgate.sources.buckets).
+        The clean table is written whole here; ``merge_clean`` writes parts of it.
         """
-        contract = self._schema(name).fieldNames()
-        more = [c for c in df.columns if c not in contract] if name in _EVOLVING else []
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in self._schema(name).fields], *more)
+        if name == "clean":
+            return {"clean_rows": self._write_clean(df, self._layout().buckets or 1, buckets.Layout(), None).rows}
+        df = self._pin(name, df)
         part = None
         if name == "quarantine":
             live = F.col("quarantine_status").isin(*self.params.live, "FIXED")
@@ -174,34 +189,60 @@ class State:
         self.written[name] = self.last_version
         return dict(obs.get) if observe else {}
 
-    def commit_clean(
-        self,
-        new: DataFrame,
-        as_of: str,
-        old: DataFrame,
-        old_touched: DataFrame | None = None,
-        new_touched: DataFrame | None = None,
-    ) -> dict:
-        """Write the next clean version and its change rows (same number).
-
-        ``old`` must be the frame of the previous version (read before this
-        write).  With ``new_touched`` (the rows a merge wrote), only those
-        keys are diffed: ``old_touched`` are their previous rows.
+    def _pin(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` with the types of the contract, and its further columns where the table keeps them."""
+        fields = self._schema(name).fields
+        more = [c for c in df.columns if c not in self._schema(name).fieldNames()] if name in _EVOLVING else []
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in fields], *more)
+
+    def _write_clean(self, df: DataFrame, n: int, lay: buckets.Layout, hit: Sequence[int] | None) -> buckets.Layout:
+        """The next clean version: ``df`` in the buckets ``hit`` (None: all ``n``) of ``lay``."""
+        v = self.next_version("clean")
+        hit = range(n) if hit is None else hit
+        lay = buckets.replace(self._pin("clean", df), self.params.keys, n, f"{self.root}/clean", v, lay, hit)
+        self.last_version = self.written["clean"] = v
+        return lay
+
+    def replace_clean(self, new: DataFrame, as_of: str, rows: int) -> dict:
+        """Write the next clean version from at most ``rows`` rows, and its change rows (same number)."""
+        old = self.read("clean")
+        lay = self._write_clean(new, self._buckets_for(rows), buckets.Layout(), None)
+        return {"clean_rows": lay.rows, **self._write_changes(old, self._read_clean(lay), as_of)}
+
+    def merge_clean(self, sources: Sequence[DataFrame], as_of: str) -> dict:
+        """Merge ``sources`` (each one row a key) one after another into the clean
+        table: the next version and its change rows.
+
+        Only the buckets of their keys are read and written, and only those keys
+        are diffed.  A table that has outgrown its buckets is dealt out anew.
         """
         keys = list(self.params.keys)
-        out = self.write("clean", new, {"clean_rows": _rows()})
-        v = self.last_version
-        columns = self.data_schema.fieldNames()  # the feed has the contract's columns
-        if new_touched is None:
-            ch = snapshot_changes(old, new, keys, v, as_of, columns)
+        touched = sources[0].select(*keys)
+        for s in sources[1:]:
+            touched = touched.unionByName(s.select(*keys))
+        touched = touched.distinct()
+        lay = self._layout()
+        n = lay.buckets or 1
+        if lay.rows > 2 * n * self.rows_per_bucket:
+            n, hit = self._buckets_for(lay.rows), None
         else:
-            ch = snapshot_changes(old_touched, new_touched, keys, v, as_of, columns)
+            hit = buckets.hit_by(touched, keys, n)
+        old = self._read_clean(lay, hit)
+        new = old
+        for s in sources:
+            new = upsert(new, s, keys, dedupe_order=None)
+        lay = self._write_clean(new, n, lay, hit)
+        stored = self._read_clean(lay, hit)
+        return {"clean_rows": lay.rows, **self._write_changes(semi(old, touched, keys), semi(stored, touched, keys), as_of)}
+
+    def _write_changes(self, old: DataFrame, new: DataFrame, as_of: str) -> dict:
+        v = self.last_version
+        ch = snapshot_changes(old, new, list(self.params.keys), v, as_of, self.data_schema.fieldNames())  # the contract's columns
         ch = ch.select(*[F.col(f.name).cast(f.dataType) for f in self._schema("changes").fields])
         obs = Observation("changes_metrics")
         tables.write(ch, self.root, "changes", version=v, observe=(obs, [_rows().alias("change_rows")]))
         self.written["changes"] = v
-        out.update(obs.get)
-        return out
+        return dict(obs.get)
 
 
 def _rows() -> Column:
@@ -297,9 +338,8 @@ def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: st
     batch = _batch_of(source_file)
     if _seen(state, batch):
         return {"skipped": True}
-    old = state.read("clean")
     r, out = _routed(state, incoming, as_of, source_file, stack, rules)
-    out.update(state.commit_clean(latest_per_key(r.clean, state.params.keys, order), as_of, old))
+    out.update(state.replace_clean(latest_per_key(r.clean, state.params.keys, order), as_of, out["clean_count"]))
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
     _end_run(state, [batch] if batch else [], as_of)
@@ -314,12 +354,8 @@ def partial_load_job(state: State, incoming: DataFrame, as_of: str, source_file:
     batch = _batch_of(source_file)
     if _seen(state, batch):
         return {"skipped": True}
-    keys = list(state.params.keys)
-    old = state.read("clean")
     r, out = _routed(state, incoming, as_of, source_file, True, rules)
-    src = latest_per_key(r.clean, keys, order)
-    out.update(state.commit_clean(upsert(old, src, keys, dedupe_order=None), as_of, old,
-                                  old_touched=semi(old, src, keys), new_touched=src))
+    out.update(state.merge_clean([latest_per_key(r.clean, state.params.keys, order)], as_of))
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
     _end_run(state, [batch] if batch else [], as_of)
@@ -330,8 +366,7 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
     """L17 as a job: expire -> release -> promote from one input version and
     one ``as_of`` (R-8, R-19)."""
     state = state.pinned()
-    clean = state.read("clean")
-    out = _pass(state, as_of, order, clean, state.read_live(), clean)
+    out = _pass(state, as_of, order, state.read_live(), [])
     _end_run(state, [], as_of)
     return out
 
@@ -349,16 +384,15 @@ def _not_stale(state: State, rows: DataFrame) -> DataFrame:
     return rows.join(last, keys, "left").filter(fresh).drop("_last")
 
 
-def _pass(state: State, as_of: str, order, clean: DataFrame, quarantine: DataFrame, before: DataFrame,
-          touched: DataFrame | None = None) -> dict:
-    """One maintenance pass over ``clean`` and ``quarantine``; writes each table once.
+def _pass(state: State, as_of: str, order, quarantine: DataFrame, sources: Sequence[DataFrame]) -> dict:
+    """One maintenance pass over ``quarantine``; writes each table once.
 
     The rows each step moves (dead letter, released, promoted) are written
     first and read back, so the status updates and the clean-table merge use
     the stored sets instead of recomputing them; the final quarantine and
-    clean versions are written last.  ``before`` is the stored clean version
-    and ``touched`` the keys in which ``clean`` already differs from it.  If no
-    row is to be merged the clean table isn't written at all.
+    clean versions are written last.  ``sources`` are rows that go into the
+    clean table before those of the pass.  If no row is to be merged the clean
+    table isn't written at all.
     """
     p, out = state.params, {}
     keys = list(p.keys)
@@ -378,13 +412,13 @@ def _pass(state: State, as_of: str, order, clean: DataFrame, quarantine: DataFra
         elif step == "release":
             out.update(state.write("released", L.latest_valid_per_key(quarantine, p), {"released_keys": _rows()}))
             fresh = merge("released")
-            _, quarantine, _ = L.release_fixed(clean, quarantine, p, released=state.read_written("released"))
-            clean = upsert(clean, fresh, keys, dedupe_order=None)
+            _, quarantine, _ = L.release_fixed(fresh, quarantine, p, released=state.read_written("released"))
+            sources = [*sources, fresh] if out["released_keys"] else sources
         elif step == "promote":
             out.update(state.write("promoted", L.promoted_rows(quarantine, p), {"promoted_keys": _rows()}))
             fresh = merge("promoted")
-            _, quarantine, _ = L.promote_blocked(clean, quarantine, p, promoted=state.read_written("promoted"))
-            clean = upsert(clean, fresh, keys, dedupe_order=None)
+            _, quarantine, _ = L.promote_blocked(fresh, quarantine, p, promoted=state.read_written("promoted"))
+            sources = [*sources, fresh] if out["promoted_keys"] else sources
         else:
             raise ValueError(f"unknown step {step!r}")
     # skipped steps still get an (empty) part, so "newest part" always means this pass
@@ -397,12 +431,7 @@ def _pass(state: State, as_of: str, order, clean: DataFrame, quarantine: DataFra
         "newly_released_rows": F.count_if(F.col("quarantine_status") == RELEASED),
         "newly_expired_rows": F.count_if(F.col("quarantine_status") == EXPIRED),
     }))
-    moved = state.read_written("released").unionByName(state.read_written("promoted")).select(*keys)
-    if touched is None and not out.get("released_keys") and not out.get("promoted_keys"):
-        return out  # idle: the clean table stays as it is
-    moved = (moved if touched is None else moved.unionByName(touched.select(*keys))).distinct()
-    out.update(state.commit_clean(clean, as_of, before, old_touched=semi(before, moved, keys), new_touched=semi(clean, moved, keys)))
-    return out
+    return out | (state.merge_clean(sources, as_of) if sources else {})
 
 
 def clean_history(state: State, tracked: list[str] | None = None) -> DataFrame:
@@ -432,11 +461,10 @@ def summary_frame(state: State, as_of: str) -> DataFrame:
 
 
 def _route_frames(state: State, rows: DataFrame, names: Sequence[tuple[str, str]], rules: Sequence[Rule]):
-    """Route batches one after another: (clean, live quarantine, touched keys, the
+    """Route batches one after another: (each one's clean rows, live quarantine, the
     last batch's time); a later batch sees the keys an earlier one quarantined."""
     p = state.params
-    keys = list(p.keys)
-    clean, live, touched, as_of = state.read("clean"), state.read_live(), None, None
+    sources, live, as_of = [], state.read_live(), None
     version = state.next_version("clean")
     for area, name in names:
         batch = rows.filter((F.col("area") == area) & (F.col("batch") == name)).drop("area", "batch")
@@ -444,12 +472,9 @@ def _route_frames(state: State, rows: DataFrame, names: Sequence[tuple[str, str]
         path = f"{state.root}/staging/route/v={version:06d}/{area}_{name}"
         staged, columns = _classified(state, batch, live, f"{area}/{name}", rules, path)
         r = split(staged, columns, as_of, p.hours)
-        src = latest_per_key(r.clean, keys, ())
-        clean = upsert(clean, src, keys, dedupe_order=None)
+        sources.append(latest_per_key(r.clean, p.keys, ()))
         live = live.unionByName(r.quarantine, allowMissingColumns=True)
-        k = key_set(src, keys)
-        touched = k if touched is None else touched.unionByName(k)
-    return clean, live, None if touched is None else touched.distinct(), as_of
+    return sources, live, as_of
 
 
 def route_batches(state: State, rows: DataFrame, names: Sequence[tuple[str, str]], rules: Sequence[Rule] = ()) -> dict:
@@ -464,12 +489,9 @@ def route_batches(state: State, rows: DataFrame, names: Sequence[tuple[str, str]
     names = [n for n in names if not _seen(state, n)]
     if not names:
         return {}
-    keys = list(state.params.keys)
-    old = state.read("clean")
-    clean, live, touched, as_of = _route_frames(state, rows, names, rules)
+    sources, live, as_of = _route_frames(state, rows, names, rules)
     out = state.write("quarantine", live, {"live_rows": _rows()})
-    out.update(state.commit_clean(clean, as_of, old, old_touched=semi(old, touched, keys),
-                                  new_touched=semi(clean, touched, keys)))
+    out.update(state.merge_clean(sources, as_of))
     _end_run(state, names, as_of)
     out["as_of"] = as_of
     return out
@@ -489,9 +511,8 @@ def quality_check_job(state: State, landing: DataFrame, as_of: str, areas: tuple
     rank = {a: i for i, a in enumerate(areas or ())}
     found = [(r["area"], r["batch"]) for r in newest.select("area", "batch").distinct().collect()]
     names = sorted(found, key=lambda ab: (rank.get(ab[0], len(rank)), ab[0], ab[1]))
-    before = state.read("clean")
-    clean, live, touched, _ = _route_frames(state, newest, names, rules)
-    out = _pass(state, as_of, ("release", "expire"), clean, live, before, touched)
+    sources, live, _ = _route_frames(state, newest, names, rules)
+    out = _pass(state, as_of, ("release", "expire"), live, sources)
     _end_run(state, names, as_of)
     out["batches"] = names
     return out

@@ -2,7 +2,8 @@
 
 A table is a parquet folder ``<path>/v=N/bucket=B`` with
 ``bucket = pmod(xxhash64(keys), n)``; version N holds the buckets that step N
-changed.  Its map ``<path>_map/v=N`` names the version that holds each bucket.
+changed.  Its map ``<path>_map/v=N`` names the version that holds each bucket,
+and its rows.
 A step writes its buckets, then its map, and the map's success marker commits
 the step: nothing that a committed map names is ever overwritten, so a step
 that broke off anywhere is run again from the map before it.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Collection, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,51 +21,67 @@ from pyspark.sql import types as T
 
 from rowgate.sources import tables
 
-BUCKET = "bucket"
-_MAP = T.StructType([T.StructField(BUCKET, T.IntegerType()), T.StructField("version", T.LongType())])
-_FOLDER = re.compile(r"^(?:v|bucket)=(\d+)$")
+BUCKET = "rg_bucket"
+_MAP = T.StructType([T.StructField(c, T.LongType()) for c in ("bucket", "version", "rows", "buckets")])
+_FOLDER = re.compile(r"^(?:v|rg_bucket)=(\d+)$")
 
 
 def bucket_of(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
-def write_parts(df: DataFrame, keys: Sequence[str], n: int, path: str, sort_by: Sequence[str] = ()) -> None:
-    """Write ``df`` to ``path`` split by bucket.  The rebalance gives a bucket few
-    files; adaptive execution splits one that is large over several tasks."""
-    out = df.withColumn(BUCKET, bucket_of(keys, n)).hint("rebalance", F.col(BUCKET))
-    out.sortWithinPartitions(BUCKET, *sort_by).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+def dealt(df: DataFrame, keys: Sequence[str], n: int, sort_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` with its bucket, ready to be written by bucket.  The rebalance gives a
+    bucket few files; adaptive execution splits one that is large over several tasks."""
+    return df.withColumn(BUCKET, bucket_of(keys, n)).hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, *sort_by)
 
 
-def held_by(spark: SparkSession, path: str, max_version: int | None = None) -> dict[int, int]:
-    """The newest map: bucket -> version that holds it (one pair a bucket)."""
-    root, name = path.rsplit("/", 1)
-    return {r[0]: r[1] for r in tables.read(spark, root, f"{name}_map", _MAP, max_version=max_version).collect()}
-
-
-def read(spark: SparkSession, path: str, schema: T.StructType, held: dict[int, int], buckets: Collection[int] | None = None) -> DataFrame:
-    """Rows of the given buckets, or all, by a map; other folders aren't listed."""
-    of: dict[int, list[int]] = {}
-    for b, v in held.items():
-        if buckets is None or b in buckets:
-            of.setdefault(v, []).append(b)
-    if not of:
-        return spark.createDataFrame([], schema)
-    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType()), T.StructField("v", T.LongType())])
-    df = spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/v={v:06d}" for v in of])
-    named = F.lit(False)
-    for v, bs in of.items():
-        named = named | ((F.col("v") == v) & F.col(BUCKET).isin(bs))
-    return df.filter(named).select(*schema.fieldNames())
-
-
-def replace(df: DataFrame, keys: Sequence[str], n: int, path: str, version: int, held: dict[int, int], hit: Collection[int], sort_by: Sequence[str] = ()) -> None:
-    """Put ``df`` in place of the buckets ``hit`` of the table that ``held`` maps.
-    A bucket of which ``df`` has no rows becomes empty."""
-    write_parts(df, keys, n, f"{path}/v={version:06d}", sort_by)
+@dataclass
+class Layout:
+    """A map: how many buckets there are, and (version, rows) of those that aren't empty."""
+
+    buckets: int = 0
+    held: dict[int, tuple[int, int]] = field(default_factory=dict)
+
+    @property
+    def rows(self) -> int:
+        return sum(n for _, n in self.held.values())
+
+
+def layout(spark: SparkSession, path: str, max_version: int | None = None) -> Layout:
+    """The newest map (a row a bucket)."""
     root, name = path.rsplit("/", 1)
-    now = sorted({**held, **dict.fromkeys(hit, version)}.items())
-    tables.write(df.sparkSession.createDataFrame(now, _MAP).coalesce(1), root, f"{name}_map", version=version)
+    found = tables.read(spark, root, f"{name}_map", _MAP, max_version=max_version).collect()
+    return Layout(found[0]["buckets"] if found else 0, {r["bucket"]: (r["version"], r["rows"]) for r in found})
+
+
+def hit_by(df: DataFrame, keys: Sequence[str], n: int) -> list[int]:
+    """The buckets of a frame's keys (at most ``n``)."""
+    return sorted(r[0] for r in df.select(bucket_of(keys, n).alias(BUCKET)).distinct().collect())
+
+
+def paths(path: str, lay: Layout, hit: Collection[int] | None = None) -> list[str]:
+    """The folders of the given buckets, or of all."""
+    return [f"{path}/v={v:06d}/{BUCKET}={b}" for b, (v, _) in sorted(lay.held.items()) if hit is None or b in hit]
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType, lay: Layout, hit: Collection[int] | None = None) -> DataFrame:
+    """Rows of the given buckets, or all; no other folder is listed."""
+    found = paths(path, lay, hit)
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def replace(df: DataFrame, keys: Sequence[str], n: int, path: str, version: int, lay: Layout, hit: Collection[int], sort_by: Sequence[str] = ()) -> Layout:
+    """Put ``df`` in place of the buckets ``hit`` of the table that ``lay`` maps; the
+    new map.  A bucket of which ``df`` has no rows becomes empty."""
+    spark, (root, name) = df.sparkSession, path.rsplit("/", 1)
+    tables.write(dealt(df, keys, n, sort_by), root, name, version=version, partition_by=[BUCKET])
+    with_bucket = T.StructType(df.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+    made = spark.read.schema(with_bucket).parquet(f"{path}/v={version:06d}").groupBy(BUCKET).count().collect()
+    held = {b: x for b, x in lay.held.items() if b not in hit} | {r[0]: (version, r[1]) for r in made}
+    rows = [(b, v, c, n) for b, (v, c) in sorted(held.items())]
+    tables.write(spark.createDataFrame(rows, _MAP).coalesce(1), root, f"{name}_map", version=version)
+    return Layout(n, held)
 
 
 def drop_superseded(spark: SparkSession, path: str, max_version: int) -> None:
@@ -71,9 +89,9 @@ def drop_superseded(spark: SparkSession, path: str, max_version: int) -> None:
     up to ``max_version`` names.  What is left is at most two folders a bucket."""
     root, name = path.rsplit("/", 1)
     maps = [v for v in tables.versions(spark, root, f"{name}_map") if v <= max_version]
-    keep = {pair for v in maps[-2:] for pair in held_by(spark, path, v).items()}
     if len(maps) < 3:
         return
+    keep = {(b, x[0]) for v in maps[-2:] for b, x in layout(spark, path, v).held.items()}
     for v, folder in _folders(spark, path):
         if v <= maps[-1]:
             inside = _folders(spark, folder)

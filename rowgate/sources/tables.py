@@ -71,13 +71,14 @@ def read(
             return empty(spark, schema)
         version = vs[-1]
     path = f"{root.rstrip('/')}/{name}/v={version:06d}"
-    return spark.read.schema(_grown(spark, [path], path, schema) if evolve else schema).parquet(path)
+    return spark.read.schema(grown(spark, [path], path, schema) if evolve else schema).parquet(path)
 
 
-def _grown(spark: SparkSession, paths: list[str], base: str, schema: T.StructType) -> T.StructType:
+def grown(spark: SparkSession, paths: list[str], base: str | None, schema: T.StructType) -> T.StructType:
     """``schema`` and the further columns of the files in ``paths`` (footers only)."""
+    reader = spark.read.option("mergeSchema", "true")
     try:
-        found = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(*paths).schema
+        found = (reader.option("basePath", base) if base else reader).parquet(*paths).schema
     except AnalysisException:  # a version without rows may have no file
         return schema
     have = set(schema.fieldNames()) | {"v", "terminal"}
@@ -102,7 +103,7 @@ def read_parts(
         return empty(spark, schema)
     base = f"{root.rstrip('/')}/{name}"
     if evolve:
-        schema = _grown(spark, [f"{base}/v={v:06d}" for v in vs], base, schema)
+        schema = grown(spark, [f"{base}/v={v:06d}" for v in vs], base, schema)
     full = T.StructType(schema.fields + (extra.fields if extra else []) + [T.StructField("v", T.LongType())])
     df = spark.read.schema(full).parquet(f"{root.rstrip('/')}/{name}").filter(F.col("v").isin(vs))
     if where is not None:

@@ -79,7 +79,8 @@ class HistoryFold:
         cols = [f.name for f in self.change_schema.fields]
         # 1. the batch's rows into the log, replacing an earlier attempt of the same batch
         part = f"{self.log_path}/batch_id={batch_id:09d}"
-        buckets.write_parts(batch.select(*cols), self.keys, self.n_buckets, part)
+        rows = buckets.dealt(batch.select(*cols), self.keys, self.n_buckets)
+        rows.write.mode("overwrite").partitionBy(buckets.BUCKET).parquet(part)
         log_schema = T.StructType(self.change_schema.fields + [T.StructField("batch_id", T.IntegerType()),
                                                                T.StructField(buckets.BUCKET, T.IntegerType())])
         log = spark.read.schema(log_schema).parquet(self.log_path).filter(F.col("batch_id") <= batch_id)
@@ -96,10 +97,10 @@ class HistoryFold:
         # 4. the touched buckets: untouched keys kept, touched keys replaced.  The
         # batches before this one have ended, so what they replaced can go.
         buckets.drop_superseded(spark, self.history_path, batch_id)
-        held = buckets.held_by(spark, self.history_path, batch_id)
-        old = buckets.read(spark, self.history_path, self.history_schema, held, hit)
+        lay = buckets.layout(spark, self.history_path, batch_id)
+        old = buckets.read(spark, self.history_path, self.history_schema, lay, hit)
         new = anti(old, touched, self.keys).unionByName(rebuilt.select(*old.columns))
-        buckets.replace(new, self.keys, self.n_buckets, self.history_path, batch_id + 1, held, hit,
+        buckets.replace(new, self.keys, self.n_buckets, self.history_path, batch_id + 1, lay, hit,
                         sort_by=[*self.keys, "valid_from"])
 
 
@@ -126,4 +127,4 @@ def run_available(
 
 def current_history(spark: SparkSession, fold: HistoryFold) -> DataFrame:
     """The whole history as the newest committed map has it."""
-    return buckets.read(spark, fold.history_path, fold.history_schema, buckets.held_by(spark, fold.history_path))
+    return buckets.read(spark, fold.history_path, fold.history_schema, buckets.layout(spark, fold.history_path))

@@ -35,7 +35,7 @@ def test_quality_check_is_the_same_pinned_and_unpinned(spark, run_root):
     assert _all(free)["clean"]
 
 
-@pytest.mark.parametrize("stop_before", ["released", "quarantine", "clean", "changes", "ledger"])
+@pytest.mark.parametrize("stop_before", ["released", "quarantine", "clean", "clean_map", "changes", "ledger"])
 def test_a_run_that_broke_off_is_run_again(spark, run_root, monkeypatch, stop_before):
     whole = J.State(spark, f"{run_root}/whole", CONTRACT, B.PARAMS)
     J.quality_check_job(whole, B.landing(spark, SF), B.T2, areas=AREAS)
@@ -63,6 +63,23 @@ def test_idle_pass_writes_no_clean_version(spark, run_root):
     assert st.read("clean").count() == 2
 
 
+def test_a_merge_writes_only_the_buckets_of_its_keys(spark, run_root):
+    st = J.State(spark, run_root, rows_per_bucket=10)
+    rows = [(i, "a", i) for i in range(100)]
+    J.full_load_job(st, _frame(spark, rows), "2026-01-01 00:00:00", "parquet_full/20260101_000000")
+    whole = st._layout()
+    assert whole.buckets == 10 and whole.rows == 100
+    J.partial_load_job(st, _frame(spark, [(7, "b", 1)]), "2026-01-01 01:00:00", "parquet_partial/20260101_010000")
+    after = st._layout()
+    assert len([b for b, x in after.held.items() if whole.held[b] != x]) == 1
+    assert sorted(map(tuple, st.read("clean").collect())) == sorted([*rows[:7], *rows[8:], (7, "b", 1)])
+    more = [(i, "c", 0) for i in range(100, 350)]  # outgrows the buckets: the next merge deals the table out anew
+    J.partial_load_job(st, _frame(spark, more), "2026-01-01 02:00:00", "parquet_partial/20260101_020000")
+    J.partial_load_job(st, _frame(spark, [(7, "d", 2)]), "2026-01-01 03:00:00", "parquet_partial/20260101_030000")
+    assert st._layout().buckets == 35 and st._layout().rows == 350
+    assert sorted(map(tuple, st.read("clean").collect())) == sorted([*rows[:7], *rows[8:], *more, (7, "d", 2)])
+
+
 def test_release_does_not_overwrite_a_newer_clean_row(spark, run_root):
     st = J.State(spark, run_root)
     J.full_load_job(st, _frame(spark, [(2, "b", None)]), "2026-01-01 01:00:00", "parquet_full/20260101_010000")

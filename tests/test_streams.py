@@ -53,18 +53,15 @@ def test_a_batch_that_broke_off_in_the_swap_is_run_again(spark, run_root, monkey
     def lost(*a, **k):
         raise RuntimeError("lost")
 
+    real = tables.write
     if at == "buckets":
-        real = buckets.write_parts
-
-        def half(df, keys, n, path, sort_by=()):
-            if "/history/" not in path:
-                return real(df, keys, n, path, sort_by)
-            real(df.filter(buckets.bucket_of(keys, n) % 2 == 0), keys, n, path, sort_by)
+        def half(df, root, name, **k):
+            real(df.filter(F.col(buckets.BUCKET) % 2 == 0), root, name, **k)
             lost()
 
-        monkeypatch.setattr(buckets, "write_parts", half)
+        monkeypatch.setattr(tables, "write", half)
     elif at == "map":
-        monkeypatch.setattr(tables, "write", lost)
+        monkeypatch.setattr(tables, "write", lambda df, root, name, **k: lost() if name.endswith("_map") else real(df, root, name, **k))
     if at == "ended":
         fold(thirds[2], 2)
     else:
