@@ -166,6 +166,18 @@ def append(target: DataFrame | None, rows: DataFrame, evolve: bool = True) -> Da
     return target.unionByName(rows, allowMissingColumns=evolve)
 
 
+def clean_sink(clean: DataFrame | None, rows: DataFrame, mode: str, params: Params = Params(), order: Sequence[str | Column] = ()) -> DataFrame:
+    """The clean table after ``rows`` went into it (S11): ``overwrite`` replaces it,
+    ``append`` adds them, ``merge`` upserts them on the key."""
+    if mode == "overwrite" or (clean is None and mode == "append"):
+        return rows
+    if mode == "append":
+        return append(clean, rows)
+    if mode == "merge":
+        return latest_per_key(rows, params.keys, order) if clean is None else upsert_clean(clean, rows, params, order)
+    raise ValueError(f"unknown clean mode {mode!r}")
+
+
 def upsert_clean(clean: DataFrame, rows: DataFrame, params: Params = Params(), order: Sequence[str | Column] = ()) -> DataFrame:
     """Clean-table merge on the key (J4).  Inside the source the newest row by
     ``order`` wins (R-16); without an order, the largest by its columns."""
@@ -183,7 +195,7 @@ def partial_load(
     """R2: stacking route, clean rows merged, bad rows appended."""
     r = route(incoming, quarantine, params, as_of, source_file, stack=True)
     return RouteResult(
-        clean=upsert_clean(clean, r.clean, params),
+        clean=clean_sink(clean, r.clean, "merge", params),
         quarantine=append(quarantine, r.quarantine),
         summary=r.summary,
         extra={"clean_rows": r.clean, "quarantine_rows": r.quarantine},

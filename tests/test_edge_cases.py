@@ -178,3 +178,18 @@ def test_newest_batch_from_folder_listing(spark, run_root):
     assert [(r.id, r.batch) for r in rows] == [(2, "20260102_000000")]
     with pytest.raises(FileNotFoundError):
         S.read_newest(spark, land, "parquet_partial")
+
+
+def test_clean_sink_modes(spark):
+    import pytest
+
+    from rowgate.operators.route import clean_sink
+
+    old, new = df(spark, [(1, "a", 1), (2, "b", 2)]), df(spark, [(2, "c", 3), (3, "d", 4)])
+    got = {m: sorted(tuple(r) for r in clean_sink(old, new, m).collect()) for m in ("overwrite", "append", "merge")}
+    assert got["overwrite"] == [(2, "c", 3), (3, "d", 4)]
+    assert got["append"] == [(1, "a", 1), (2, "b", 2), (2, "c", 3), (3, "d", 4)]
+    assert got["merge"] == [(1, "a", 1), (2, "c", 3), (3, "d", 4)]
+    assert clean_sink(None, new, "append").count() == clean_sink(None, new, "merge").count() == 2
+    with pytest.raises(ValueError):
+        clean_sink(old, new, "upsert")
