@@ -1,0 +1,180 @@
+"""Links between texts whose sets of shingles have a Jaccard similarity of at least t.
+
+Exact, by prefix filter: if every set is put in one order that is the same for all,
+two sets of similarity t share a member among the first ``n - ceil(t * n) + 1`` of
+each.  These are the keys.  Members seen often in a sample of the texts come last in
+the order; that keeps groups of a key small and changes no result, whatever the
+sample holds.
+
+Only distinct sets are compared (``node``, 64 bits of a set).  First each key's sets
+are compared with the key's smallest node, which joins large groups of near copies
+in linear work; then those of a key that are still in different components, each
+pair once.  Every pair that shares a key is thus compared on its whole sets unless
+it is in one component already or sizes, places in the order or parities rule it out.
+Parities: members are counted in BITS buckets, modulo 2.  Two sets have at least as
+many members of only one as buckets of different parity, so texts are sent only for
+pairs where these are few enough.
+
+Texts without words (null and empty ones too) are one node.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from . import simhash
+from .frames import annotate, utf8
+
+# One text in SAMPLE is looked at for the order; members of at least OFTEN of them, and
+# at most MOST members, come last.
+SAMPLE, OFTEN, MOST = 16, 4, 1 << 18
+BITS = 1024
+
+
+class _Members:
+    def __init__(self, shingle: int):
+        self.shingle = shingle
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in utf8(batch, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(simhash.hashes(t, self.shingle)).view(np.int64))], names=["key"])
+
+
+def often(rows: DataFrame, folder: str, shingle: int) -> np.ndarray:
+    """Members that come last in the order, sorted."""
+    spark = rows.sparkSession
+    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text").distinct()
+    some.mapInArrow(_Members(shingle), "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= OFTEN).write.parquet(f"{folder}/often")
+    found = spark.read.schema("key long, n long").parquet(f"{folder}/often")
+    least, total = OFTEN, 0
+    for n, count in sorted(map(tuple, found.groupBy("n").count().collect()), reverse=True):
+        total += count
+        if total > MOST:
+            least = n + 1
+            break
+    keys = found.where(F.col("n") >= least).select("key").collect()
+    return np.sort(np.array([r[0] for r in keys], np.int64).view(np.uint64))
+
+
+def parities(h: np.ndarray) -> np.ndarray:
+    odd = np.bincount((h % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+class _Prefixes:
+    def __init__(self, shingle: int, t: Fraction, late):
+        self.shingle, self.t, self.late = shingle, t, late.value
+
+    def __call__(self, texts: list[bytes]) -> list[list]:
+        import xxhash
+
+        fps, nodes, sizes, keys, bits = [], [], [], [], []
+        for text in texts:
+            h = simhash.hashes(text, self.shingle)
+            fps.append(simhash.vote(h) if len(h) else 0)
+            h = np.unique(h)
+            n = len(h)
+            nodes.append(xxhash.xxh64_intdigest(h.astype("<u8").tobytes()))
+            sizes.append(n)
+            bits.append(parities(h))
+            first = n - -(-self.t.numerator * n // self.t.denominator) + 1 if n else 0
+            if len(self.late):
+                at = np.minimum(np.searchsorted(self.late, h), len(self.late) - 1)
+                late = self.late[at] == h
+                h = np.concatenate([h[~late], h[late]])
+            keys.append(h[:first].view(np.int64))
+        signed = [np.array(x, np.uint64).view(np.int64).tolist() for x in (fps, nodes)]
+        return [*signed, sizes, keys, bits]
+
+
+def _possible(a: str, b: str, t: Fraction) -> Column:
+    """Whether sizes and places of a shared member, if it is the first one, allow ``t``."""
+    n, m, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos"), F.col(f"{b}.pos")
+    sizes = F.least(n, m) * t.denominator >= F.greatest(n, m) * t.numerator
+    return sizes & (F.least(n - i, m - j) * (t.numerator + t.denominator) >= (n + m) * t.numerator)
+
+
+class _Compare:
+    def __init__(self, shingle: int, t: Fraction, most: int = 1 << 20):
+        self.shingle, self.t, self.most = shingle, t, most
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        size = 0
+
+        def members(node: int, text: bytes) -> np.ndarray:
+            nonlocal size
+            if node not in held:
+                if size >= self.most:
+                    held.clear()
+                    size = 0
+                held[node] = np.unique(simhash.hashes(text, self.shingle))
+                size += len(held[node])
+            return held[node]
+
+        for batch in (b.slice(at, 128) for b in batches for at in range(0, b.num_rows, 128)):
+            us, vs = (batch.column(c).to_pylist() for c in ("u", "v"))
+            yes = []
+            for u, v, a, b in zip(us, vs, utf8(batch, "a"), utf8(batch, "b")):
+                x, y = members(u, a), members(v, b)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                yes.append(both * self.t.denominator >= (len(x) + len(y) - both) * self.t.numerator)
+            yield batch.select(["u", "v"]).filter(pa.array(yes, pa.bool_()))
+
+
+def compare(pairs: DataFrame, have: DataFrame, folder: str, shingle: int, t: Fraction) -> DataFrame:
+    """Those of ``pairs`` (u, v) whose whole sets are similar."""
+
+    def with_both(pairs: DataFrame, what: Column) -> DataFrame:
+        nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+        of = have.join(nodes, "node", "left_semi").groupBy("node").agg(F.first(what).alias("x"))
+        return pairs.join(of.select(F.col("node").alias("u"), F.col("x").alias("a")), "u").join(of.select(F.col("node").alias("v"), F.col("x").alias("b")), "v")
+
+    odd = sum((F.bit_count(F.col("a.bits")[i].bitwiseXOR(F.col("b.bits")[i])) for i in range(BITS // 64)), F.lit(0))
+    few = odd * (t.denominator + t.numerator) <= (F.col("a.n") + F.col("b.n")) * (t.denominator - t.numerator)
+    with_both(pairs, F.struct("n", "bits")).where(few).select("u", "v").write.parquet(folder)
+    likely = pairs.sparkSession.read.schema("u long, v long").parquet(folder)
+    return with_both(likely, F.col("text")).select("u", "v", "a", "b").mapInArrow(_Compare(shingle, t), "u long, v long")
+
+
+def linked_sets(rows: DataFrame, folder: str, shingle: int, similarity: float, components: Callable) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (id, text) with ``fp`` and ``node``, and (u, v): every node that links but
+    the smallest of its component, with that one."""
+    spark, t = rows.sparkSession, Fraction(str(similarity))
+    if not 0 < t <= 1:
+        raise ValueError("the similarity must be above 0 and at most 1")
+    late = spark.sparkContext.broadcast(often(rows, folder, shingle))
+    made = annotate(rows, "text", "set", "fp long, node long, n long, keys array<long>, bits array<long>", _Prefixes, shingle, t, late)
+    made.select("id", "text", "set.*").write.parquet(f"{folder}/sets")
+    have = spark.read.parquet(f"{folder}/sets")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    keys = have.select("node", "n", F.posexplode("keys").alias("pos", "key"))
+    many = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+    # a set's keys, sizes and places are the same in all its rows
+    hit = stored(keys.join(many, "key", "left_semi").distinct(), "shared")
+    heads = hit.groupBy("key").agg(F.min(F.struct("node", "n", "pos")).alias("b"))
+    ends = (F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
+    row = F.struct("node", "n", "pos")
+    stars = hit.select("key", row.alias("a")).join(heads, "key").where((F.col("a.node") != F.col("b.node")) & _possible("a", "b", t))
+    stars = stored(stars.select(*ends).distinct(), "stars")
+    near = stored(compare(stars, have, f"{folder}/near-likely", shingle, t), "near")
+    roots = components(near, f"{folder}/first")
+    placed = hit.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    left = stored(placed.join(mixed, "key", "left_semi"), "open")
+    a, b = left.select("key", row.alias("a"), F.col("root").alias("ra")), left.select("key", row.alias("b"), F.col("root").alias("rb"))
+    rest = a.join(b, "key").where((F.col("ra") < F.col("rb")) & _possible("a", "b", t)).select(*ends).distinct()
+    rest = stored(rest.join(stars, ["u", "v"], "left_anti"), "rest")
+    further = stored(compare(rest, have, f"{folder}/further-likely", shingle, t), "further")
+    return have, components(near.union(further), f"{folder}/second")

@@ -79,6 +79,73 @@ def test_hot_key_is_split_without_losing_links(spark, run_root):
     assert {f: got.get(f, f) for f in fps} == _components(fps)
 
 
+def _sets(texts, n=5):
+    out = []
+    for t in texts:
+        w = (t or "").lower().split()
+        out.append(frozenset(tuple(w[i: i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset())
+    return out
+
+
+def _similar_groups(ids, texts):
+    """id -> smallest id linked with it by a five-word Jaccard similarity of 0.8."""
+    sets, parent = _sets(texts), list(range(len(ids)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(ids)), 2):
+        a, b = sets[i], sets[j]
+        if a == b or (a and b and 5 * len(a & b) >= 4 * len(a | b)):
+            parent[root(i)] = root(j)
+    least = {}
+    for i, d in enumerate(ids):
+        least[root(i)] = min(d, least.get(root(i), d))
+    return {d: least[root(i)] for i, d in enumerate(ids)}
+
+
+def test_near_copies_by_similarity(spark, monkeypatch):
+    """Copies at 0.7 to 0.95, far beyond 4 bits, a chain of them, a group around one text
+    and a passage that many texts share; the order of members changes nothing."""
+    rnd = random.Random(21)
+    vocab = [f"v{i}" for i in range(3000)]
+    passage = rnd.sample(vocab, 40)
+    texts = []
+    for _ in range(25):
+        w = rnd.sample(vocab, rnd.randint(30, 300)) + passage
+        texts.append(" ".join(w))
+        for share in (0.005, 0.01, 0.02, 0.03):
+            texts.append(" ".join("changed" if rnd.random() < share else x for x in w))
+    chain = rnd.sample(vocab, 400)
+    texts += [" ".join(chain[k: k + 200]) for k in range(0, 200, 20)]
+    centre = rnd.sample(vocab, 200)
+    texts += [" ".join(x if rnd.random() > 0.01 else rnd.choice(vocab) for x in centre) for _ in range(60)]
+    texts += [None, "", " \n", "One two", "one  TWO", "one two three"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    want = _similar_groups(range(len(texts)), texts)
+    got = [{r.doc_id: r.component_id for r in simhash.near_duplicates(docs, shingle=5, similarity=0.8).collect()}]
+    monkeypatch.setattr("rowgate.llm.jaccard.SAMPLE", 1)
+    got.append({r.doc_id: r.component_id for r in simhash.near_duplicates(docs, shingle=5, similarity=0.8).collect()})
+    assert got == [want, want] and len(set(want.values())) < len(want) / 2
+    by_bits = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert sum(by_bits[d] == d != want[d] for d in want) > 20
+    import corpus_pipeline
+
+    kept = corpus_pipeline.one_of_each(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+
+
+@pytest.mark.parametrize("limit", [0, 2, 6])
+def test_other_limits_miss_no_link(limit):
+    rnd, keys = random.Random(limit), simhash.masks(limit)
+    assert sum(simhash.segments(limit)) == (1 << 64) - 1
+    for _ in range(2000):
+        x = sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, limit)))
+        assert any(x & k == 0 for k in keys)
+
+
 def test_long_chain_is_one_component(spark, run_root):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "u long, v long")
     got = {r.u: r.v for r in simhash.components(edges, run_root).collect()}
