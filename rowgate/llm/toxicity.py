@@ -8,7 +8,9 @@ other term of its group, and squared changes of the score (log-odds) are
 penalised.  A mere mention of a group thus carries little weight.
 
 The fit uses at most ``per_class`` labelled texts of either class (those with the
-smallest hash of doc_id) and runs on the driver over their distinct words.
+smallest hash of doc_id) and runs on the driver over their distinct words.  The
+texts of a class weigh as much as all its usable labels, so the cut doesn't shift
+the mix of classes that scores stand for.
 Every document is scored whole.
 
 A null or empty text has no features and gets the intercept's score.  Without
@@ -105,12 +107,14 @@ def select(rows: list[list[str]], y: np.ndarray, least: int, z: float, ratio: fl
     return {f: i for i, (_, f) in enumerate(sorted(found)[:most])}
 
 
-def fit(rows: list[list[str]], y: np.ndarray, sentences: list[list[str]], identity=IDENTITY, penalty: float = 1.0, ridge: float = 1e-5, balance: float = 0.5, least: int = 3, z: float = 4.0, ratio: float = 5.0, most: int = 2000, steps: int = 400) -> Model:
+def fit(rows: list[list[str]], y: np.ndarray, sentences: list[list[str]], identity=IDENTITY, penalty: float = 1.0, ridge: float = 1e-5, balance: float = 0.5, least: int = 3, z: float = 4.0, ratio: float = 5.0, most: int = 2000, steps: int = 400, totals: tuple[int, int] | None = None) -> Model:
     """Fit on word lists ``rows`` with labels ``y``; ``sentences`` are those whose
-    identity terms are swapped."""
+    identity terms are swapped.  ``totals``: how many clean and toxic labels the rows
+    stand for (default: as many as there are)."""
     y = np.asarray(y, np.float64)
     n, pos = len(y), float(y.sum())
-    prior = (pos + 0.5) / (n + 1)
+    clean, toxic = totals or (n - pos, pos)
+    prior = (toxic + 0.5) / (clean + toxic + 1)
     model = Model(float(np.log(prior / (1 - prior))))
     column = select(rows, y, least, z, ratio, most) if 0 < pos < n else {}
     if not column:
@@ -119,7 +123,7 @@ def fit(rows: list[list[str]], y: np.ndarray, sentences: list[list[str]], identi
     pairs = [(s, c) for s in sentences for c in swaps(s, identity)]
     gap = _matrix([a for a, _ in pairs], column) - _matrix([b for _, b in pairs], column) if pairs else None
     # the rarer class counts more, by its odds to the power ``balance``
-    weight = np.where(y == 1, ((n - pos) / pos) ** balance, 1.0)
+    weight = np.where(y == 1, (clean / toxic) ** balance * (toxic / pos), clean / (n - pos))
     weight /= weight.mean()
     w, b = np.zeros(len(column), np.float32), model.intercept
     m, v = np.zeros(len(column) + 1), np.zeros(len(column) + 1)
@@ -157,6 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, identity=IDENTITY, per_class: int
     """Fit on ``labels`` (doc_id, toxic) joined with ``docs`` (doc_id, text)."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     have = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    count = {r["toxic"]: r["count"] for r in have.groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = have.where("toxic = 1").orderBy(*order).limit(per_class).unionByName(have.where("toxic = 0").orderBy(*order).limit(per_class))
     # at most 2 * per_class rows of two numbers: the bound of the broadcast
@@ -166,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, identity=IDENTITY, per_class: int
     )
     rows = sorted(((r[0], r[1], r[2]) for r in rows), key=lambda r: (r[0], r[1]))  # the same order whatever the partitions
     sentences = [s.split(" ") for r in rows for s in r[2]]
-    return fit([r[1].split(" ") for r in rows], np.array([r[0] for r in rows], np.float64), sentences, identity, **options)
+    return fit([r[1].split(" ") for r in rows], np.array([r[0] for r in rows], np.float64), sentences, identity, totals=(count.get(0, 0), count.get(1, 0)), **options)
 
 
 class _Scorer(dict):

@@ -174,6 +174,18 @@ def test_toxicity_counterfactuals_ease_neutral_mentions():
     assert ["men"] in toxicity.swaps(["women"], toxicity.IDENTITY)
 
 
+def test_toxicity_cut_of_the_classes_keeps_their_mix(spark):
+    """The more frequent class is cut to as many texts as the other has: scores stay."""
+    rnd = random.Random(6)
+    plain = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(rnd.sample(plain, 15) + ["vile"] * (rnd.random() < (0.8 if i % 10 == 0 else 0.02)))) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    whole, cut = (toxicity.train(docs, labels, per_class=n) for n in (2000, 150))
+    assert "=vile" in whole.weights and "=vile" in cut.weights
+    assert abs(whole.intercept - cut.intercept) < 0.3
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     got = Q.op4_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
