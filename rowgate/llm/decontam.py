@@ -11,8 +11,8 @@ hence one automaton, for any ordinary benchmark).  Blocks are scanned in the
 same pass over the documents.
 
 Null texts have no words and are never contaminated; items without words match
-nothing; windows of items with a null item_id are left out.  Repeated rows are
-judged alike, equal item_ids count once.  Empty tables are fine on either side.
+nothing; windows of items with a null item_id are hits like any other but name no
+item.  Repeated rows are judged alike, equal item_ids count once.  Empty tables are fine on either side.
 """
 
 from __future__ import annotations
@@ -37,14 +37,16 @@ def windows(text: bytes, n: int) -> list[bytes]:
     return [b" ".join(words[i: i + n]) for i in range(max(1, len(words) - n + 1))]
 
 
-def _automaton(items: list[tuple[str, bytes]], n: int):
+def _automaton(items: list[tuple[str | None, bytes]], n: int):
     """Windows between spaces -> (number of words, items that have it)."""
     import ahocorasick
 
     held: dict[bytes, set[str]] = {}
     for item, text in items:
         for w in windows(text, n):
-            held.setdefault(w, set()).add(item)
+            ids = held.setdefault(w, set())
+            if item is not None:
+                ids.add(item)
     a = ahocorasick.Automaton()
     for w, ids in held.items():
         a.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, len(w) + 1, tuple(sorted(ids))))
@@ -100,7 +102,7 @@ class _Scanner:
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int):
     """The benchmark in blocks; rows come to the driver one partition at a time."""
     out, block, size = [], [], 0
-    rows = benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string"), text_col)
+    rows = benchmark.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("string"), text_col)
     for item, text in rows.toLocalIterator():
         raw = text.encode()
         if block and size + len(raw) > block_bytes:

@@ -268,6 +268,14 @@ def test_decontamination_spans_and_blocks(spark, small):
         decontam.decontaminate(docs, bench, max_bytes=3)
 
 
+def test_benchmark_items_without_id_are_hits(spark):
+    docs = spark.createDataFrame([(1, "say one two three now"), (2, "four five"), (3, "six")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five")], "item_id long, text string")
+    for size in (1, 1 << 20):
+        got = {r.doc_id: r.bench for r in decontam.decontaminate(docs, bench, block_bytes=size).collect()}
+        assert [(got[i].n_hit, got[i].items, got[i].contaminated) for i in (1, 2, 3)] == [(3, [], True), (2, ["7"], True), (0, [], False)]
+
+
 def test_randomness_battery(spark):
     rnd = random.Random(8)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
