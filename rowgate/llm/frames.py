@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,3 +72,13 @@ def row_key(*cols: Column) -> Column:
     """128 bits that tell rows with different values apart, nulls included."""
     flat = [c for col in cols for c in (F.coalesce(col.cast("string"), F.lit("")), col.isNull())]
     return F.struct(F.xxhash64(*flat).alias("a"), F.xxhash64(F.lit("second"), *reversed(flat)).alias("b"))
+
+
+def first_rows(df: DataFrame, by: list[str], order: list[Column], most: int, rank: str, salts: int = 64) -> DataFrame:
+    """The first ``most`` rows of each group with their ``rank`` from 1, in two steps: the
+    first of each of ``salts`` parts of a group, then the first of those.  No task gets
+    more of a group than one part, or ``salts * most`` rows."""
+    salt, n = free_name(df, "salt"), free_name(df, rank)
+    dealt = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    some = dealt.withColumn(n, F.row_number().over(Window.partitionBy(*by, salt).orderBy(*order))).where(F.col(n) <= most).drop(n, salt)
+    return some.withColumn(n, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(n) <= most)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rowgate.session import run_dir
 
-from . import chat, decontam, packing, quality, secrets, simhash, substrings, tokens, toxicity, warc
+from . import chat, decontam, exact, packing, phrases, quality, search, secrets, simhash, substrings, tokens, toxicity, warc
 
 WINDOW = 2048
 
@@ -86,9 +86,25 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", (F.col("tokens.n_tokens") > WINDOW).alias("over_limit"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+    return found.withColumn("rank", F.col("rank").cast("long"))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.duplicates(_texts(spark, sf_dir)).select("doc_id", "dedup.*")
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_texts(spark, sf_dir), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op2_quality, op3_simhash, op4_toxicity, op5_chat, op6_warc, op7_substrings, op8_decontam, op9_secrets, op10_tokens)
+    for f in (
+        op1_packing, op2_quality, op3_simhash, op4_toxicity, op5_chat, op6_warc, op7_substrings, op8_decontam, op9_secrets, op10_tokens,
+        op11_phrases, op12_exact, op13_search,
+    )
 }
 
 # Conversations: prefixes as strings of digests instead of rolling hashes.
@@ -148,4 +164,67 @@ SELECT doc_id, CAST(len(l) AS BIGINT) AS n_words, CAST(len(l) - len(kept) AS BIG
 FROM k
 """
 
-ORACLE = {"op5_chat": _OP5, "op6_warc": _OP6, "op7_substrings": _OP7}
+# Phrases: every run of 1 to 3 words of a piece counted by its words.
+_OP11 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS l FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(l) - k + 2), lambda i: l[i:i + k - 1])) AS g
+  FROM w, (VALUES (1), (2), (3)) s(k) WHERE len(l) >= k),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, cut, l.f AS l, r.f AS r,
+         CAST((1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM c, (VALUES (1), (2)) s(cut)
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:cut]
+  JOIN f r ON r.lang = c.lang AND r.g = c.g[cut + 1:]
+  WHERE cut < c.k),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, g[1:2] AS g, f FROM c WHERE k = 3 UNION ALL SELECT lang, g[2:3], f FROM c WHERE k = 3),
+longer AS (SELECT lang, g, max(f) AS f FROM inner_ GROUP BY ALL),
+kept AS (
+  SELECT worst.*, array_to_string(worst.g, ' ') AS phrase FROM worst LEFT JOIN longer USING (lang, g)
+  WHERE longer.f IS NULL OR 100 * longer.f < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
+
+_OP12 = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+# Lexical search: every document that shares a term with an item is scored.
+_OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS l
+  FROM documents),
+i AS (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS l
+  FROM benchmark),
+q AS (SELECT item, term, count(*) AS times FROM (SELECT item, unnest(l) AS term FROM i) GROUP BY ALL),
+s AS (SELECT count(*) AS big_n, CAST(sum(len(l)) AS BIGINT) AS big_l FROM d WHERE len(l) > 0),
+m AS (SELECT row, doc_id, 25 + (75 * len(l) * big_n) // big_l AS m FROM d, s WHERE len(l) > 0),
+v AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(l) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM v GROUP BY term), s),
+r AS (
+  SELECT item, row, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN v USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM r JOIN i USING (item) JOIN m USING (row) WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+ORACLE = {"op5_chat": _OP5, "op6_warc": _OP6, "op7_substrings": _OP7, "op11_phrases": _OP11, "op12_exact": _OP12, "op13_search": _OP13}

@@ -124,10 +124,10 @@ def test_op4(spark, small):
     assert rows(Q.op4_toxicity(spark, small[0])) == sorted(map(tuple, got), key=str)
 
 
-@pytest.mark.parametrize("name", ["op5_chat", "op6_warc", "op7_substrings"])
+@pytest.mark.parametrize("name", list(Q.ORACLE))
 def test_oracles_on_awkward_rows(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small[0]}/{t}.parquet/*.parquet')")
     got = Q.QUERIES[name](spark, small[0])
     rel = con.sql(Q.ORACLE[name])
