@@ -44,7 +44,7 @@ from rowgate.session import run_dir
 
 from .frames import first_rows, utf8
 
-BATCH_BYTES = 8 << 20  # text that a task works on at once
+BATCH_BYTES = 4 << 20  # text that a task works on at once
 MAX_CELLS = 1 << 26
 BLOCKS = 256  # the sketch is merged in so many blocks
 PART_ROWS, MOST_PARTS, PICKS = 50_000, 4096, 16
@@ -90,18 +90,19 @@ class Runs:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
-    """Texts by language, about BATCH_BYTES at a time (one text may be more)."""
+    """Texts by language, about BATCH_BYTES in all at a time (one text may be more)."""
+    held: defaultdict[str, list[bytes]] = defaultdict(list)
+    size = 0
     for batch in batches:
-        held: dict[str, tuple[list[bytes], list[int]]] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch, "text")):
-            texts, size = held.setdefault(lang, ([], [0]))
-            texts.append(text)
-            size[0] += len(text)
-            if size[0] >= BATCH_BYTES:
-                yield lang, texts
-                del held[lang]
-        for lang, (texts, _) in held.items():
-            yield lang, texts
+        for part in (batch.slice(at, 128) for at in range(0, batch.num_rows, 128)):
+            for lang, text in zip(part.column("lang").to_pylist(), utf8(part, "text")):
+                held[lang].append(text)
+                size += len(text)
+                if size >= BATCH_BYTES:
+                    yield from held.items()
+                    held.clear()
+                    size = 0
+    yield from held.items()
 
 
 def _cells(runs: Runs, lang: str, rows: np.ndarray, hashes: np.ndarray, cells: int) -> np.ndarray:

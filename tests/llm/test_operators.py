@@ -79,17 +79,9 @@ def test_hot_key_is_split_without_losing_links(spark, run_root):
     assert {f: got.get(f, f) for f in fps} == _components(fps)
 
 
-def _sets(texts, n=5):
-    out = []
-    for t in texts:
-        w = (t or "").lower().split()
-        out.append(frozenset(tuple(w[i: i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset())
-    return out
-
-
-def _similar_groups(ids, texts):
-    """id -> smallest id linked with it by a five-word Jaccard similarity of 0.8."""
-    sets, parent = _sets(texts), list(range(len(ids)))
+def _near_groups(ids, texts, limit=4):
+    """id -> smallest id linked with it by fingerprints within ``limit`` bits."""
+    fps, parent = [simhash.fingerprint((t or "").encode()) for t in texts], list(range(len(ids)))
 
     def root(i):
         while parent[i] != i:
@@ -97,8 +89,7 @@ def _similar_groups(ids, texts):
         return i
 
     for i, j in itertools.combinations(range(len(ids)), 2):
-        a, b = sets[i], sets[j]
-        if a == b or (a and b and 5 * len(a & b) >= 4 * len(a | b)):
+        if (fps[i] ^ fps[j]).bit_count() <= limit:
             parent[root(i)] = root(j)
     least = {}
     for i, d in enumerate(ids):
@@ -106,9 +97,9 @@ def _similar_groups(ids, texts):
     return {d: least[root(i)] for i, d in enumerate(ids)}
 
 
-def test_near_copies_by_similarity(spark, monkeypatch):
-    """Copies at 0.7 to 0.95, far beyond 4 bits, a chain of them, a group around one text
-    and a passage that many texts share; the order of members changes nothing."""
+def test_near_copies(spark):
+    """Copies with few and many changes, a chain of them, a group around one text and a
+    passage that many texts share; the pipeline's stage keeps one of each group."""
     rnd = random.Random(21)
     vocab = [f"v{i}" for i in range(3000)]
     passage = rnd.sample(vocab, 40)
@@ -124,13 +115,9 @@ def test_near_copies_by_similarity(spark, monkeypatch):
     texts += [" ".join(x if rnd.random() > 0.01 else rnd.choice(vocab) for x in centre) for _ in range(60)]
     texts += [None, "", " \n", "One two", "one  TWO", "one two three"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
-    want = _similar_groups(range(len(texts)), texts)
-    got = [{r.doc_id: r.component_id for r in simhash.near_duplicates(docs, shingle=5, similarity=0.8).collect()}]
-    monkeypatch.setattr("rowgate.llm.jaccard.SAMPLE", 1)
-    got.append({r.doc_id: r.component_id for r in simhash.near_duplicates(docs, shingle=5, similarity=0.8).collect()})
-    assert got == [want, want] and len(set(want.values())) < len(want) / 2
-    by_bits = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert sum(by_bits[d] == d != want[d] for d in want) > 20
+    want = _near_groups(range(len(texts)), texts)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert got == want and 10 < len(set(want.values())) < len(want) - 10
     import corpus_pipeline
 
     kept = corpus_pipeline.one_of_each(spark, docs, "").collect()
