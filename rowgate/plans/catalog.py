@@ -757,10 +757,10 @@ def landing_stream_q(spark, sf):
 
     root = run_dir(spark, "landing_stream")
     land = f"{root}/landing"
-    router = LandingRouter(f"{root}/state", CONTRACT, P)
+    router = LandingRouter(f"{root}/state", land, CONTRACT, P)
     for df, src in ((B.landing_full(spark, sf), B.SOURCE_F), (B.landing_partial(spark, sf), B.SOURCE_P)):
         df.select([F.col(f.name).cast(f.dataType) for f in CONTRACT.fields]).write.parquet(f"{land}/{src}")
-        run_available(spark, land, router, f"{root}/checkpoint")
+        run_available(spark, router, f"{root}/checkpoint")
     from rowgate.plans.jobs import State
 
     return rendered(State(spark, f"{root}/state", CONTRACT, P).read("quarantine"))
@@ -788,7 +788,7 @@ def clean_history_stream(spark, sf):
 
     root = run_dir(spark, "clean_history_stream")
     land, state = f"{root}/landing", f"{root}/state"
-    router = LS.LandingRouter(state, CONTRACT, P)
+    router = LS.LandingRouter(state, land, CONTRACT, P)
     hist_schema = T.StructType(CONTRACT.fields + [T.StructField("valid_from", T.TimestampNTZType()),
                                                   T.StructField("valid_to", T.TimestampNTZType()),
                                                   T.StructField("is_current", T.BooleanType())])
@@ -796,7 +796,7 @@ def clean_history_stream(spark, sf):
                           ["_commit_version"], change_schema(CONTRACT), hist_schema)
     for df, src in ((B.landing_full(spark, sf), B.SOURCE_F), (B.landing_partial(spark, sf), B.SOURCE_P)):
         df.select([F.col(f.name).cast(f.dataType) for f in CONTRACT.fields]).write.parquet(f"{land}/{src}")
-        LS.run_available(spark, land, router, f"{root}/checkpoint_landing")
+        LS.run_available(spark, router, f"{root}/checkpoint_landing")
         HS.run_available(spark, f"{state}/changes", fold, f"{root}/checkpoint_history")
     return HS.current_history(spark, fold).select("id", "name", "age", "valid_from", "valid_to", "is_current")
 
@@ -932,3 +932,53 @@ def newest_from_folders(spark, sf):
     B.landing_full_2(spark, sf).withColumn("region", F.col("id") % 2).write.partitionBy("region").parquet(f"{land}/{B.SOURCE_F2}")
     parts = [S.read_newest(spark, land, area).select("id", "name", "age", "area", "batch") for area in (FULL_AREA, PARTIAL_AREA)]
     return parts[0].unionByName(parts[1])
+
+
+@query("late_files", """
+SELECT id, name, age, 'quarantine' AS side FROM quarantine_1
+UNION ALL SELECT id, name, age, 'clean' FROM clean_1""")
+def late_files(spark, sf):
+    """Folders that fill over time.  Each area's folder gets its files in two
+    parts and is loaded after each and once more; no row is lost or routed twice."""
+    from rowgate.contracts import FULL_AREA, PARTIAL_AREA
+    from rowgate.plans.jobs import load_folder_job
+
+    st = _state(spark, "late_files")
+    land = f"{st.root}/landing"
+    first = F.coalesce(F.col("id") % 2 == 0, F.lit(False))
+    for df, src, area, at in ((B.landing_full(spark, sf), B.SOURCE_F, FULL_AREA, B.T0), (B.landing_partial(spark, sf), B.SOURCE_P, PARTIAL_AREA, B.T1)):
+        for part in (first, ~first):
+            df.filter(part).write.mode("append").parquet(f"{land}/{src}")
+            load_folder_job(st, land, area, at, full=area == FULL_AREA)
+        load_folder_job(st, land, area, at, full=area == FULL_AREA)
+    cols = ["id", "name", "age"]
+    q = st.read("quarantine").select(*cols, F.lit("quarantine").alias("side"))
+    return q.unionByName(st.read("clean").select(*cols, F.lit("clean").alias("side")))
+
+
+@query("stream_in_parts", """
+SELECT id, name, age, 'quarantine' AS side FROM quarantine_1
+UNION ALL SELECT id, name, age, 'clean' FROM clean_1""")
+def stream_in_parts(spark, sf):
+    """S1, S21 in the stream: one file a micro-batch, folders of several files that are
+    completed later, ages as BIGINT in some files and a further column in others."""
+    from rowgate.plans.jobs import State
+    from rowgate.session import run_dir
+    from rowgate.streaming.landing_stream import LandingRouter, run_available
+
+    root = run_dir(spark, "stream_in_parts")
+    land = f"{root}/landing"
+    router = LandingRouter(f"{root}/state", land, CONTRACT, P)
+    part = F.coalesce(F.pmod(F.col("id"), F.lit(3)), F.lit(0))
+    for df, src in ((B.landing_full(spark, sf), B.SOURCE_F), (B.landing_partial(spark, sf), B.SOURCE_P)):
+        cut = [df.filter(part == n).coalesce(1) for n in range(3)]
+        cut[1] = cut[1].withColumn("age", F.col("age").cast("bigint"))
+        cut[2] = cut[2].withColumn("segment", F.lit("x"))
+        for these in (cut[:2], cut[2:]):
+            for c in these:
+                c.write.mode("append").parquet(f"{land}/{src}")
+            run_available(spark, router, f"{root}/checkpoint", max_files=1)
+    st = State(spark, f"{root}/state", CONTRACT, P)
+    cols = ["id", "name", "age"]
+    q = st.read("quarantine").select(*cols, F.lit("quarantine").alias("side"))
+    return q.unionByName(st.read("clean").select(*cols, F.lit("clean").alias("side")))

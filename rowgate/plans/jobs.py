@@ -29,8 +29,9 @@ State layout under ``root`` (a folder in the shared checkpoint space, see
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -56,7 +57,9 @@ from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.operators.keyed import latest_per_key, semi, upsert
 from rowgate.operators.route import ERRORS, classify, split
-from rowgate.sources import buckets, tables
+from rowgate.sources import buckets, landing, tables
+from rowgate.sources.claims import Claim, RunInProgress  # noqa: F401 - raised to callers
+from rowgate.sources.landing import LandedFile, latest_per_area, unprocessed
 
 _TERMINAL = T.StructType([T.StructField("terminal", T.BooleanType())])
 
@@ -77,6 +80,10 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("area", T.StringType()),
     T.StructField("batch", T.StringType()),
     T.StructField("processed_at", T.TimestampNTZType()),
+    # of a batch that came as files: one row a file; else null
+    T.StructField("file", T.StringType()),
+    T.StructField("size", T.LongType()),
+    T.StructField("modified", T.LongType()),
 ])
 
 
@@ -100,6 +107,8 @@ class State:
     at: int | None = None
     written: dict = field(default_factory=dict)
     rows_per_bucket: int = 1_000_000  # of the clean table, which gets as many buckets as that takes
+    stale_seconds: float = 7200  # a run that has held its claim for longer counts as lost
+    claim: Claim | None = None
 
     def _schema(self, name: str) -> T.StructType:
         return _SCHEMAS[name](self.data_schema)
@@ -265,6 +274,31 @@ def create_all(state: State, with_history: bool = True) -> list[str]:
     return made
 
 
+def _one_at_a_time(job: Callable) -> Callable:
+    """Run ``job`` on the pinned state while no other run works on the same version.
+
+    A run claims the version it will write.  If another has it, ``RunInProgress`` is
+    raised; if another ended between the pin and the claim, the job starts from the
+    newer version.  A state that its caller has pinned (a stream's micro-batch id, a
+    repeated run) is the caller's to guard.
+    """
+
+    @functools.wraps(job)
+    def run(state: State, *args, **kwargs):
+        if state.at is not None:
+            return job(state, *args, **kwargs)
+        while True:
+            now = state.pinned()
+            claim = Claim(state.spark, state.root, now.at + 1, state.stale_seconds)
+            try:
+                if tables.versions(state.spark, state.root, "ledger")[-1] == now.at:
+                    return job(replace(now, claim=claim), *args, **kwargs)
+            finally:
+                claim.release()
+
+    return run
+
+
 _BAD = "_rg_bad_"
 
 
@@ -299,8 +333,8 @@ def _classified(state: State, incoming: DataFrame, live: DataFrame | None, sourc
     return state.spark.read.schema(v.schema).parquet(path), columns
 
 
-def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool, rules: Sequence[Rule]):
-    path = f"{state.root}/staging/route/v={state.next_version('clean'):06d}"
+def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool, rules: Sequence[Rule], part: str = "route"):
+    path = f"{state.root}/staging/{part}/v={state.next_version('clean'):06d}"
     obs = Observation("route_metrics")
     bad = F.col("has_any_failure") | F.col("id_is_stacked")
     counts = [F.count_if(~bad).alias("clean_count"), F.count_if(bad).alias("quarantine_count"), _rows().alias("total_processed")]
@@ -320,13 +354,19 @@ def _seen(state: State, batch: tuple[str, str] | None) -> bool:
     return state.read("ledger").filter((F.col("area") == batch[0]) & (F.col("batch") == batch[1])).limit(1).count() > 0
 
 
-def _end_run(state: State, batches: Sequence[tuple[str, str]], as_of: str) -> None:
-    """The last write of every run: the batches it routed (maybe none)."""
-    rows = [(a, b, as_of) for a, b in batches]
-    done = state.spark.createDataFrame(rows, "area string, batch string, processed_at string")
+def _end_run(state: State, batches: Sequence[tuple[str, str]], as_of: str, files: Sequence[LandedFile] = ()) -> None:
+    """The last write of every run: the batches it routed (maybe none), file by file
+    where it knows the files."""
+    by_file = {(f.area, f.batch) for f in files}
+    rows = [(a, b, as_of, None, None, None) for a, b in batches if (a, b) not in by_file]
+    rows += [(f.area, f.batch, as_of, f.file, f.size, f.modified) for f in files]
+    done = state.spark.createDataFrame(rows, "area string, batch string, processed_at string, file string, size long, modified long")
+    if state.claim:
+        state.claim.check()
     state.write("ledger", done)
 
 
+@_one_at_a_time
 def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool = False,
                   rules: Sequence[Rule] = (), order: Sequence[str] = ()) -> dict:
     """Clean rows replace the clean table (deleted keys show up as
@@ -334,38 +374,73 @@ def full_load_job(state: State, incoming: DataFrame, as_of: str, source_file: st
     are not consulted unless ``stack`` (R-12).  Of rows with one key the newest
     by ``order`` (then by all columns) stays.  A batch that the ledger has is
     skipped (S21)."""
-    state = state.pinned()
     batch = _batch_of(source_file)
     if _seen(state, batch):
         return {"skipped": True}
+    return _full_load(state, incoming, None, as_of, source_file, stack, rules, order, [batch] if batch else [], ())
+
+
+def _full_load(state: State, incoming: DataFrame, late: DataFrame | None, as_of: str, source_file: str, stack: bool,
+               rules: Sequence[Rule], order: Sequence[str], batches: Sequence[tuple[str, str]], files: Sequence[LandedFile]) -> dict:
+    """``late``: of a folder that was loaded before, the rows of the files that came since;
+    only their failing rows are new to the quarantine."""
     r, out = _routed(state, incoming, as_of, source_file, stack, rules)
     out.update(state.replace_clean(latest_per_key(r.clean, state.params.keys, order), as_of, out["clean_count"]))
+    if late is not None:
+        r, counts = _routed(state, late, as_of, source_file, stack, rules, "late")
+        out["quarantine_count"] = counts["quarantine_count"]
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
-    _end_run(state, [batch] if batch else [], as_of)
+    _end_run(state, batches, as_of, files)
     return out
 
 
+@_one_at_a_time
 def partial_load_job(state: State, incoming: DataFrame, as_of: str, source_file: str, rules: Sequence[Rule] = (),
                      order: Sequence[str] = ()) -> dict:
     """R2: stacking route; clean rows merged on the key (newest by ``order``),
     the rest appended.  A batch that the ledger has is skipped (S21)."""
-    state = state.pinned()
     batch = _batch_of(source_file)
     if _seen(state, batch):
         return {"skipped": True}
+    return _partial_load(state, incoming, as_of, source_file, rules, order, [batch] if batch else [], ())
+
+
+def _partial_load(state: State, incoming: DataFrame, as_of: str, source_file: str, rules: Sequence[Rule],
+                  order: Sequence[str], batches: Sequence[tuple[str, str]], files: Sequence[LandedFile]) -> dict:
     r, out = _routed(state, incoming, as_of, source_file, True, rules)
     out.update(state.merge_clean([latest_per_key(r.clean, state.params.keys, order)], as_of))
     q = state.read_live().unionByName(r.quarantine, allowMissingColumns=True)
     out.update(state.write("quarantine", q, {"live_rows": _rows()}))
-    _end_run(state, [batch] if batch else [], as_of)
+    _end_run(state, batches, as_of, files)
     return out
 
 
+@_one_at_a_time
+def load_folder_job(state: State, landing_root: str, area: str, as_of: str, full: bool, stack: bool = False,
+                    rules: Sequence[Rule] = (), order: Sequence[str] = ()) -> dict:
+    """R1 or R2 on the newest batch folder of an area, which may still be filling: the
+    ledger tells the files that no run has loaded, and a run without any is skipped.
+    A partial load routes the new files; a full load replaces the clean table by all
+    files of the folder and adds the new files' failing rows to the quarantine."""
+    names = landing.list_batches(state.spark, landing_root, area)
+    if not names:
+        raise FileNotFoundError(f"no batch folder found in {area}")
+    there = landing.list_files(state.spark, landing_root, area, names[-1])
+    new = landing.new_files(there, state.read("ledger"))
+    if not new:
+        return {"skipped": True}
+    source, rows = f"{area}/{names[-1]}", landing.read_files(state.spark, landing_root, new)
+    if not full:
+        return _partial_load(state, rows, as_of, source, rules, order, [], new)
+    late = rows if len(new) < len(there) else None
+    return _full_load(state, landing.read_files(state.spark, landing_root, there), late, as_of, source, stack, rules, order, [], new)
+
+
+@_one_at_a_time
 def maintenance_job(state: State, as_of: str, order=("expire", "release", "promote")) -> dict:
     """L17 as a job: expire -> release -> promote from one input version and
     one ``as_of`` (R-8, R-19)."""
-    state = state.pinned()
     out = _pass(state, as_of, order, state.read_live(), [])
     _end_run(state, [], as_of)
     return out
@@ -460,14 +535,14 @@ def summary_frame(state: State, as_of: str) -> DataFrame:
     )
 
 
-def _route_frames(state: State, rows: DataFrame, names: Sequence[tuple[str, str]], rules: Sequence[Rule]):
-    """Route batches one after another: (each one's clean rows, live quarantine, the
-    last batch's time); a later batch sees the keys an earlier one quarantined."""
+def _route_frames(state: State, batches: Sequence[tuple[str, str, DataFrame]], rules: Sequence[Rule]):
+    """Route batches (area, name, rows) one after another: (each one's clean rows, live
+    quarantine, the last batch's time); a later batch sees the keys an earlier one
+    quarantined."""
     p = state.params
     sources, live, as_of = [], state.read_live(), None
     version = state.next_version("clean")
-    for area, name in names:
-        batch = rows.filter((F.col("area") == area) & (F.col("batch") == name)).drop("area", "batch")
+    for area, name, batch in batches:
         as_of = dt.datetime.strptime(name, "%Y%m%d_%H%M%S").strftime("%Y-%m-%d %H:%M:%S")
         path = f"{state.root}/staging/route/v={version:06d}/{area}_{name}"
         staged, columns = _classified(state, batch, live, f"{area}/{name}", rules, path)
@@ -477,6 +552,21 @@ def _route_frames(state: State, rows: DataFrame, names: Sequence[tuple[str, str]
     return sources, live, as_of
 
 
+def _of_batches(rows: DataFrame, names: Sequence[tuple[str, str]]) -> list[tuple[str, str, DataFrame]]:
+    """Each batch's rows of a frame with ``area`` and ``batch`` columns."""
+    return [(a, b, rows.filter((F.col("area") == a) & (F.col("batch") == b)).drop("area", "batch")) for a, b in names]
+
+
+def _route(state: State, batches: Sequence[tuple[str, str, DataFrame]], rules: Sequence[Rule], files: Sequence[LandedFile] = ()) -> dict:
+    sources, live, as_of = _route_frames(state, batches, rules)
+    out = state.write("quarantine", live, {"live_rows": _rows()})
+    out.update(state.merge_clean(sources, as_of))
+    _end_run(state, [(a, b) for a, b, _ in batches], as_of, files)
+    out["as_of"] = as_of
+    return out
+
+
+@_one_at_a_time
 def route_batches(state: State, rows: DataFrame, names: Sequence[tuple[str, str]], rules: Sequence[Rule] = ()) -> dict:
     """Route several landing batches in the given order (R4) and write one
     new clean version (with its change rows) and one quarantine version.
@@ -485,57 +575,57 @@ def route_batches(state: State, rows: DataFrame, names: Sequence[tuple[str, str]
     once into a staged table, then split.  The stamp time of a batch is its
     folder time.  Batches that the ledger has are skipped (S21).
     """
-    state = state.pinned()
     names = [n for n in names if not _seen(state, n)]
-    if not names:
-        return {}
-    sources, live, as_of = _route_frames(state, rows, names, rules)
-    out = state.write("quarantine", live, {"live_rows": _rows()})
-    out.update(state.merge_clean(sources, as_of))
-    _end_run(state, names, as_of)
-    out["as_of"] = as_of
-    return out
+    return _route(state, _of_batches(rows, names), rules) if names else {}
+
+
+@_one_at_a_time
+def route_files(state: State, landing_root: str, files: Sequence[LandedFile], rules: Sequence[Rule] = ()) -> dict:
+    """As ``route_batches``, for landed files: their batches oldest first, each read from
+    its own files with their own columns and types.  Files that the ledger has are
+    skipped (S21); more files of a batch that was routed before are routed now."""
+    new = landing.new_files(files, state.read("ledger"))
+    by_batch: dict[tuple[str, str], list[LandedFile]] = {}
+    for f in sorted(new, key=lambda f: (f.batch, f.area, f.file)):
+        by_batch.setdefault((f.area, f.batch), []).append(f)
+    frames = [(a, b, landing.read_files(state.spark, landing_root, own)) for (a, b), own in by_batch.items()]
+    return _route(state, frames, rules, new) if new else {}
 
 
-def quality_check_job(state: State, landing: DataFrame, as_of: str, areas: tuple[str, ...] | None = None,
+@_one_at_a_time
+def quality_check_job(state: State, rows: DataFrame, as_of: str, areas: tuple[str, ...] | None = None,
                       rules: Sequence[Rule] = ()) -> dict:
     """The quality-check job: newest batch of every area (S4) that the
     ledger has not seen (S21, R-13), routed area by area (R4), then the
     quality-check pass order release -> expire (L17, R-19), all from one
     stored version into the next, each table written once.  The ledger part
     comes last, so a run that broke off is run again from the same version."""
-    from rowgate.sources.landing import latest_per_area, unprocessed
-
-    state = state.pinned()
-    newest = unprocessed(latest_per_area(landing), state.read("ledger"))
+    newest = unprocessed(latest_per_area(rows), state.read("ledger"))
     rank = {a: i for i, a in enumerate(areas or ())}
     found = [(r["area"], r["batch"]) for r in newest.select("area", "batch").distinct().collect()]
     names = sorted(found, key=lambda ab: (rank.get(ab[0], len(rank)), ab[0], ab[1]))
-    sources, live, _ = _route_frames(state, newest, names, rules)
+    return _check(state, _of_batches(newest, names), as_of, rules)
+
+
+def _check(state: State, batches: Sequence[tuple[str, str, DataFrame]], as_of: str, rules: Sequence[Rule], files: Sequence[LandedFile] = ()) -> dict:
+    sources, live, _ = _route_frames(state, batches, rules)
     out = _pass(state, as_of, ("release", "expire"), live, sources)
-    _end_run(state, names, as_of)
+    names = [(a, b) for a, b, _ in batches]
+    _end_run(state, names, as_of, files)
     out["batches"] = names
     return out
 
 
-def quality_check_from_root(state: State, landing_root: str, areas: tuple[str, ...], as_of: str) -> dict:
+@_one_at_a_time
+def quality_check_from_root(state: State, landing_root: str, areas: tuple[str, ...], as_of: str, rules: Sequence[Rule] = ()) -> dict:
     """The quality-check job on landing folders: each area's newest batch is
-    found by a folder listing and only that folder is read (no scan of older
-    batches); batches already in the ledger are skipped."""
-    from rowgate.sources.landing import list_batches, read_newest
-
-    ledger = state.read("ledger")
-    frames = []
+    found by a folder listing and only its files that the ledger doesn't have
+    are read (no scan of older batches).  Without new files nothing is done."""
+    batches, files = [], []
     for area in areas:
-        names = list_batches(state.spark, landing_root, area)
-        if not names:
-            continue
-        seen = ledger.filter((F.col("area") == area) & (F.col("batch") == names[-1])).limit(1).count() > 0
-        if not seen:
-            frames.append(read_newest(state.spark, landing_root, area))
-    if not frames:
-        return {"batches": []}
-    landing = frames[0]
-    for f in frames[1:]:
-        landing = landing.unionByName(f, allowMissingColumns=True)
-    return quality_check_job(state, landing, as_of, areas)
+        names = landing.list_batches(state.spark, landing_root, area)
+        new = landing.new_files(landing.list_files(state.spark, landing_root, area, names[-1]), state.read("ledger")) if names else []
+        if new:
+            batches.append((area, names[-1], landing.read_files(state.spark, landing_root, new)))
+            files += new
+    return _check(state, batches, as_of, rules, files) if batches else {"batches": []}

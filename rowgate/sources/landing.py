@@ -5,13 +5,19 @@ A landing root holds ``<area>/<yyyyMMdd_HHmmss>/**/*.parquet``.
 "the newest batch" of such a frame is an aggregate plus a join against a
 one-row frame, which reads every batch.  ``read_newest`` picks the folder from
 a listing instead and reads nothing else.
+
+A folder may fill over time or be read in parts, so what has been loaded is told
+file by file (``LandedFile``): by path below the landing root, size and time of
+modification.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,8 +178,6 @@ def list_batches(spark: SparkSession, root: str, area: str) -> list[str]:
     """Batch folder names of one area, oldest first -- a folder listing
     through the Hadoop file system (any shared store), bounded by the number
     of folders.  Names that are not ``yyyyMMdd_HHmmss`` are skipped (R-17)."""
-    import re
-
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{area}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -194,3 +198,73 @@ def read_newest(spark: SparkSession, root: str, area: str, schema: T.StructType
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(f"{root.rstrip('/')}/{area}/{names[-1]}")
     return df.withColumns({"area": F.lit(area), "batch": F.lit(names[-1])})
+
+
+class LandedFile(NamedTuple):
+    """One file of a batch; ``file`` is its path from the area on, ``modified`` in milliseconds."""
+
+    area: str
+    batch: str
+    file: str
+    size: int
+    modified: int
+
+
+# A file's identity as columns of a scan that hasn't been projected yet.
+def file_columns() -> list[Column]:
+    path = F.col("_metadata.file_path")
+    return [
+        F.regexp_extract(path, _PATH_RE, 1).alias("area"), F.regexp_extract(path, _PATH_RE, 2).alias("batch"),
+        F.regexp_extract(path, _PATH_RE, 0).alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.unix_millis(F.col("_metadata.file_modification_time")).alias("modified"),
+    ]
+
+
+def list_files(spark: SparkSession, root: str, area: str, batch: str) -> list[LandedFile]:
+    """The data files of one batch folder, at any depth, from a listing."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{area}/{batch}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    out = []
+    while found.hasNext():
+        st = found.next()
+        m = re.search(_PATH_RE, st.getPath().toUri().getPath())
+        if m and not any(part.startswith(("_", ".")) for part in m[0].split("/")[2:]):
+            out.append(LandedFile(m[1], m[2], m[0], st.getLen(), st.getModificationTime()))
+    return sorted(out)
+
+
+def read_files(spark: SparkSession, root: str, files: Sequence[LandedFile]) -> DataFrame:
+    """Rows of the given files with the files' own columns and types.  A column whose type
+    differs between files comes as text, so that the edge casts every value; a column
+    that some files lack is null there.  Footers are read file by file."""
+    if not files:
+        raise ValueError("no files to read")
+    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
+    for f in files:
+        path = f"{root.rstrip('/')}/{f.file}"
+        schema = spark.read.parquet(path).schema
+        by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
+    groups = list(by_schema.values())
+    kinds: dict[str, set[str]] = {}
+    for schema, _ in groups:
+        for f in schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    frames = [
+        spark.read.schema(schema).parquet(*paths).select(*[F.col(f"`{c}`") if len(kinds[c]) == 1 else F.col(f"`{c}`").cast("string").alias(c) for c in schema.fieldNames()])
+        for schema, paths in groups
+    ]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def new_files(files: Sequence[LandedFile], ledger: DataFrame) -> list[LandedFile]:
+    """Those of ``files`` that the ledger doesn't have (S21); all files of a batch that it
+    has as a whole are known.  Reads the ledger's rows of these batches only."""
+    names = sorted({f"{f.area}/{f.batch}" for f in files})
+    known = ledger.where(F.concat_ws("/", "area", "batch").isin(names)).select(*LandedFile._fields).collect()
+    whole = {(r["area"], r["batch"]) for r in known if r["file"] is None}
+    have = {tuple(r) for r in known}
+    return [f for f in files if (f.area, f.batch) not in whole and tuple(f) not in have]

@@ -144,3 +144,96 @@ def test_history_with_text_sequences_and_null_keys(spark, split_rows):
     got = scd2(df, ["id"], "seq", ["v"], split_rows=split_rows, split_ranges=8)
     want = {(k, f"s{n:03d}", f"s{n + 1:03d}" if n < 39 else None) for k in (None, 1, 2) for n in range(40)}
     assert {(r.id, r.valid_from, r.valid_to) for r in got.collect()} == want and got.count() == 120
+
+
+def test_a_late_file_is_loaded_and_nothing_twice(spark, run_root):
+    land = f"{run_root}/landing"
+    st = J.State(spark, f"{run_root}/state")
+    folder = f"{land}/{PARTIAL_AREA}/20260101_000000"
+
+    def lands(rows):
+        _frame(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+        return J.load_folder_job(st, land, PARTIAL_AREA, "2026-01-01 00:00:00", full=False)
+
+    lands([(1, "a", 1), (2, "b", None)])
+    assert lands([(3, "c", 3), (2, "b", 5), (4, None, 4)])["total_processed"] == 3
+    assert J.load_folder_job(st, land, PARTIAL_AREA, "2026-01-01 00:00:00", full=False) == {"skipped": True}
+    assert J.quality_check_from_root(st, land, (PARTIAL_AREA,), "2026-01-01 01:00:00") == {"batches": []}
+    assert sorted(r.id for r in st.read("clean").collect()) == [1, 3]
+    assert sorted(r.id for r in st.read("quarantine").collect()) == [2, 2, 4]
+    assert st.read("ledger").count() == 2
+    with pytest.raises(FileNotFoundError):
+        J.load_folder_job(st, land, FULL_AREA, "2026-01-01 00:00:00", full=True)
+
+
+def test_a_batch_loaded_as_a_whole_is_known_by_its_files(spark, run_root):
+    land = f"{run_root}/landing"
+    st = J.State(spark, f"{run_root}/state")
+    _frame(spark, [(1, "a", 1)]).write.parquet(f"{land}/{FULL_AREA}/20260101_000000")
+    J.full_load_job(st, spark.read.parquet(f"{land}/{FULL_AREA}/20260101_000000"), "2026-01-01 00:00:00", f"{FULL_AREA}/20260101_000000")
+    assert J.load_folder_job(st, land, FULL_AREA, "2026-01-01 01:00:00", full=True) == {"skipped": True}
+
+
+def test_files_of_one_folder_with_different_types(spark, run_root):
+    land = f"{run_root}/landing"
+    folder = f"{land}/{FULL_AREA}/20260101_000000"
+    _frame(spark, [(1, "a", 1)]).write.parquet(folder)
+    spark.createDataFrame([(2, "b", 1 << 40, "x"), (3, "c", 9, "y")], "id long, name string, age long, more string").write.mode("append").parquet(folder)
+    st = J.State(spark, f"{run_root}/state")
+    J.load_folder_job(st, land, FULL_AREA, "2026-01-01 00:00:00", full=True)
+    assert sorted(tuple(r) for r in st.read("clean").select("id", "age", "more").collect()) == [(1, 1, None), (3, 9, "y")]
+    assert [(r.id, r.validation_errors) for r in st.read("quarantine").collect()] == [(2, ["bad_type_age"])]
+
+
+def test_overlapping_runs_lose_nothing(spark, run_root, monkeypatch):
+    """A run that starts inside another is refused; one that pinned before the other
+    ended goes on from the newer version."""
+    from rowgate.sources.claims import RunInProgress
+
+    st = J.State(spark, run_root)
+    load = lambda i: J.partial_load_job(J.State(spark, run_root), _frame(spark, [(i, "a", 1)]), "2026-01-01 00:00:00", f"p/20260101_00000{i}")
+    load(0)
+    real, refused = tables.write, []
+
+    def inside(df, root, name, *a, **k):
+        if name == "quarantine" and not refused:
+            refused.append(1)
+            with pytest.raises(RunInProgress):
+                load(1)
+            with pytest.raises(RunInProgress):
+                J.maintenance_job(J.State(spark, run_root), "2026-01-01 00:00:00")
+        return real(df, root, name, *a, **k)
+
+    monkeypatch.setattr(tables, "write", inside)
+    load(2)
+    monkeypatch.undo()
+    load(1)
+    pin = J.State.pinned
+
+    def late(self):
+        got = pin(self)
+        if self.at is None and len(refused) < 2:
+            refused.append(2)
+            load(3)
+        return got
+
+    monkeypatch.setattr(J.State, "pinned", late)
+    load(4)
+    monkeypatch.undo()
+    assert sorted(r.id for r in st.read("clean").collect()) == [0, 1, 2, 3, 4]
+    assert sorted(r.batch for r in st.read("ledger").collect()) == [f"20260101_00000{i}" for i in range(5)]
+
+
+def test_a_lost_runs_claim_is_taken_over_when_stale(spark, run_root):
+    from rowgate.sources.claims import Claim, RunInProgress
+
+    first = Claim(spark, run_root, 7, 3600)
+    with pytest.raises(RunInProgress):
+        Claim(spark, run_root, 7, 3600)
+    second = Claim(spark, run_root, 7, -1)
+    with pytest.raises(RunInProgress):
+        first.check()
+    first.release()
+    second.check()
+    second.release()
+    Claim(spark, run_root, 7, 3600).release()
