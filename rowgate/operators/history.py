@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from rowgate.contracts import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION
 from rowgate.functions.timeexpr import ts
 
+HOT_KEYS = 4096  # keys that are split by ranges at most
 INSERT, DELETE = "insert", "delete"
 PRE, POST = "update_preimage", "update_postimage"
 UPSERT = "upsert"
@@ -113,7 +114,7 @@ def scd2(
     delete_when: Column | None = None,
     ignore_when: Column | None = None,
     split_rows: int = 1_000_000,
-    split_ranges: int = 64,
+    split_ranges: int = 8,
 ) -> DataFrame:
     """Type-2 history (C3-C5, W2): ``keys``, tracked columns, ``valid_from``,
     ``valid_to`` (NULL while open) and ``is_current``.
@@ -122,14 +123,17 @@ def scd2(
     delete closes the open version and a later upsert reopens the key.
     ``ignore_when`` drops rows before folding (default: update pre-images).
 
-    Skew: keys with more than ``split_rows`` rows are cut into sequence
-    ranges at up to ``split_ranges`` of their own sequence values, chosen by
-    hash (any orderable type; an aggregate, reduced map-side).  Windows run
-    per (key, range), and ranges are stitched by carrying each one's last
-    image and first start to its neighbour.  The plan is the same for all
-    data and runs no job by itself; rows of the other keys, and NULL keys
-    that are few, are one range each.  Only rows of one key with one
-    sequence value are always together.
+    Skew: rows are counted per key (map-side first).  Keys with more than
+    ``split_rows`` rows, the ``HOT_KEYS`` largest of them, are cut into sequence
+    ranges, one for every ``split_rows`` rows and ``split_ranges`` at least, at
+    values of their own chosen by hash (any orderable type).  Windows run per
+    (key, range), and ranges are stitched by carrying each one's last image and
+    first start to its neighbour.  All other keys, also large ones beyond the
+    ``HOT_KEYS`` largest, of which none has more than ``1 / HOT_KEYS`` of all rows,
+    are one window each.  Either way gives the same rows; without hot keys adaptive
+    execution drops their side of the plan.  Finding a row's range compares it
+    with all cuts of its key, so raise ``split_rows`` along with keys of very many
+    rows.  Only rows of one key with one sequence value are always together.
     """
     keys = list(keys)
     ct = F.col(change_type)
@@ -156,22 +160,37 @@ def scd2(
     )
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on ``keys`` in which NULL keys match each other."""
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` in which NULL keys match each other."""
     named = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(named, cond, "left").drop(*[f"_r_{k}" for k in keys])
-
-
-def _fold(rows, keys, seq, tiebreak, order, split_rows, n_ranges):
-    """Skew-safe lag/lead per key: (key, range) windows plus boundary carry."""
+    return left.join(named, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _fold(rows, keys, seq, tiebreak, order, split_rows, split_ranges):
+    """Starts of versions with the next start, ``_next``: hot keys by ranges, all others
+    by one window a key."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > split_rows)
+    # at most HOT_KEYS keys, so the hint has a bound; keys break ties, so both sides see one set
+    hot = F.broadcast(sizes.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    marked = _null_safe(rows, hot, keys, "left_anti").withColumn("_prev", F.lag("_img").over(w))
+    starts = marked.filter(~F.col("_img").eqNullSafe(F.col("_prev"))).drop("_prev")
+    cold = starts.withColumn("_next", F.lead(seq).over(w))
+    ranges = F.greatest(F.lit(split_ranges).cast("long"), F.ceil(F.col("_n") / max(1, split_rows)))
+    split = _null_safe(rows, hot, keys, "inner").withColumn("_n", ranges)
+    return cold.unionByName(_ranged(split, keys, seq, tiebreak, order))
+
+
+def _ranged(rows, keys, seq, tiebreak, order):
+    """Skew-safe lag/lead per key of rows with their key's number of ranges, ``_n``:
+    (key, range) windows plus boundary carry."""
     # 1. cut points: per key and hash bucket the value with the smallest hash
     pick = F.xxhash64(seq)
-    sample = rows.groupBy(*keys, F.pmod(pick, F.lit(n_ranges)).alias("_h")).agg(
-        F.min(F.struct(pick.alias("h"), F.col(seq).alias("s"))).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    cuts = sample.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.collect_set("_s.s").alias("_cuts")).filter(F.col("_n") > split_rows).drop("_n")
+    sample = rows.groupBy(*keys, F.pmod(pick, F.col("_n")).alias("_h")).agg(F.min(F.struct(pick.alias("h"), F.col(seq).alias("s"))).alias("_s"))
+    cuts = sample.groupBy(*keys).agg(F.collect_set("_s.s").alias("_cuts"))
     # range = number of cut points <= seq: monotone in seq, equal seqs together
-    rows = _null_safe(rows, cuts, keys)
+    rows = _null_safe(rows.drop("_n"), cuts, keys)
     rows = rows.withColumn("_b", F.coalesce(F.size(F.filter(F.col("_cuts"), lambda c: c <= F.col(seq))), F.lit(0))).drop("_cuts")
     part = [*keys, "_b"]
     w_in = Window.partitionBy(*part).orderBy(*order)

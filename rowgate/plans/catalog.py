@@ -137,12 +137,12 @@ def contract_tables(spark, sf):
     from rowgate.contracts import CONTRACTS
     from rowgate.sources.tables import conform
 
-    q1 = B.quarantine_1(spark, sf)
+    q1, c1 = stored(B.quarantine_1(spark, sf), "quarantine"), stored(B.clean_1(spark, sf), "clean")
     frames = {
-        "clean": B.clean_1(spark, sf),
+        "clean": c1,
         "quarantine": q1,
         "dead_letter": L.dead_letter_rows(q1, B.T2, P),
-        "history": clean_history(spark, sf),
+        "history": clean_history(spark, sf, c1),
     }
     out = None
     for name, df in frames.items():
@@ -622,15 +622,25 @@ def key_trail(spark, sf):
         "id", "name", "age", "quarantine_timestamp", "quarantine_status", "quarantine_reason")
 
 
-def clean_history(spark, sf) -> DataFrame:
-    """Type-2 history of the clean table from its change feed: v1 (full load,
-    all inserts), v2 (partial merge), v3 (second full load)."""
-    c0, c1, c2 = B.clean_0(spark, sf), B.clean_1(spark, sf), B.clean_2(spark, sf)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A state as the jobs keep it: written once, then read."""
+    from rowgate.session import run_dir
+    from rowgate.sources import tables
+
+    root = run_dir(df.sparkSession, "stored")
+    tables.write(df, root, name)
+    return tables.read(df.sparkSession, root, name, df.schema)
+
+
+def clean_history(spark, sf, c1: DataFrame) -> DataFrame:
+    """Type-2 history of the clean table from its stored change feed: v1 (full load,
+    all inserts), v2 (partial merge to ``c1``), v3 (second full load)."""
+    c0, c2 = stored(B.clean_0(spark, sf), "clean"), stored(B.clean_2(spark, sf), "clean")
     empty = c0.filter(F.lit(False))
     feed = (H.snapshot_changes(empty, c0, P.keys, 1, B.T0)
             .unionByName(H.snapshot_changes(c0, c1, P.keys, 2, B.T1))
             .unionByName(H.snapshot_changes(c1, c2, P.keys, 3, B.FULL_2_TIME)))
-    return H.scd2(feed, P.keys, "_commit_timestamp", ["name", "age"], tiebreak=["_commit_version"])
+    return H.scd2(stored(feed, "changes"), P.keys, "_commit_timestamp", ["name", "age"], tiebreak=["_commit_version"])
 
 
 @query("verify_ids", f"""
@@ -641,9 +651,10 @@ SELECT (SELECT count(*) FROM corrections) AS n_ids,
        (SELECT count(*) FROM clean_2 h WHERE h.id IN (SELECT id FROM corrections)) AS current_in_history""")
 def verify_ids(spark, sf):
     ids = B.corrections(spark, sf).select("id")
-    q = L.keep_keys(B.quarantine_1(spark, sf).filter(L.is_live(P)), ids, P)
-    c = L.keep_keys(B.clean_1(spark, sf), ids, P)
-    h = L.keep_keys(H.current(clean_history(spark, sf)), ids, P)
+    c1 = stored(B.clean_1(spark, sf), "clean")
+    q = L.keep_keys(stored(B.quarantine_1(spark, sf), "quarantine").filter(L.is_live(P)), ids, P)
+    c = L.keep_keys(c1, ids, P)
+    h = L.keep_keys(H.current(clean_history(spark, sf, c1)), ids, P)
     return R.one_row(
         n=ids.agg(F.count(F.lit(1)).alias("n_ids")),
         q=q.agg(F.count(F.lit(1)).alias("live_in_quarantine")),

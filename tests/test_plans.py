@@ -50,6 +50,27 @@ def test_split_history_windows_by_key_and_range(spark):
     assert "partial_min" in plan  # cut points are reduced before the shuffle
 
 
+def test_history_without_hot_keys_is_a_count_and_a_window(spark):
+    """Once the count has found no hot key, one shuffle for both windows is left; nothing by range."""
+    df = scd2(B.changes(spark, SF), ["id"], "seq", ["event_type"], change_type="change_type", tiebreak=["tiebreak"])
+    df.collect()
+    ran = _plan(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in ran and "_b#" not in ran
+    assert ran.count("Exchange hashpartitioning") == 1
+
+
+def test_a_hot_key_is_cut_by_its_size(spark):
+    rows = spark.range(4000).selectExpr("CAST(1 AS BIGINT) AS id", "id AS seq", "id % 2 AS v", "'insert' AS _change_type")
+    df = scd2(rows, ["id"], "seq", ["v"], split_rows=100)
+    marked = df.filter("valid_to IS NULL OR valid_to = valid_from + 1")
+    assert marked.count() == 4000
+    from rowgate.operators import history
+
+    cut = history._ranged(rows.withColumns({"_n": F.lit(40).cast("long"), "_rk": F.lit(1), "_img": F.struct("v")}), ["id"], "seq", [], ["seq", "_rk"])
+    plan = cut._jdf.queryExecution().analyzed().toString()
+    assert "_b#" in plan and cut.count() == 4000
+
+
 def test_compressible_keys_get_no_broadcast_hint(spark, tmp_path):
     """Catalyst's estimate of a key column counts compressed bytes; no hint rests on it."""
     spark.range(1_000_000).selectExpr("CAST(id % 10 AS STRING) AS id", "id AS v").write.parquet(f"{tmp_path}/t")
