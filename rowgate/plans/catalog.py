@@ -993,3 +993,23 @@ def stream_in_parts(spark, sf):
     cols = ["id", "name", "age"]
     q = st.read("quarantine").select(*cols, F.lit("quarantine").alias("side"))
     return q.unionByName(st.read("clean").select(*cols, F.lit("clean").alias("side")))
+
+
+@query("pruned_full_load", """
+SELECT id, name, CASE WHEN id % 50 = 0 THEN age + 1 ELSE age END AS age, 'now' AS side FROM clean_0
+UNION ALL SELECT id, name, age, 'before' FROM clean_0 WHERE id % 50 = 0""")
+def pruned_full_load(spark, sf):
+    """A second full load of the batch with some ages changed; buckets are
+    found by digest.  The clean table, and the images that the change feed says went."""
+    from rowgate.contracts import CHANGE_TYPE
+    from rowgate.plans.jobs import State, full_load_job
+    from rowgate.session import run_dir
+
+    st = State(spark, run_dir(spark, "pruned_full_load"), CONTRACT, P, rows_per_bucket=1000)
+    landed = B.landing_full(spark, sf)
+    full_load_job(st, landed, B.T0, B.SOURCE_F)
+    changed = landed.withColumn("age", F.when(F.col("id") % 50 == 0, F.col("age") + 1).otherwise(F.col("age")))
+    full_load_job(st, changed, B.FULL_2_TIME, B.SOURCE_F2)
+    cols = ["id", "name", "age"]
+    gone = st.read("changes").filter(F.col(CHANGE_TYPE).isin("update_preimage", "delete"))
+    return st.read("clean").select(*cols, F.lit("now").alias("side")).unionByName(gone.select(*cols, F.lit("before").alias("side")))

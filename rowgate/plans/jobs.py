@@ -10,8 +10,8 @@ State layout under ``root`` (a folder in the shared checkpoint space, see
 ``rowgate.session.run_dir``), written by ``rowgate.sources.tables``:
 
 * ``clean/v=N/rg_bucket=B`` and ``clean_map/v=N`` -- key-hash buckets (see
-  ``rowgate.sources.buckets``): a full load writes all of them, a merge reads
-  and writes only those that hold its keys;
+  ``rowgate.sources.buckets``): a full load writes those whose digest changed, a
+  merge reads and writes only those that hold its keys;
 * ``quarantine/v=N/terminal=false|true`` -- each step reads only the live
   side of the newest version and writes the next version split in two:
   rows still live, and rows that became terminal (RELEASED / EXPIRED) in
@@ -208,15 +208,31 @@ class State:
         """The next clean version: ``df`` in the buckets ``hit`` (None: all ``n``) of ``lay``."""
         v = self.next_version("clean")
         hit = range(n) if hit is None else hit
-        lay = buckets.replace(self._pin("clean", df), self.params.keys, n, f"{self.root}/clean", v, lay, hit)
+        lay = buckets.replace(self._pin("clean", df), self.params.keys, n, f"{self.root}/clean", v, lay, hit, digest=True)
         self.last_version = self.written["clean"] = v
         return lay
 
     def replace_clean(self, new: DataFrame, as_of: str, rows: int) -> dict:
-        """Write the next clean version from at most ``rows`` rows, and its change rows (same number)."""
-        old = self.read("clean")
-        lay = self._write_clean(new, self._buckets_for(rows), buckets.Layout(), None)
-        return {"clean_rows": lay.rows, **self._write_changes(old, self._read_clean(lay), as_of)}
+        """Make ``new``, at most ``rows`` rows, the clean table: its next version and its
+        change rows (same number).
+
+        Only buckets whose digest differs are written and diffed; if none does, nothing
+        is.  A table that has outgrown its buckets, or needs less than half of them, is
+        dealt out anew.
+        """
+        lay, n = self._layout(), self._buckets_for(rows)
+        if not lay.held or not lay.buckets <= 2 * n <= 4 * lay.buckets:
+            old = self.read("clean")
+            lay = self._write_clean(new, n, buckets.Layout(), None)
+            return {"clean_rows": lay.rows, **self._write_changes(old, self._read_clean(lay), as_of)}
+        keys = list(self.params.keys)
+        hit = buckets.differing(self._pin("clean", new), keys, lay)
+        if not hit:
+            return {"clean_rows": lay.rows, "change_rows": 0}
+        old = self._read_clean(lay, hit)
+        changed = new.filter(buckets.bucket_of(keys, lay.buckets).isin(hit)) if len(hit) < lay.buckets else new
+        lay = self._write_clean(changed, lay.buckets, lay, hit)
+        return {"clean_rows": lay.rows, **self._write_changes(old, self._read_clean(lay, hit), as_of)}
 
     def merge_clean(self, sources: Sequence[DataFrame], as_of: str) -> dict:
         """Merge ``sources`` (each one row a key) one after another into the clean

@@ -237,3 +237,36 @@ def test_a_lost_runs_claim_is_taken_over_when_stale(spark, run_root):
     second.check()
     second.release()
     Claim(spark, run_root, 7, 3600).release()
+
+
+def test_a_full_load_writes_only_the_buckets_that_changed(spark, run_root):
+    st = J.State(spark, run_root, rows_per_bucket=10)
+    rows = [(i, "a", i) for i in range(100)]
+    load = lambda rows, h: J.full_load_job(st, _frame(spark, rows).repartition(3), f"2026-01-0{h} 00:00:00", f"parquet_full/2026010{h}_000000")
+    load(rows, 1)
+    whole = st._layout()
+    out = load([*rows[:7], (7, "b", 7), *rows[8:]], 2)
+    after = st._layout()
+    assert out["change_rows"] == 2 and len([b for b, x in after.held.items() if whole.held[b] != x]) == 1
+    assert load([*rows[:7], (7, "b", 7), *rows[8:]], 3)["change_rows"] == 0 and st._layout() == after
+    out = load([*rows[:50], (7, "b", 7)][8:], 4)  # deletes, in some buckets; one key back to its first row is an update
+    assert st._layout().rows == len({r[0] for r in [*rows[8:50], (7, "b", 7)]}) and out["change_rows"] == 57
+    J.partial_load_job(st, _frame(spark, [(7, "c", 1)]), "2026-01-05 00:00:00", "parquet_partial/20260105_000000")
+    out = load([*rows[8:50], (7, "c", 1)], 6)
+    assert out["change_rows"] == 0
+    out = load([*rows[8:50], (7, None, 1)], 7)
+    assert out["change_rows"] == 1 and sorted(map(tuple, st.read("clean").collect())) == rows[8:50]
+    load([], 8)
+    assert st.read("clean").count() == 0
+    changes = scd2(st.read("changes"), ["id"], "_commit_version", ["name", "age"]).where("valid_to IS NULL")
+    assert changes.count() == 0
+
+
+def test_digests_tell_nulls_and_columns_apart(spark):
+    from rowgate.sources import buckets
+
+    def of(rows):
+        return tuple(spark.createDataFrame(rows, "id long, a string, b string").agg(*buckets._digest(["id", "a", "b"])).first())
+
+    assert of([(1, "x", None), (2, "y", "z")]) == of([(2, "y", "z"), (1, "x", None)])
+    assert len({of([(1, "x", None)]), of([(1, None, "x")]), of([(1, "x", "x")]), of([(1, None, None)]), of([(1, "", None)])}) == 5
