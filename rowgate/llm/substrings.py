@@ -273,10 +273,8 @@ class _Candidates:
 
     def _settled(self, keys, doc, first):
         if len(doc):
-            rows = []
-            for d, words in _by_document(doc, first):
-                rows.append((int(d) % self.shards, keys[d].astype("<i8").tobytes(), b"", words, b""))
-            yield _packed(rows)
+            rows = {(keys[d].astype("<i8").tobytes(), words) for d, words in _by_document(doc, first)}
+            yield _packed([(n % self.shards, key, b"", words, b"") for n, (key, words) in enumerate(sorted(rows))])
 
 
 def _by_document(doc: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -401,7 +399,8 @@ def remove_repeats(docs: DataFrame, width: int = 35, id_col: str = "doc_id", tex
     name = hashlib.sha256(repr([(b, hashlib.sha256(z).digest()) for b, z in sorted(parts)]).encode()).hexdigest()
     packed = keyed.select("a", "b", "text").mapInArrow(_Candidates(width, cells, shards, name, sketch), _PACKED)
     found = packed.repartition("shard").sortWithinPartitions("shard").mapInArrow(_Resolve(), "a long, b long, runs binary")
-    runs = found.groupBy("a", "b").agg(F.collect_list("runs").alias("runs"))
+    # rows that repeat wholly share a key and send the same runs again and again: each once
+    runs = found.groupBy("a", "b").agg(F.collect_set("runs").alias("runs"))
     kind = rows.schema["id"].dataType
     joined = keyed.join(runs, ["a", "b"], "left").select("id", "text", "runs")
     out = joined.mapInArrow(_Remove(width, kept_text, to_arrow_type(kind)), f"id {kind.simpleString()}, n_words long, n_removed long, kept_sha256 string, kept string")
