@@ -158,7 +158,8 @@ class _Words:
 
 
 def train(docs: DataFrame, labels: DataFrame, identity=IDENTITY, per_class: int = 3000, **options) -> Model:
-    """Fit on ``labels`` (doc_id, toxic) joined with ``docs`` (doc_id, text)."""
+    """Fit on ``labels`` (doc_id, toxic) joined with ``docs`` (doc_id, text).  Of several texts
+    with one id the first in byte order is read; an id is toxic if any of its labels says so."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     have = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     count = {r["toxic"]: r["count"] for r in have.groupBy("toxic").count().collect()}
@@ -166,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, identity=IDENTITY, per_class: int
     chosen = have.where("toxic = 1").orderBy(*order).limit(per_class).unionByName(have.where("toxic = 0").orderBy(*order).limit(per_class))
     # at most 2 * per_class rows of two numbers: the bound of the broadcast
     rows = (
-        docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text")
+        docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
         .mapInArrow(_Words(identity), "toxic int, words string, sentences array<string>").collect()
     )
     rows = sorted(((r[0], r[1], r[2]) for r in rows), key=lambda r: (r[0], r[1]))  # the same order whatever the partitions
