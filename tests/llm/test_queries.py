@@ -79,10 +79,45 @@ def brute_quality(text):
     return len(w), chars, sum(t.count(c) for c in (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")), len(lines) - len(set(lines)), len(hit), failed
 
 
+def brute_kept(text):
+    """The five rules, word by word."""
+    n, chars, symbols, dup, _, failed = brute_quality(text)
+    words = (text or "").encode().split()
+    lines = [x for x in (text or "").encode().split(b"\n") if WORD.search(x)]
+    wordlike = sum(any(c.isalpha() or ord(c) > 127 for c in w.decode()) for w in words)
+    distinct = sum(len(set(words[k: k + 2000])) for k in range(0, n, 2000))
+    bad = chars < 2 * n or chars > 15 * n or symbols * 10 > n or (dup >= 3 and dup * 10 > 3 * len(lines)) or wordlike * 10 < 7 * n or distinct * 20 < n
+    return not failed and not bad
+
+
 def test_op2(spark, small):
     got = rows(Q.op2_quality(spark, small[0]))
     assert [g[:7] for g in got] == sorted(((i, *brute_quality(t)) for i, t in small[1]), key=str)
-    assert all(not g[7] for g in got if g[6]) and any(g[7] for g in got)
+    assert [(g[0], g[7]) for g in got] == [x[1] for x in sorted((str((i, *brute_quality(t), brute_kept(t))), (i, brute_kept(t))) for i, t in small[1])]
+    assert any(g[7] for g in got)
+
+
+def test_quality_verdicts_on_junk(spark):
+    import random
+
+    rnd = random.Random(3)
+    few, many = [f"w{i}" for i in range(60)], [f"word{i}" for i in range(9000)]
+    texts = [" ".join(rnd.choices(few, k=10_000)), " ".join(rnd.choices(few, k=1990)), " ".join(rnd.choices(many, k=10_000)), " ".join(rnd.choices(many, k=200)),
+             " ".join(f"{i}" for i in range(300)), "\n".join(["same line of words here"] * 3 + [" ".join(rnd.choices(many, k=9)) for _ in range(6)]), "# * " * 20 + " ".join(rnd.choices(many, k=100)), "a " * 60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    from rowgate.llm import quality
+
+    got = {r.doc_id: r.quality.kept for r in quality.quality(docs).collect()}
+    assert got == {i: brute_kept(t) for i, t in enumerate(texts)}
+    assert [got[i] for i in range(5)] == [False, False, True, True, False]
+
+
+def test_quality_estimates_are_marginal():
+    from rowgate.llm import quality
+
+    good, short = b" ".join(b"word%d" % i for i in range(80)), b"# # #"
+    got = quality.estimate([short] * 9 + [good], {"symbols": quality.RULES["symbol_share"], "none": lambda f: False})
+    assert got["symbols"][1] == got["none"][1] == 0  # only what passes the base rule counts
 
 
 def brute_fingerprint(text):
@@ -124,6 +159,16 @@ def test_op4(spark, small):
     assert rows(Q.op4_toxicity(spark, small[0])) == sorted(map(tuple, got), key=str)
 
 
+def test_op4_does_not_depend_on_the_order_of_rows(spark):
+    from rowgate.llm import toxicity
+
+    docs = [(i % 40, f"good calm text number{i % 7} here" if i % 3 else f"vile nasty text number{i % 5} here") for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)], "doc_id long, toxic int")
+    models = [toxicity.train(spark.createDataFrame(d, "doc_id long, text string").repartition(n), labels) for d, n in ((docs, 1), (docs[::-1], 5))]
+    scored = [rows(toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), m)) for m in models]
+    assert scored[0] == scored[1]
+
+
 @pytest.mark.parametrize("name", list(Q.ORACLE))
 def test_oracles_on_awkward_rows(spark, small, name):
     con = duckdb.connect()
@@ -149,6 +194,16 @@ def test_op7(spark, small):
     assert rows(Q.op7_substrings(spark, small[0])) == sorted(brute_repeats(small[1]), key=str)
 
 
+def test_op7_with_many_repeated_rows(spark):
+    words = [f"w{i}" for i in range(120)]
+    rows_ = [(1, " ".join(words))] * 3000 + [(2, " ".join(words[:60])), (3, " ".join(words[50:80])), (4, "alone " + " ".join(words[40:80]))]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string").repartition(6)
+    from rowgate.llm import substrings
+
+    got = rows(substrings.remove_repeats(docs, 35, kept_text=False).drop("kept"))
+    assert got == sorted(brute_repeats(rows_), key=str)
+
+
 def folded(t):
     t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
