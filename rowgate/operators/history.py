@@ -215,6 +215,41 @@ def _ranged(rows, keys, seq, tiebreak, order):
     return bounded.drop("_carry", "_b")
 
 
+def splice(
+    history: DataFrame,
+    rows: DataFrame,
+    first: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    tracked: Sequence[str],
+    change_type: str = CHANGE_TYPE,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """``history`` with change rows put between their neighbours.
+
+    ``first`` has a row for every key to change: ``keys`` and ``_from``, the sequence
+    value of its earliest new row, or NULL to build the key anew.  ``rows`` are all
+    change rows of those keys at or after it (all of the key's, where it is NULL), those
+    that were folded before included.  Versions that ended before ``_from``, and keys
+    that aren't in ``first``, stay as they are; the version open at ``_from`` is the
+    predecessor and gets its end anew; later ones are folded from ``rows``.  So a key whose
+    new rows all come after what is known needs nothing but its open version.  The result
+    is ``scd2`` over all change rows of all times.  NULL keys match each other.
+    """
+    keys = list(keys)
+    marked = _null_safe(history, first.select(*keys, "_from", F.lit(True).alias("_hit")), keys)
+    before = F.coalesce(F.col("valid_from") < F.col("_from"), F.lit(False))
+    ended = F.coalesce(F.col("valid_to") < F.col("_from"), F.lit(False))
+    kept = marked.filter(F.col("_hit").isNull() | (before & ended)).select(*history.columns)
+    named = {sequence_by: F.col("valid_from"), change_type: F.lit(UPSERT), **{t: F.lit(None) for t in tiebreak}}
+    columns = [*keys, *tracked, *named]
+    types = rows.select(*columns).schema
+    open_then = marked.filter(F.col("_hit") & before & ~ended)
+    seeds = open_then.select(*[named.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in types.fields])
+    folded = scd2(seeds.unionByName(rows.select(*columns)), keys, sequence_by, tracked, change_type=change_type, tiebreak=tiebreak)
+    return kept.unionByName(folded.select(*history.columns))
+
+
 def current(history: DataFrame) -> DataFrame:
     """Current-row view."""
     return history.filter(F.col("valid_to").isNull())

@@ -74,6 +74,48 @@ def test_a_batch_that_broke_off_in_the_swap_is_run_again(spark, run_root, monkey
     assert _rows(current_history(spark, fold)) == _rows(expected.select(*current_history(spark, fold).columns))
 
 
+def test_in_order_keys_read_no_log(spark, run_root, monkeypatch):
+    """Rows after all that was seen are carried on from the open version; a late row has the
+    log read in its key's bucket and from its own time on."""
+    ch, fold = _fold(spark, run_root)
+    asked = []
+    real = HistoryFold._log_since
+    monkeypatch.setattr(HistoryFold, "_log_since", lambda self, s, b, hit, at: asked.append((len(hit), at)) or real(self, s, b, hit, at))
+    top = ch.agg(F.max("seq")).first()[0]
+    cut = F.col("seq") < F.lit(top) - F.expr("INTERVAL 2 DAYS")
+    fold(ch.filter(cut), 0)
+    fold(ch.filter(~cut), 1)
+    assert asked == []
+    key = ch.first()["id"]
+    late = ch.filter((F.col("id") == key) & cut).limit(1).withColumns({"event_type": F.lit("late"), "change_type": F.lit("upsert"), "seq": F.col("seq") + F.expr("INTERVAL 1 SECOND")})
+    late = spark.createDataFrame(late.collect(), late.schema)
+    fold(late, 2)
+    assert asked == [(1, late.first()["seq"])]
+    expected = scd2(ch.unionByName(late), ["id"], "seq", ["event_type"], change_type="change_type", tiebreak=["tiebreak"])
+    assert _rows(current_history(spark, fold)) == _rows(expected.select(*current_history(spark, fold).columns))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_any_order_of_arrival_gives_the_same_history(spark, run_root, seed):
+    """Random rows of few keys in random batches: deletes, repeats, equal times, preimages,
+    keys and sequence values that are null."""
+    import random
+
+    rnd = random.Random(seed)
+    rows = [(rnd.choice([None, 1, 2, 3]), rnd.choice(["a", "b", None]), rnd.choice([None] + list(range(12)) * 4), n,
+             rnd.choice(["upsert"] * 4 + ["delete", "delete", "update_preimage"])) for n in range(60)]
+    schema = "id long, event_type string, seq long, tiebreak long, change_type string"
+    ch = spark.createDataFrame(rows, schema)
+    hist = T.StructType([ch.schema["id"], ch.schema["event_type"], T.StructField("valid_from", T.LongType()),
+                         T.StructField("valid_to", T.LongType()), T.StructField("is_current", T.BooleanType())])
+    fold = HistoryFold(run_root, ["id"], "seq", ["event_type"], "change_type", ["tiebreak"], ch.schema, hist, n_buckets=3)
+    rnd.shuffle(rows)
+    for n, at in enumerate(range(0, 60, 20)):
+        fold(spark.createDataFrame(rows[at:at + 20], schema), n)
+        expected = scd2(spark.createDataFrame(rows[:at + 20], schema), ["id"], "seq", ["event_type"], change_type="change_type", tiebreak=["tiebreak"])
+        assert _rows(current_history(spark, fold)) == _rows(expected.select(*current_history(spark, fold).columns))
+
+
 def test_replaced_buckets_are_deleted(spark, run_root):
     from rowgate.sources import buckets
 
