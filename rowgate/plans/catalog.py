@@ -967,6 +967,27 @@ def late_files(spark, sf):
     return q.unionByName(st.read("clean").select(*cols, F.lit("clean").alias("side")))
 
 
+@query("replayed_batch", """
+SELECT id, name, age, 'quarantine' AS side FROM quarantine_1
+UNION ALL SELECT id, name, age, 'clean' FROM clean_1""")
+def replayed_batch(spark, sf):
+    """A partial batch is loaded from a faulty file (ages shifted, names missing, keys
+    that aren't in the right one) and replayed from the right one; the state is that
+    without the first try."""
+    from rowgate.plans.jobs import full_load_job, partial_load_job, replay_job
+
+    st = _state(spark, "replayed_batch")
+    full_load_job(st, B.landing_full(spark, sf), B.T0, B.SOURCE_F)
+    right = B.landing_partial(spark, sf)
+    shifted = right.withColumns({"age": F.col("age") + 1, "name": F.when(F.col("id") % 4 > 0, F.col("name"))})
+    faulty = shifted.unionByName(shifted.withColumn("id", -F.col("id")))
+    partial_load_job(st, faulty, B.T1, B.SOURCE_P)
+    replay_job(st, right, B.T1, B.SOURCE_P)
+    cols = ["id", "name", "age"]
+    q = st.read("quarantine").select(*cols, F.lit("quarantine").alias("side"))
+    return q.unionByName(st.read("clean").select(*cols, F.lit("clean").alias("side")))
+
+
 @query("stream_in_parts", """
 SELECT id, name, age, 'quarantine' AS side FROM quarantine_1
 UNION ALL SELECT id, name, age, 'clean' FROM clean_1""")

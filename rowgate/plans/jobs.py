@@ -42,6 +42,7 @@ from rowgate.contracts import (
     BAD_TYPE_CODE_PREFIX,
     CHANGE_TYPE,
     COMMIT_TIMESTAMP,
+    COMMIT_VERSION,
     DEFAULT_DATA_SCHEMA,
     EXPIRED,
     NULL_CODE_PREFIX,
@@ -55,7 +56,7 @@ from rowgate.contracts import (
 from rowgate.functions.rules import Rule, require_columns, type_rules
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
-from rowgate.operators.keyed import latest_per_key, semi, upsert
+from rowgate.operators.keyed import anti, latest_per_key, semi, upsert
 from rowgate.operators.route import ERRORS, classify, split
 from rowgate.sources import buckets, landing, tables
 from rowgate.sources.claims import Claim, RunInProgress  # noqa: F401 - raised to callers
@@ -234,18 +235,24 @@ class State:
         lay = self._write_clean(changed, lay.buckets, lay, hit)
         return {"clean_rows": lay.rows, **self._write_changes(old, self._read_clean(lay, hit), as_of)}
 
-    def merge_clean(self, sources: Sequence[DataFrame], as_of: str) -> dict:
+    def clean_before(self, version: int, keys_df: DataFrame) -> DataFrame:
+        """The clean rows of the given keys as they were before a version, from the buckets
+        that the map of that time names."""
+        lay = buckets.layout(self.spark, f"{self.root}/clean", version - 1)
+        hit = buckets.hit_by(keys_df, self.params.keys, lay.buckets) if lay.held else []
+        return semi(self._read_clean(lay, hit), keys_df, self.params.keys)
+
+    def merge_clean(self, sources: Sequence[DataFrame], as_of: str, gone: DataFrame | None = None) -> dict:
         """Merge ``sources`` (each one row a key) one after another into the clean
-        table: the next version and its change rows.
+        table: the next version and its change rows.  Rows of the keys ``gone`` are
+        deleted first.
 
         Only the buckets of their keys are read and written, and only those keys
         are diffed.  A table that has outgrown its buckets is dealt out anew.
         """
         keys = list(self.params.keys)
-        touched = sources[0].select(*keys)
-        for s in sources[1:]:
-            touched = touched.unionByName(s.select(*keys))
-        touched = touched.distinct()
+        parts = [s.select(*keys) for s in ([] if gone is None else [gone]) + list(sources)]
+        touched = functools.reduce(DataFrame.unionByName, parts).distinct()
         lay = self._layout()
         n = lay.buckets or 1
         if lay.rows > 2 * n * self.rows_per_bucket:
@@ -253,7 +260,7 @@ class State:
         else:
             hit = buckets.hit_by(touched, keys, n)
         old = self._read_clean(lay, hit)
-        new = old
+        new = old if gone is None else anti(old, gone, keys)
         for s in sources:
             new = upsert(new, s, keys, dedupe_order=None)
         lay = self._write_clean(new, n, lay, hit)
@@ -349,12 +356,16 @@ def _classified(state: State, incoming: DataFrame, live: DataFrame | None, sourc
     return state.spark.read.schema(v.schema).parquet(path), columns
 
 
-def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool, rules: Sequence[Rule], part: str = "route"):
+def _routed(state: State, incoming: DataFrame, as_of: str, source_file: str, stack: bool, rules: Sequence[Rule], part: str = "route",
+            live: DataFrame | None = None):
+    """Route a batch; with ``stack`` against the live keys of ``live``, or of the stored state."""
+    if stack and live is None:
+        live = state.read_live()
     path = f"{state.root}/staging/{part}/v={state.next_version('clean'):06d}"
     obs = Observation("route_metrics")
     bad = F.col("has_any_failure") | F.col("id_is_stacked")
     counts = [F.count_if(~bad).alias("clean_count"), F.count_if(bad).alias("quarantine_count"), _rows().alias("total_processed")]
-    staged, columns = _classified(state, incoming, state.read_live() if stack else None, source_file, rules, path, (obs, counts))
+    staged, columns = _classified(state, incoming, live if stack else None, source_file, rules, path, (obs, counts))
     return split(staged, columns, as_of, state.params.hours), dict(obs.get)
 
 
@@ -453,6 +464,66 @@ def load_folder_job(state: State, landing_root: str, area: str, as_of: str, full
     return _full_load(state, landing.read_files(state.spark, landing_root, there), late, as_of, source, stack, rules, order, [], new)
 
 
+def _runs_of(state: State, batch: tuple[str, str]) -> list[int]:
+    """The versions of the runs that routed a batch (oldest first), which must have done
+    nothing else: what another batch or a pass did there can't be told apart."""
+    it = F.coalesce((F.col("area") == batch[0]) & (F.col("batch") == batch[1]), F.lit(False))
+    parts = tables.read_parts(state.spark, state.root, "ledger", LEDGER_SCHEMA, max_version=state.at, with_version=True)
+    runs = parts.groupBy("v").agg(F.max(it).alias("it"), F.max(~it).alias("more")).filter("it").collect()
+    passes = set(tables.versions(state.spark, state.root, "released"))
+    for r in runs:
+        if r["more"] or r["v"] in passes:
+            raise ValueError(f"version {r['v']} did more than route {'/'.join(batch)}")
+    return sorted(r["v"] for r in runs)
+
+
+@_one_at_a_time
+def replay_job(state: State, incoming: DataFrame, as_of: str, source_file: str, full: bool = False, rules: Sequence[Rule] = (),
+               order: Sequence[str] = ()) -> dict:
+    """Route a batch again that was loaded before, as if the earlier tries hadn't been.
+
+    The batch's live rows leave the quarantine.  Keys whose newest change in the feed is of
+    an earlier try get the clean row they had before it (or none); keys that another run
+    has changed since keep that run's row.  Then ``incoming`` is routed, all in one version,
+    whose change rows are the difference in all.  With ``full`` the batch replaces the clean
+    table.  What a pass has released or expired since stays so, and rows of later batches
+    that were held back for a key of this one wait for the next pass.
+
+    ``ValueError``: the ledger doesn't have the batch, or a run did more than route it.
+    """
+    batch = _batch_of(source_file)
+    tries = _runs_of(state, batch) if batch else []
+    if not tries:
+        raise ValueError(f"{source_file} has not been loaded")
+    live = state.read_live().filter(~F.col("source_file").eqNullSafe(F.lit(source_file)))
+    r, out = _routed(state, incoming, as_of, source_file, not full, rules, live=live)
+    clean = latest_per_key(r.clean, state.params.keys, order)
+    if full:
+        out.update(state.replace_clean(clean, as_of, out["clean_count"]))
+    else:
+        undone = _undone(state, tries)
+        before = [state.clean_before(v, undone.filter(F.col("_since") == v)) for v in tries]
+        out.update(state.merge_clean([functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), before), clean], as_of, undone))
+    out.update(state.write("quarantine", live.unionByName(r.quarantine, allowMissingColumns=True), {"live_rows": _rows()}))
+    _end_run(state, [batch], as_of)
+    return out
+
+
+def _undone(state: State, tries: Sequence[int]) -> DataFrame:
+    """Keys whose newest change is of one of the versions ``tries``: the key and, ``_since``,
+    the oldest of them after the last change of another version.  Kept as a written table."""
+    keys, v = list(state.params.keys), F.col(COMMIT_VERSION)
+    # parts of the feed before the first try aren't read
+    feed = tables.read_parts(state.spark, state.root, "changes", state._schema("changes"), f"v >= {tries[0]}", max_version=state.at)
+    own = v.isin(list(tries))
+    others = semi(feed.filter(~own), feed.filter(own), keys).groupBy(*keys).agg(F.max(v).alias("_other"))
+    left = feed.filter(own).join(others, keys, "left").filter(F.col("_other").isNull() | (v > F.col("_other")))
+    path = f"{state.root}/staging/undone/v={state.next_version('clean'):06d}"
+    out = left.groupBy(*keys).agg(F.min(v).alias("_since"))
+    out.write.mode("overwrite").parquet(path)
+    return state.spark.read.schema(out.schema).parquet(path)
+
+
 @_one_at_a_time
 def maintenance_job(state: State, as_of: str, order=("expire", "release", "promote")) -> dict:
     """L17 as a job: expire -> release -> promote from one input version and

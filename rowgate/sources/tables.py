@@ -94,13 +94,15 @@ def read_parts(
     extra: T.StructType | None = None,
     max_version: int | None = None,
     evolve: bool = False,
+    with_version: bool = False,
 ) -> DataFrame:
     """Every committed version of an append-style table at once (each
     version holds only the rows added by its step).  Uncommitted folders
-    of a failed attempt are pruned by the version list."""
+    of a failed attempt are pruned by the version list.  ``with_version`` adds
+    each row's version, ``v``."""
     vs = [v for v in versions(spark, root, name) if max_version is None or v <= max_version]
     if not vs:
-        return empty(spark, schema)
+        return empty(spark, T.StructType([*schema.fields, T.StructField("v", T.LongType())]) if with_version else schema)
     base = f"{root.rstrip('/')}/{name}"
     if evolve:
         schema = grown(spark, [f"{base}/v={v:06d}" for v in vs], base, schema)
@@ -108,7 +110,7 @@ def read_parts(
     df = spark.read.schema(full).parquet(f"{root.rstrip('/')}/{name}").filter(F.col("v").isin(vs))
     if where is not None:
         df = df.filter(where)
-    return df.select(*[f.name for f in schema.fields])
+    return df.select(*[f.name for f in schema.fields], *(["v"] if with_version else []))
 
 
 def write(

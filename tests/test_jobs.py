@@ -270,3 +270,34 @@ def test_digests_tell_nulls_and_columns_apart(spark):
 
     assert of([(1, "x", None), (2, "y", "z")]) == of([(2, "y", "z"), (1, "x", None)])
     assert len({of([(1, "x", None)]), of([(1, None, "x")]), of([(1, "x", "x")]), of([(1, None, None)]), of([(1, "", None)])}) == 5
+
+
+def test_a_replay_undoes_the_first_try_only(spark, run_root):
+    """Keys that a later load changed keep its row, also further columns come back, and
+    the feed's history ends in the clean table."""
+    st = J.State(spark, run_root)
+    first, again, later = (f"parquet_partial/2026010{n}_000000" for n in (2, 2, 3))
+    wide = _frame(spark, [(1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "d", 4)]).withColumn("segment", F.col("id") * 10)
+    J.full_load_job(st, wide, "2026-01-01 00:00:00", "parquet_full/20260101_000000")
+    J.partial_load_job(st, _frame(spark, [(1, "x", 1), (2, "x", 2), (4, "x", None), (5, "x", 5), (6, "x", 6)]), "2026-01-02 00:00:00", first)
+    J.partial_load_job(st, _frame(spark, [(2, "later", 2), (6, "later", 6), (7, None, 7)]), "2026-01-03 00:00:00", later)
+    J.replay_job(st, _frame(spark, [(3, "r", 3), (4, "r", 4), (8, None, 8)]), "2026-01-04 00:00:00", again)
+    clean = {r.id: (r.name, r.segment) for r in st.read("clean").collect()}
+    assert clean == {1: ("a", 10), 2: ("later", None), 3: ("r", None), 4: ("r", None), 6: ("later", None)}
+    assert sorted((r.id, r.source_file) for r in st.read("quarantine").collect()) == [(7, later), (8, again)]
+    J.replay_job(st, _frame(spark, [(5, "s", 5)]), "2026-01-05 00:00:00", again)  # a second one undoes the first replay too
+    clean = {r.id: (r.name, r.segment) for r in st.read("clean").collect()}
+    assert clean == {1: ("a", 10), 2: ("later", None), 3: ("c", 30), 4: ("d", 40), 5: ("s", None), 6: ("later", None)}
+    assert [r.id for r in st.read("quarantine").collect()] == [7]
+    held = {r.id: r.name for r in J.clean_history(st).filter("is_current").collect()}
+    assert held == {k: v[0] for k, v in clean.items()}
+    assert J.partial_load_job(st, wide, "2026-01-06 00:00:00", again) == {"skipped": True}
+
+
+def test_a_replay_refuses_what_it_cannot_tell_apart(spark, run_root):
+    st = J.State(spark, run_root)
+    with pytest.raises(ValueError, match="has not been loaded"):
+        J.replay_job(st, _frame(spark, []), "2026-01-01 00:00:00", "parquet_partial/20260101_000000")
+    J.quality_check_job(st, B.landing(spark, SF), B.T2, areas=AREAS)
+    with pytest.raises(ValueError, match="more than route"):
+        J.replay_job(st, B.landing_partial(spark, SF), B.T2, B.SOURCE_P)
