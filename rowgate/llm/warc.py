@@ -1,6 +1,6 @@
 """WARC archives, dictionary-compressed, written and read by Spark tasks.
 
-A Zstandard dictionary is built from a bounded sample of records.  Every archive
+A Zstandard dictionary is built from a bounded random sample of records over the whole table.  Every archive
 begins with a skippable frame that holds it, and each record is a frame of its
 own, so any record can be read with the dictionary alone.
 
@@ -14,7 +14,8 @@ replaces its archives.  The folder may be any that Spark and pyarrow both reach
 (file, hdfs, s3, gs); it must be shared by all executors.
 
 Null html is an empty payload.  A null page_id counts as smaller than any other; a
-null url is written as ``urn:page``.  An empty table writes no archive.
+null url is written as ``urn:page``; white space in one is written, and read back, as ``%20``.
+Ids are read back as ``read_archives``' ``id_type``.  An empty table writes no archive.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 LEVEL = 3
 ARCHIVE_BYTES = 16 << 20
-SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 8 << 20, 64 << 10
+SAMPLE_RECORDS, SAMPLE_BYTES, SAMPLE_SEED, DICTIONARY_BYTES = 1000, 8 << 20, 6, 64 << 10
 
 
 def record_id(page_id, digest: str) -> str:
@@ -72,18 +73,17 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def dictionary(pages: DataFrame, date: str) -> bytes:
-    """A dictionary from at most SAMPLE_RECORDS records of up to SAMPLE_BYTES / 128
-    each, and SAMPLE_BYTES of them; only the first partitions are read for it."""
+    """A dictionary from a random sample of all pages of up to SAMPLE_BYTES / 128: about
+    SAMPLE_RECORDS records or SAMPLE_BYTES, whichever is less (all, if they are fewer)."""
     import zstandard
 
-    small = F.coalesce(F.octet_length("html"), F.lit(0)) <= SAMPLE_BYTES // 128
-    samples, size = [], 0
-    for r in pages.where(small).select("page_id", "url", "html").limit(SAMPLE_RECORDS).collect():
-        payload = (r[2] or "").encode()
-        if size + len(payload) > SAMPLE_BYTES:
-            break
-        samples.append(record(r[0], r[1], payload, base32_sha1(payload), None, False, date))
-        size += len(payload)
+    length = F.coalesce(F.octet_length("html"), F.lit(0))
+    small = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).where(length <= SAMPLE_BYTES // 128)
+    n, size = small.agg(F.count(F.lit(1)), F.sum(length)).first()
+    share = min(1.0, SAMPLE_RECORDS / max(n, 1), SAMPLE_BYTES / max(size or 0, 1))
+    drawn = small.where(F.rand(SAMPLE_SEED) < share) if share < 1 else small
+    payloads = [(r, (r[2] or "").encode()) for r in drawn.collect()]
+    samples = [record(r[0], r[1], payload, base32_sha1(payload), None, False, date) for r, payload in payloads]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few records to train on: their bytes are the dictionary

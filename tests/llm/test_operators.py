@@ -203,6 +203,21 @@ def test_warc_round_trip_and_dictionary_frame(spark, small, run_root):
     assert warc.read_archives(spark, run_root).count() == pages.count()
 
 
+def test_warc_dictionary_is_drawn_from_the_whole_table(spark, monkeypatch):
+    import zstandard
+
+    drawn, real = [], zstandard.train_dictionary
+    monkeypatch.setattr(zstandard, "train_dictionary", lambda size, samples: drawn.extend(samples) or real(size, samples))
+    pages = spark.range(0, 9000, 1, 3).selectExpr("id AS page_id", "CONCAT('http://s', id DIV 3000, '/', id) AS url", "REPEAT(CONCAT('<p>', id, '</p>'), 20) AS html")
+    words = warc.dictionary(pages, "1970-01-01T00:00:00Z")
+    sites = [sum(f"http://s{n}/".encode() in d for d in drawn) for n in range(3)]
+    assert words and min(sites) > 200 and sum(sites) < 2 * warc.SAMPLE_RECORDS
+    drawn.clear()
+    warc.dictionary(pages.where("page_id < 20"), "1970-01-01T00:00:00Z")
+    assert len(drawn) == 20
+    assert warc.dictionary(pages.where("page_id < 0"), "1970-01-01T00:00:00Z") == b""
+
+
 def test_warc_payloads_below_the_least_size_are_responses(spark, small, run_root):
     pages = spark.read.parquet(f"{small[0]}/pages.parquet")
     warc.write_archives(pages, run_root, min_bytes=12)
