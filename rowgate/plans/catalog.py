@@ -509,6 +509,35 @@ def maintenance_summary(spark, sf):
     return summary_frame(maintenance_state(spark, sf), B.T2)
 
 
+@query("promotion_pass", """
+WITH p AS (SELECT id, name, age FROM (
+  SELECT b.*, row_number() OVER (PARTITION BY id ORDER BY quarantine_timestamp DESC, ingestion_timestamp DESC,
+         source_file DESC, name DESC NULLS LAST, age DESC NULLS LAST) AS rn
+  FROM after_expiry b WHERE quarantine_status = 'BLOCKED'
+    AND NOT EXISTS (SELECT 1 FROM after_expiry q WHERE q.id = b.id AND q.quarantine_status = 'QUARANTINE')) z
+WHERE rn = 1)
+SELECT id, name, age, 'clean' AS side FROM clean_1 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.id = clean_1.id)
+UNION ALL SELECT id, name, age, 'clean' FROM p
+UNION ALL SELECT id, name, age, 'promoted' FROM p
+UNION ALL SELECT id, name, age, CASE WHEN quarantine_status = 'BLOCKED' AND id IN (SELECT id FROM p) THEN 'RELEASED' ELSE quarantine_status END
+FROM after_expiry""")
+def promotion_pass(spark, sf):
+    """L10 in a job: a pass expires the full load's rows and, without a release step before
+    it, promotes the rows that were held back for their keys; clean table, promoted rows
+    and every quarantine row with its status."""
+    from rowgate.plans.jobs import full_load_job, maintenance_job, partial_load_job
+
+    st = _state(spark, "promotion_pass")
+    full_load_job(st, B.landing_full(spark, sf), B.T0, B.SOURCE_F)
+    partial_load_job(st, B.landing_partial(spark, sf), B.T1, B.SOURCE_P)
+    maintenance_job(st, B.T2, order=("expire", "promote"))
+    cols = ["id", "name", "age"]
+    rows = st.read("quarantine").select(*cols, F.col("quarantine_status").alias("side"))
+    for name, side in (("clean", "clean"), ("promoted", "promoted")):
+        rows = rows.unionByName(st.read(name).select(*cols, F.lit(side).alias("side")))
+    return rows
+
+
 # --- reports (H1-H14) ------------------------------------------------------------------
 
 @query("status_breakdown", """
