@@ -2,6 +2,9 @@
 
 import itertools
 import random
+import re
+import types
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -278,6 +281,72 @@ def test_benchmark_items_without_id_are_hits(spark):
         assert [(got[i].n_hit, got[i].items, got[i].contaminated) for i in (1, 2, 3)] == [(3, [], True), (2, ["7"], True), (0, [], False)]
 
 
+def test_windows_of_any_length_by_brute_force():
+    """The automaton over blocks finds what a search for every window finds."""
+    rnd = random.Random(3)
+    for trial in range(300):
+        n, letters = rnd.choice([1, 2, 3, 4, 5, 13]), "abcdefgh"[: rnd.choice([2, 3, 8])]
+        text = lambda k: " ".join(rnd.choice(letters) for _ in range(k))
+        items = [(str(i) if i % 5 else None, text(rnd.choice([0, 1, 2, 3, 5, 13, 20])).encode()) for i in range(rnd.randint(0, 6))]
+        doc = text(rnd.randint(0, 40))
+        w, hit, ids = doc.split(), set(), set()
+        for item, t in items:
+            t = t.decode().split()
+            for j in range(max(1, len(t) - n + 1) if t else 0):
+                win = t[j: j + n]
+                for a in range(len(w) - len(win) + 1):
+                    if w[a: a + len(win)] == win:
+                        hit |= set(range(a, a + len(win)))
+                        ids |= {item} - {None}
+        held = types.SimpleNamespace(value=[(f"brute {trial}", items)])
+        assert decontam._Scanner(held, n).scan(doc.encode())[:3] == (len(w), len(hit), sorted(ids))
+
+
+def test_index_takes_a_bounded_number_of_bytes():
+    """Of each word of the benchmark the trie has at most one node, and the table one row."""
+    rnd = random.Random(4)
+    text = " ".join(f"w{rnd.randrange(3000)}" for _ in range(20000)).encode()
+    index = decontam._Index([("1", text)], 13)
+    assert index.automaton.get_stats()["nodes_count"] <= 20001
+    assert len(index.hashes) <= 20000
+
+
+def planted(rnd):
+    """Random tokens in four encodings, and look-alikes that aren't random."""
+    hexes = "0123456789ABCDEF"  # in capitals, which the fixed patterns leave alone
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    tokens = []
+    for name, alphabet in (("hex", hexes), ("base32", upper), ("base62", letters), ("base64", letters + "+/")):
+        while sum(t[0] == name for t in tokens) < 250:
+            t = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(20, 128)))
+            if re.search("[0-9]", t) and re.search("[A-Za-z]", t):
+                tokens.append((name, t))
+    words = ["user", "account", "handler", "request", "session", "default", "config", "message", "buffer", "index", "parser", "status", "internal", "value"]
+    pick = lambda k: [rnd.choice(words) for _ in range(k)]
+    date = lambda: f"{rnd.randint(1990, 2030)}-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}"
+    kinds = {
+        "identifier": lambda: "_".join(pick(rnd.randint(4, 8))) + f"_{rnd.randint(1, 99)}",
+        "camel": lambda: "".join(w.title() for w in pick(rnd.randint(4, 8))) + str(rnd.randint(1, 99)),
+        "path": lambda: "/".join(["src", *pick(rnd.randint(4, 8)), f"v{rnd.randint(1, 9)}"]),
+        "dates": lambda: f"{date()}/{date()}/from{date()}",
+    }
+    return tokens, [(name, make()) for name, make in kinds.items() for _ in range(250)]
+
+
+def test_recall_and_precision_on_planted_strings(spark):
+    """Figures in the README: recall by encoding, and how many look-alikes are called random."""
+    rnd = random.Random(12)
+    tokens, fakes = planted(rnd)
+    docs = spark.createDataFrame([(i, f"see {t} there") for i, (_, t) in enumerate(tokens + fakes)], "doc_id int, text string").repartition(8)
+    got = {r.doc_id: any(s.kind == 3 for s in r.secrets.spans) for r in secrets.find_secrets(docs).collect()}
+    share = Counter(name for i, (name, _) in enumerate(tokens + fakes) if got[i])
+    print(dict(share))
+    found, false = sum(share[k] for k in ("hex", "base32", "base62", "base64")), sum(share[k] for k in ("identifier", "camel", "path", "dates"))
+    assert found >= 0.9 * len(tokens)
+    assert found >= 0.9 * (found + false)
+
+
 def test_randomness_battery(spark):
     rnd = random.Random(8)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"

@@ -213,9 +213,8 @@ def test_op8(spark, small):
     where = defaultdict(set)
     for item, t in small[2]:
         w = folded(t)
-        if w and item is not None:
-            for j in range(max(1, len(w) - 12)):
-                where[tuple(w[j: j + 13])].add(str(item))
+        for j in range(max(1, len(w) - 12) if w else 0):
+            where[tuple(w[j: j + 13])] |= set() if item is None else {str(item)}
     want = []
     for i, t in small[1]:
         w, hit, items = folded(t), set(), set()
