@@ -943,6 +943,72 @@ def evolved_state(spark, sf):
     return st.read("clean").select("id", "name", "age", "segment")
 
 
+# Three versions of the clean table: without the column, with it as INT for the rows that
+# the partial batch merged, and as BIGINT for all; and the type-2 history of these.
+_GROWING = f"""
+WITH live AS (SELECT DISTINCT id FROM quarantine_0 WHERE id IS NOT NULL),
+p AS (SELECT id FROM landing_partial WHERE {_ALL_PRESENT} AND id NOT IN (SELECT id FROM live)),
+s AS (SELECT 1 AS v, id, name, age, CAST(NULL AS BIGINT) AS segment FROM clean_0
+      UNION ALL SELECT 2, c.id, c.name, c.age, CASE WHEN p.id IS NOT NULL THEN c.id % 3 END FROM clean_1 c LEFT JOIN p ON c.id = p.id
+      UNION ALL SELECT 3, id, name, age, CASE WHEN id % 2 = 0 THEN id % 3 ELSE id * 3000000000 END FROM clean_2),
+grid AS (SELECT i.id, t.v, s.name, s.age, s.segment, s.id IS NOT NULL AS there
+         FROM (SELECT DISTINCT id FROM s) i CROSS JOIN (VALUES (1), (2), (3)) t(v) LEFT JOIN s ON s.id = i.id AND s.v = t.v),
+moved AS (SELECT * FROM grid QUALIFY v = 1 OR struct_pack(there, name, age, segment)
+          IS DISTINCT FROM lag(struct_pack(there, name, age, segment)) OVER (PARTITION BY id ORDER BY v)),
+told AS (SELECT *, lead(v) OVER (PARTITION BY id ORDER BY v) AS next FROM moved)
+"""
+
+
+def _growing(spark, sf, name, after=lambda state: None):
+    """A state that took the three batches; ``after`` sees it after each."""
+    from rowgate.plans.jobs import full_load_job, partial_load_job
+
+    st = _state(spark, name)
+    full_load_job(st, B.landing_full(spark, sf), B.T0, B.SOURCE_F)
+    after(st)
+    partial_load_job(st, B.landing_partial(spark, sf).withColumn("segment", (F.col("id") % 3).cast("int")), B.T1, B.SOURCE_P)
+    after(st)
+    wide = F.when(F.col("id") % 2 == 0, F.col("id") % 3).otherwise(F.col("id") * 3000000000)
+    full_load_job(st, B.landing_full_2(spark, sf).withColumn("segment", wide), B.FULL_2_TIME, B.SOURCE_F2)
+    after(st)
+    return st
+
+
+@query("evolved_history", _GROWING + """
+SELECT id, name, age, segment, CAST(v AS BIGINT) AS valid_from, CAST(next AS BIGINT) AS valid_to, next IS NULL AS is_current
+FROM told WHERE there""")
+def evolved_history(spark, sf):
+    """A column that comes with the second batch, and as a wider type with
+    the third, goes through the change feed into the history."""
+    from rowgate.plans.jobs import clean_history as history_of
+
+    st = _growing(spark, sf, "evolved_history")
+    return history_of(st).select("id", "name", "age", "segment", "valid_from", "valid_to", "is_current")
+
+
+@query("evolved_history_stream", _GROWING + """,
+clock AS (SELECT * FROM (VALUES (1, TIMESTAMP '2026-03-06 14:30:22'), (2, TIMESTAMP '2026-03-06 15:00:00'), (3, TIMESTAMP '2026-03-07 01:00:00')) t(v, stamp))
+SELECT id, name, age, segment, a.stamp AS valid_from, b.stamp AS valid_to, next IS NULL AS is_current
+FROM told JOIN clock a ON a.v = told.v LEFT JOIN clock b ON b.v = next WHERE there""")
+def evolved_history_stream(spark, sf):
+    """C9 with S9: the streamed history takes on columns and wider types that come into the
+    change feed while it runs (its stored rows aren't rewritten for that)."""
+    from rowgate.contracts import change_schema, history_schema
+    from rowgate.session import run_dir
+    from rowgate.streaming import history_stream as HS
+
+    root = run_dir(spark, "evolved_history_stream")
+    fold = HS.HistoryFold(f"{root}/history", ["id"], "_commit_timestamp", ["name", "age"], "_change_type",
+                          ["_commit_version"], change_schema(CONTRACT), history_schema(CONTRACT))
+
+    def follow(st):
+        nonlocal fold
+        fold = HS.run_available(spark, f"{st.root}/changes", fold, f"{root}/checkpoint", evolve=True)
+
+    _growing(spark, sf, "evolved_history_stream", follow)
+    return HS.current_history(spark, fold).select("id", "name", "age", "segment", "valid_from", "valid_to", "is_current")
+
+
 @query("full_load_dedupe", """
 SELECT user_id, event_id, event_type, ts FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")

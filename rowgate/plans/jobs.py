@@ -54,6 +54,7 @@ from rowgate.contracts import (
     quarantine_schema,
 )
 from rowgate.functions.rules import Rule, require_columns, type_rules
+from rowgate.functions.widen import merged
 from rowgate.operators import lifecycle as L
 from rowgate.operators.history import scd2, snapshot_changes
 from rowgate.operators.keyed import anti, latest_per_key, semi, upsert
@@ -75,7 +76,7 @@ _SCHEMAS = {
 }
 
 # Tables that keep columns a batch has beyond the contract.
-_EVOLVING = ("clean", "quarantine")
+_EVOLVING = ("clean", "quarantine", "changes")
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("area", T.StringType()),
@@ -133,7 +134,7 @@ class State:
                 tables.read_parts(self.spark, self.root, name, self._schema(name), "terminal", _TERMINAL,
                                   max_version=self.at, evolve=True), allowMissingColumns=True)
         if name in ("dead_letter", "changes", "ledger"):
-            return tables.read_parts(self.spark, self.root, name, self._schema(name), max_version=self.at)
+            return tables.read_parts(self.spark, self.root, name, self._schema(name), max_version=self.at, evolve=name in _EVOLVING)
         if name == "clean":
             return self._read_clean(self._layout())
         return tables.read(self.spark, self.root, name, self._schema(name), max_version=self.at)
@@ -144,7 +145,7 @@ class State:
     def _read_clean(self, lay: buckets.Layout, hit: Sequence[int] | None = None) -> DataFrame:
         path, schema = f"{self.root}/clean", self._schema("clean")
         if lay.held:
-            schema = tables.grown(self.spark, buckets.paths(path, lay), None, schema)
+            schema = tables.grown(self.spark, buckets.versions_in_use(path, lay), schema)
         return buckets.read(self.spark, path, schema, lay, hit)
 
     def _buckets_for(self, rows: int) -> int:
@@ -269,8 +270,9 @@ class State:
 
     def _write_changes(self, old: DataFrame, new: DataFrame, as_of: str) -> dict:
         v = self.last_version
-        ch = snapshot_changes(old, new, list(self.params.keys), v, as_of, self.data_schema.fieldNames())  # the contract's columns
-        ch = ch.select(*[F.col(f.name).cast(f.dataType) for f in self._schema("changes").fields])
+        both = merged([old.schema, new.schema])  # a column that one side lacks is NULL there
+        old, new = tables.conform(old, both), tables.conform(new, both)
+        ch = self._pin("changes", snapshot_changes(old, new, list(self.params.keys), v, as_of, both.fieldNames()))
         obs = Observation("changes_metrics")
         tables.write(ch, self.root, "changes", version=v, observe=(obs, [_rows().alias("change_rows")]))
         self.written["changes"] = v
@@ -328,9 +330,13 @@ _BAD = "_rg_bad_"
 def at_edge(state: State, incoming: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Pin the batch to the contract: every contract
     column must be present (V9, ``ValueError`` otherwise) and gets the contract
-    type; other columns are kept as they are.  A value that doesn't cast fails
-    the returned ``bad_type_<c>`` rules (V13) and its row goes to quarantine."""
+    type; other columns are kept as they are (``ValueError`` if one's type and that of the
+    stored column don't go into one).  A value that doesn't cast fails the returned
+    ``bad_type_<c>`` rules (V13) and its row goes to quarantine."""
     require_columns(incoming, state.data_schema.fieldNames())
+    more = T.StructType([f for f in incoming.schema.fields if f.name not in state.data_schema.fieldNames()])
+    if more.fields:
+        merged([state.read("clean").schema, state.read("quarantine").schema, more])
     drift = [f for f in state.data_schema.fields if incoming.schema[f.name].dataType != f.dataType]
     casts = type_rules({f.name: (f.name, f.dataType.simpleString()) for f in drift})
     flags = {f"{_BAD}{f.name}": pred for f, (_, pred) in zip(drift, casts)}
@@ -533,14 +539,17 @@ def maintenance_job(state: State, as_of: str, order=("expire", "release", "promo
     return out
 
 
-def _not_stale(state: State, rows: DataFrame) -> DataFrame:
-    """Rows to merge whose key has no clean row from a later load.
+def _not_stale(state: State, rows: DataFrame, since: dt.datetime | None) -> DataFrame:
+    """Rows to merge, none from before ``since``, whose key has no clean row from a later load.
 
     A row quarantined at T must not overwrite what a load wrote after T: the
-    change feed says when a key's clean row was last written.
+    change feed says when a key's clean row was last written.  Only its rows after
+    ``since`` matter, so what is read follows the age of the live rows, not that of the table.
     """
     keys = list(state.params.keys)
     written = state.read("changes").filter(~F.col(CHANGE_TYPE).isin("delete", "update_preimage"))
+    if since is not None:
+        written = written.filter(F.col(COMMIT_TIMESTAMP) > F.lit(since).cast("timestamp_ntz"))
     last = semi(written, rows.select(*keys).distinct(), keys).groupBy(*keys).agg(F.max(COMMIT_TIMESTAMP).alias("_last"))
     fresh = F.col("_last").isNull() | (F.col("ingestion_timestamp") >= F.col("_last"))
     return rows.join(last, keys, "left").filter(fresh).drop("_last")
@@ -559,12 +568,19 @@ def _pass(state: State, as_of: str, order, quarantine: DataFrame, sources: Seque
     p, out = state.params, {}
     keys = list(p.keys)
 
+    @functools.cache
+    def since(start=quarantine):
+        """When the oldest live row came."""
+        return start.filter(L.is_live(p)).agg(F.min("ingestion_timestamp")).first()[0]
+
     def merge(name: str) -> DataFrame:
         """The newest rows of a step that aren't older than their clean row."""
         stored = state.read_written(name)
+        if not out[f"{name}_keys"]:
+            return stored
         when = quarantine.select(*stored.columns, "ingestion_timestamp")
         newest = latest_per_key(semi(when, stored, keys), keys, ("ingestion_timestamp",)).select(*keys, "ingestion_timestamp")
-        return _not_stale(state, stored.join(newest, keys)).drop("ingestion_timestamp")
+        return _not_stale(state, stored.join(newest, keys), since()).drop("ingestion_timestamp")
 
     for step in order:
         if step == "expire":
@@ -598,10 +614,11 @@ def _pass(state: State, as_of: str, order, quarantine: DataFrame, sources: Seque
 
 def clean_history(state: State, tracked: list[str] | None = None) -> DataFrame:
     """Type-2 history of the clean table from its change feed (C3-C5), with
-    versions as the sequence (one job may write several at one ``as_of``)."""
+    versions as the sequence (one job may write several at one ``as_of``).  Columns that
+    the table got later are NULL in older versions and have the widest type that any had."""
     keys = list(state.params.keys)
-    tracked = tracked or [c for c in state.data_schema.fieldNames() if c not in keys]
     feed = state.read("changes")
+    tracked = tracked or [c for c in feed.columns if c not in (*keys, CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIMESTAMP)]
     return scd2(feed, keys, "_commit_version", tracked)
 
 

@@ -88,6 +88,11 @@ def paths(path: str, lay: Layout, hit: Collection[int] | None = None) -> list[st
     return [f"{path}/v={v:06d}/{BUCKET}={b}" for b, (v, _) in sorted(lay.held.items()) if hit is None or b in hit]
 
 
+def versions_in_use(path: str, lay: Layout) -> list[str]:
+    """A bucket's folder of each version that a map names."""
+    return list({v: f"{path}/v={v:06d}/{BUCKET}={b}" for b, (v, _) in lay.held.items()}.values())
+
+
 def read(spark: SparkSession, path: str, schema: T.StructType, lay: Layout, hit: Collection[int] | None = None) -> DataFrame:
     """Rows of the given buckets, or all; no other folder is listed."""
     found = paths(path, lay, hit)

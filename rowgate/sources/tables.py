@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowgate.functions.widen import merged
+
 _V = re.compile(r"^v=(\d+)$")
 
 
@@ -71,18 +74,44 @@ def read(
             return empty(spark, schema)
         version = vs[-1]
     path = f"{root.rstrip('/')}/{name}/v={version:06d}"
-    return spark.read.schema(grown(spark, [path], path, schema) if evolve else schema).parquet(path)
+    return spark.read.schema(grown(spark, [path], schema) if evolve else schema).parquet(path)
 
 
-def grown(spark: SparkSession, paths: list[str], base: str | None, schema: T.StructType) -> T.StructType:
-    """``schema`` and the further columns of the files in ``paths`` (footers only)."""
-    reader = spark.read.option("mergeSchema", "true")
-    try:
-        found = (reader.option("basePath", base) if base else reader).parquet(*paths).schema
-    except AnalysisException:  # a version without rows may have no file
+def grown(spark: SparkSession, folders: list[str], schema: T.StructType) -> T.StructType:
+    """``schema`` and the further columns of the versions in ``folders``, with types that
+    hold those of all versions (``ValueError`` where none does).  One job writes a version,
+    so its files have one schema and one footer of each folder is read."""
+    files = [f for f in (_a_file(spark, x) for x in folders) if f]
+    if not files:  # a version without rows may have no file
         return schema
-    have = set(schema.fieldNames()) | {"v", "terminal"}
-    return T.StructType(schema.fields + [f for f in found.fields if f.name not in have])
+    try:
+        found = [spark.read.option("mergeSchema", "true").parquet(*files).schema]
+    except (PySparkException, Py4JJavaError):  # types that differ
+        found = [spark.read.parquet(f).schema for f in files]
+    have = {*schema.fieldNames(), "v", "terminal"}
+    more = merged(T.StructType([f for f in x.fields if f.name not in have]) for x in found)
+    return T.StructType(schema.fields + more.fields)
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """What a folder holds that isn't hidden: folders or files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return [p.toString() for p in found if not p.getName().startswith(("_", "."))]
+
+
+def _a_file(spark: SparkSession, folder: str) -> str | None:
+    """Any data file below a folder (or the file itself)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listFiles(path, True) if fs.exists(path) else None
+    while found and found.hasNext():
+        at = found.next().getPath()
+        if at.getName().endswith(".parquet"):
+            return at.toString()
+    return None
 
 
 def read_parts(
@@ -105,7 +134,7 @@ def read_parts(
         return empty(spark, T.StructType([*schema.fields, T.StructField("v", T.LongType())]) if with_version else schema)
     base = f"{root.rstrip('/')}/{name}"
     if evolve:
-        schema = grown(spark, [f"{base}/v={v:06d}" for v in vs], base, schema)
+        schema = grown(spark, [f"{base}/v={v:06d}" for v in vs], schema)
     full = T.StructType(schema.fields + (extra.fields if extra else []) + [T.StructField("v", T.LongType())])
     df = spark.read.schema(full).parquet(f"{root.rstrip('/')}/{name}").filter(F.col("v").isin(vs))
     if where is not None:

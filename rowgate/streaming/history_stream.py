@@ -29,14 +29,16 @@ is undefined.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowgate.functions.widen import merged
 from rowgate.operators.history import PRE, _null_safe, splice
-from rowgate.sources import buckets
+from rowgate.sources import buckets, tables
 
 SEEN = "rg_seen"
 
@@ -72,6 +74,7 @@ class HistoryFold:
         self.change_schema = change_schema
         self.history_schema = history_schema
         self.n_buckets = n_buckets
+        self.own: HistoryFold | None = None  # of a fold that has grown: as it was made
 
     @property
     def log_path(self) -> str:
@@ -87,6 +90,20 @@ class HistoryFold:
         seen = T.StructType([T.StructField("last", last), T.StructField("without", T.BooleanType())])
         return T.StructType([*self.history_schema.fields, T.StructField(SEEN, seen)])
 
+    def grown(self, spark: SparkSession, source_dir: str) -> "HistoryFold":
+        """This fold with the further columns that the files in ``source_dir`` have (tracked
+        too) and the widest types of any.  What was stored without a column reads as NULL."""
+        own = self.own or self
+        n = len(own.change_schema.fields)
+        found = tables.grown(spark, tables.children(spark, source_dir), own.change_schema)
+        more = merged(T.StructType(s.fields[n:]) for s in (self.change_schema, found)).fields
+        out = copy.copy(self)
+        out.own = own
+        out.change_schema = T.StructType(own.change_schema.fields + more)
+        out.tracked = own.tracked + [f.name for f in more]
+        out.history_schema = T.StructType(own.history_schema.fields + more)
+        return out
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, keys = batch.sparkSession, self.keys
         cols = [f.name for f in self.change_schema.fields]
@@ -152,10 +169,14 @@ def run_available(
     source_dir: str,
     fold: HistoryFold,
     checkpoint: str,
-) -> None:
+    evolve: bool = False,
+) -> HistoryFold:
     """Process every file now in ``source_dir`` and stop (``availableNow``);
     call again after more files arrive -- the checkpoint resumes where the
-    previous run stopped."""
+    previous run stopped.  ``evolve`` takes on the columns and types that the files
+    have beyond the fold's own; the fold that ran is returned."""
+    if evolve:
+        fold = fold.grown(spark, source_dir)
     stream = spark.readStream.schema(fold.change_schema).parquet(source_dir)
     q = (
         stream.writeStream.foreachBatch(fold)
@@ -166,6 +187,7 @@ def run_available(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    return fold
 
 
 def current_history(spark: SparkSession, fold: HistoryFold) -> DataFrame:
