@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 from rowgate.contracts import BATCH_NAME_PATTERN
 from rowgate.functions.timeexpr import batch_time, hours_between, ts
 
-_PATH_RE = r"([^/]+)/(\d{8}_\d{6})/.+$"  # files at any depth below a batch folder
+# The path from the area on, area and batch: files at any depth below a batch folder.  It
+# starts at whole folder names only, so that its time follows the path's length.
+_PATH_RE = r"(?:^|/)(([^/]+)/(\d{8}_\d{6})/.+)$"
 
 
 def read_landing(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
@@ -39,7 +41,7 @@ def read_landing(spark: SparkSession, root: str, schema: T.StructType | None = N
     path = F.col("_metadata.file_path")
     return (
         df.withColumns(
-            {"area": F.regexp_extract(path, _PATH_RE, 1), "batch": F.regexp_extract(path, _PATH_RE, 2)}
+            {"area": F.regexp_extract(path, _PATH_RE, 2), "batch": F.regexp_extract(path, _PATH_RE, 3)}
         )
         .filter(F.col("batch").rlike(BATCH_NAME_PATTERN))
     )
@@ -210,16 +212,21 @@ class LandedFile(NamedTuple):
     modified: int
 
 
-# A file's identity as columns of a scan that hasn't been projected yet.
+# What tells a file, as columns of a scan that hasn't been projected yet.  They stand on each
+# of the file's rows, so nothing is made of the path before the rows are one a file.
 def file_columns() -> list[Column]:
-    path = F.col("_metadata.file_path")
     return [
-        F.regexp_extract(path, _PATH_RE, 1).alias("area"), F.regexp_extract(path, _PATH_RE, 2).alias("batch"),
-        F.regexp_extract(path, _PATH_RE, 0).alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("modified"),
     ]
 
 
+def landed_file(path: str, size: int, modified: int) -> LandedFile | None:
+    """The file of a path; None if it isn't in a batch folder (R-17)."""
+    m = re.search(_PATH_RE, path)
+    return LandedFile(m[2], m[3], m[1], size, modified) if m else None
+
+
 def list_files(spark: SparkSession, root: str, area: str, batch: str) -> list[LandedFile]:
     """The data files of one batch folder, at any depth, from a listing."""
     jvm = spark.sparkContext._jvm
@@ -228,9 +235,9 @@ def list_files(spark: SparkSession, root: str, area: str, batch: str) -> list[La
     out = []
     while found.hasNext():
         st = found.next()
-        m = re.search(_PATH_RE, st.getPath().toUri().getPath())
-        if m and not any(part.startswith(("_", ".")) for part in m[0].split("/")[2:]):
-            out.append(LandedFile(m[1], m[2], m[0], st.getLen(), st.getModificationTime()))
+        f = landed_file(st.getPath().toUri().getPath(), st.getLen(), st.getModificationTime())
+        if f and not any(part.startswith(("_", ".")) for part in f.file.split("/")[2:]):
+            out.append(f)
     return sorted(out)
 
 

@@ -22,11 +22,10 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowgate.contracts import BATCH_NAME_PATTERN, Params
-from rowgate.sources.landing import LandedFile, file_columns
+from rowgate.contracts import Params
+from rowgate.sources.landing import file_columns, landed_file
 
 # A schema that no file has a column of.
 _NO_COLUMN = T.StructType([T.StructField("_rg_none", T.BooleanType())])
@@ -44,18 +43,18 @@ class LandingRouter:
 
         st = State(batch.sparkSession, self.root, self.data_schema, self.params, at=batch_id)
         # Only the files' identities reach the driver (at most the micro-batch's files).
-        rows = batch.select(*LandedFile._fields).distinct().collect()
-        files = [LandedFile(*r)._replace(file=unquote(r["file"])) for r in rows]  # as listings have them
+        found = [landed_file(*r) for r in batch.select("path", "size", "modified").distinct().collect()]
+        files = [f._replace(file=unquote(f.file)) for f in found if f]  # as listings have them
         route_files(st, self.landing_root, files)
 
 
 def landing_stream(spark: SparkSession, landing_root: str, max_files: int | None = None) -> DataFrame:
-    """Landing files as a stream of their identities, a row for each of their rows (no
+    """Landing files as a stream of what tells them, a row for each of their rows (no
     column is read); at most ``max_files`` files a micro-batch."""
     reader = spark.readStream.schema(_NO_COLUMN).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(landing_root).select(*file_columns()).filter(F.col("batch").rlike(BATCH_NAME_PATTERN))
+    return reader.parquet(landing_root).select(*file_columns())
 
 
 def start(spark: SparkSession, router: LandingRouter, checkpoint: str, every: str | None = None, max_files: int | None = None):

@@ -185,3 +185,28 @@ def test_a_folder_in_parts_loses_no_row(spark, run_root):
     st = State(spark, f"{run_root}/state", CONTRACT, B.PARAMS)
     assert sorted(r.id for r in st.read("clean").collect()) == [i for i in range(30) if i % 10]
     assert sorted(r.id for r in st.read("quarantine").collect()) == [0, 10, 20]
+
+
+def test_landing_stream_makes_nothing_of_the_path_row_by_row(spark, run_root):
+    """Paths are taken apart once a file: neither the stream's rows nor a long path cost a search each."""
+    import re
+    import time
+
+    from rowgate.sources import landing as S
+    from rowgate.streaming import landing_stream as LS
+
+    land = f"{run_root}/landing"
+    spark.range(10).coalesce(1).write.parquet(f"{land}/area/20260306_150000/deep/er")
+    spark.range(10).coalesce(1).write.parquet(f"{land}/area/not-a-batch")
+    stream = LS.landing_stream(spark, land)
+    assert "regexp" not in stream._jdf.queryExecution().analyzed().toString()
+    seen = []
+    q = stream.writeStream.foreachBatch(lambda df, _: seen.extend(df.collect())).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert q.exception() is None and len(seen) == 20  # a row for each row
+    files = {S.landed_file(*r) for r in seen} - {None}
+    assert files == set(S.list_files(spark, land, "area", "20260306_150000"))
+    assert {f.file.rsplit("/", 1)[0] for f in files} == {"area/20260306_150000/deep/er"}
+    began = time.perf_counter()
+    assert re.search(S._PATH_RE, "x" * 50_000) is None
+    assert time.perf_counter() - began < 1
